@@ -1,0 +1,152 @@
+"""Lineage records and their tables."""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SCHEMAS = {
+    "data_sources": (
+        "run_id string, name string, type string, location string, "
+        "schema map<string,string>, ts timestamp"
+    ),
+    "data_sinks": (
+        "run_id string, name string, type string, location string, ts timestamp"
+    ),
+    "transformations": (
+        "run_id string, id string, seq int, name string, input_tables array<string>, "
+        "output_table string, transformation_logic string, "
+        "metadata map<string,string>, ts timestamp"
+    ),
+    "dependencies": "run_id string, source string, target string, transformation_id string",
+}
+
+NATURAL_KEYS = {
+    "data_sources": ["name", "type", "location"],
+    "data_sinks": ["name", "type", "location"],
+    "transformations": ["run_id", "id"],
+    "dependencies": ["run_id", "source", "target", "transformation_id"],
+}
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+@dataclass
+class LineageLog:
+    """What one run read, computed and wrote; a few records per step."""
+
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
+    records: dict[str, list[tuple]] = field(
+        default_factory=lambda: {name: [] for name in SCHEMAS}
+    )
+
+    def add_source(
+        self, name: str, kind: str, location: str, df: DataFrame | None = None
+    ) -> None:
+        schema = {} if df is None else dict(df.dtypes)
+        self.records["data_sources"].append(
+            (self.run_id, name, kind, location, schema, _now())
+        )
+
+    def add_sink(self, name: str, kind: str, location: str) -> None:
+        self.records["data_sinks"].append((self.run_id, name, kind, location, _now()))
+
+    def add_transformation(
+        self,
+        name: str,
+        inputs: Sequence[str],
+        output: str,
+        logic: str = "",
+        metadata: Mapping | None = None,
+    ) -> str:
+        """Record a transformation and one dependency per input; returns its id."""
+        seq = len(self.records["transformations"]) + 1
+        identity = f"{self.run_id}_{seq}"
+        described = {
+            k: v if isinstance(v, str) else json.dumps(v, default=str)
+            for k, v in (metadata or {}).items()
+        }
+        self.records["transformations"].append(
+            (self.run_id, identity, seq, name, list(inputs), output, logic, described, _now())
+        )
+        self.records["dependencies"].extend(
+            (self.run_id, source, output, identity) for source in inputs
+        )
+        return identity
+
+    def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
+        return {
+            name: spark.createDataFrame(self.records[name], schema)
+            for name, schema in SCHEMAS.items()
+        }
+
+    def export(self, spark: SparkSession, folder: str) -> None:
+        """Write the four lists below ``folder`` as JSON lines."""
+        for name, table in self.tables(spark).items():
+            table.write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def read_lineage(spark: SparkSession, folders: Sequence[str]) -> dict[str, DataFrame]:
+    """The lists of all runs exported to ``folders``, missing ones skipped."""
+    found = {name: [] for name in SCHEMAS}
+    for folder in folders:
+        for name, schema in SCHEMAS.items():
+            try:
+                table = spark.read.schema(schema).json(f"{folder}/{name}")
+            except AnalysisException as error:
+                if (error.getCondition() or "") != "PATH_NOT_FOUND":
+                    raise
+                continue
+            found[name].append(table)
+    return {
+        name: reduce(DataFrame.unionByName, tables)
+        if tables
+        else spark.createDataFrame([], SCHEMAS[name])
+        for name, tables in found.items()
+    }
+
+
+def consolidate(lineages: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
+    """One set of lists from several runs, without repeated records."""
+    return {
+        name: reduce(
+            DataFrame.unionByName, [lineage[name] for lineage in lineages]
+        ).dropDuplicates(keys)
+        for name, keys in NATURAL_KEYS.items()
+    }
+
+
+def overview(lineage: Mapping[str, DataFrame]) -> DataFrame:
+    """Number of records per list."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            table.agg(F.count(F.lit(1)).alias("records")).select(
+                F.lit(name).alias("list"), "records"
+            )
+            for name, table in lineage.items()
+        ],
+    )
+
+
+def transformation_listing(lineage: Mapping[str, DataFrame]) -> DataFrame:
+    """Transformations with their inputs, logic and rows in and out."""
+    return lineage["transformations"].select(
+        "id",
+        "name",
+        F.concat_ws(", ", "input_tables").alias("inputs"),
+        F.col("output_table").alias("output"),
+        F.substring("transformation_logic", 1, 100).alias("logic"),
+        F.col("metadata")["input_rows"].cast("bigint").alias("input_rows"),
+        F.col("metadata")["output_rows"].cast("bigint").alias("output_rows"),
+    )
