@@ -99,8 +99,12 @@ def _named(lineage: Mapping[str, DataFrame]) -> DataFrame:
 def build_graph(
     lineage: Mapping[str, DataFrame], include_dependency_edges: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges); nodes carry their type, label and degrees."""
-    edges = build_edges(lineage, include_dependency_edges)
+    """(nodes, edges); nodes carry their type, label and degrees.
+
+    Every question reads both tables, most of them more than once, so they are
+    written to the shared folder and come back as plain scans.
+    """
+    edges = store(build_edges(lineage, include_dependency_edges), "lineage-edges")
     typed = (
         _named(lineage)
         .groupBy("name")
@@ -111,7 +115,7 @@ def build_graph(
     nodes = typed.join(counted, "name", "left").na.fill(
         0, ["in_degree", "out_degree"]
     )
-    return nodes, edges
+    return store(nodes, "lineage-nodes"), edges
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -140,10 +144,11 @@ def walk(edges: DataFrame, seeds: DataFrame, with_path: bool = False) -> DataFra
     """Everything reachable from each root: (root, node, distance[, path]).
 
     ``seeds`` has one column ``root``. Paths are shortest, and among those the
-    first in dictionary order. A root reaches itself at distance 0.
+    first in dictionary order. A root reaches itself at distance 0. Every round
+    reads ``edges``: pass written tables, as ``build_graph`` returns them.
     """
     spark = edges.sparkSession
-    steps = store(edges.select("src", "dst").distinct(), "graph-edges")
+    steps = edges.select("src", "dst")
     folder = new_folder(spark, "graph-walk")
     path = F.array("root") if with_path else F.lit(None).cast("array<string>")
     newest = seeds.select("root").distinct().select(

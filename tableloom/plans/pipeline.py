@@ -38,11 +38,13 @@ class Run:
 
     @property
     def result(self) -> DataFrame:
-        """The table of the last successful step."""
-        done = [r for r in self.records if r[10]]
-        if not done:
-            raise ValueError("no step succeeded")
-        return self.workspace.tables[done[-1][4]]
+        """The table of the last step; a failed run has none."""
+        if not self.records:
+            raise ValueError("no step was run")
+        last = self.records[-1]
+        if not last[10]:
+            raise RuntimeError(f"step {last[1]} ({last[2]}) failed: {last[11]}")
+        return self.workspace.tables[last[4]]
 
     def steps(self) -> DataFrame:
         return self.spark.createDataFrame(self.records, STEP_SCHEMA)

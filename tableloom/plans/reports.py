@@ -160,14 +160,16 @@ DEMO_STEPS = [
         "dataset": "customers",
         "transform_key": "remove_nulls",
         "parameters": {"columns": ["email"], "how": "any"},
+        "output": "customers_reachable",
     },
     {
-        "dataset": "customers_remove_nulls_1",
+        "dataset": "customers_reachable",
         "transform_key": "standardize_text",
         "parameters": {"columns": ["first_name", "last_name"], "operations": ["lower", "trim"]},
+        "output": "customers_tidy",
     },
     {
-        "dataset": "customers_standardize_text_2",
+        "dataset": "customers_tidy",
         "transform_key": "group_by",
         "parameters": {
             "group_by_columns": ["customer_tier", "state"],

@@ -27,7 +27,13 @@ def write_table(
         raise ValueError(f"unsupported write mode: {mode}")
     writer = df.write.mode(mode)
     if kind == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # Values come back as they were: quotes doubled, outer blanks kept.
+        writer = writer.options(
+            header=True,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
     writer.format(kind).save(path)
 
 
