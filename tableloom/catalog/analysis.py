@@ -427,8 +427,8 @@ def duplicate_rows(spark, sf_dir):
        FROM ("""
     + " UNION ALL ".join(
         f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS data_type,
-            (SELECT string_agg(v, ', ' ORDER BY v) FROM
-                (SELECT {c}::VARCHAR AS v FROM orders ORDER BY v LIMIT 3)) AS s"""
+            (SELECT string_agg({c}::VARCHAR, ', ' ORDER BY o_totalprice DESC, o_orderkey) FROM
+                (FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3)) AS s"""
         for i, (c, t) in enumerate(
             [
                 ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -440,7 +440,8 @@ def duplicate_rows(spark, sf_dir):
     + ")",
 )
 def schema_samples(spark, sf_dir):
-    return q.schema_samples(table(spark, sf_dir, "orders").drop("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    return q.schema_samples(sort_rows(orders, [("o_totalprice", "desc"), "o_orderkey"]))
 
 
 @query(

@@ -109,25 +109,18 @@ def pivot(
 def statistics(
     df: DataFrame, numeric_columns: Sequence[str], exact: bool = False
 ) -> DataFrame:
-    """One row of statistics per numeric column, all from one pass.
+    """One row of statistics per numeric column.
 
     Quartiles are approximate unless ``exact``; skewness is the population
-    skewness, kurtosis the excess kurtosis. Unknown columns are skipped.
+    skewness, kurtosis the excess kurtosis. Unknown columns are skipped. Moments
+    and quartiles are two passes, because moments alone run in generated code.
     """
     names = known(df, numeric_columns)
     if not names:
         raise ValueError("none of the columns exists")
 
-    def row(column: str) -> Column:
+    def moments(column: str) -> Column:
         value = F.col(column).cast("double")
-        quartiles = (
-            []
-            if exact
-            else [
-                F.percentile_approx(value, p).alias(name)
-                for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
-            ]
-        )
         return F.struct(
             F.lit(column).alias("column"),
             F.count(column).alias("count"),
@@ -135,28 +128,43 @@ def statistics(
             F.stddev_samp(value).alias("stddev"),
             F.min(value).alias("min"),
             F.max(value).alias("max"),
-            *quartiles,
             F.var_samp(value).alias("variance"),
             F.skewness(value).alias("skewness"),
             F.kurtosis(value).alias("kurtosis"),
         )
 
-    summary = df.agg(F.array(*[row(c) for c in names]).alias("rows")).select(
-        F.inline("rows")
+    quartiles = _exact_quartiles(df, names) if exact else _sketched_quartiles(df, names)
+    summary = df.agg(F.array(*[moments(c) for c in names]).alias("rows"))
+    # Both sides have one row per analysed column.
+    return (
+        summary.select(F.inline("rows"))
+        .join(F.broadcast(quartiles), "column", "left")
+        .select(
+            "column", "count", "mean", "stddev", "min", "max", "q1", "median", "q3",
+            "variance", "skewness", "kurtosis",
+        )
     )
-    if exact:
-        quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
-        wide = quartiles.groupBy("column").agg(
-            *[
-                F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-                for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
-            ]
+
+
+def _sketched_quartiles(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    def row(column: str) -> Column:
+        sketch = F.percentile_approx(F.col(column).cast("double"), [0.25, 0.5, 0.75])
+        return F.struct(
+            F.lit(column).alias("column"),
+            *[sketch[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
         )
-        # One row per analysed column.
-        summary = summary.join(F.broadcast(wide), "column", "left")
-    return summary.select(
-        "column", "count", "mean", "stddev", "min", "max", "q1", "median", "q3",
-        "variance", "skewness", "kurtosis",
+
+    rows = df.agg(F.array(*[row(c) for c in names]).alias("rows"))
+    return rows.select(F.inline("rows"))
+
+
+def _exact_quartiles(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    found = exact_quantiles(df, names, [0.25, 0.5, 0.75])
+    return found.groupBy("column").agg(
+        *[
+            F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
+            for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+        ]
     )
 
 

@@ -115,9 +115,9 @@ def outlier_bounds(
     else:
         ends = df.agg(
             *[
-                F.percentile_approx(c, p).alias(f"{c}_{name}")
+                F.percentile_approx(c, [0.25, 0.75])[i].alias(f"{c}_{name}")
                 for c in columns
-                for name, p in (("q1", 0.25), ("q3", 0.75))
+                for i, name in enumerate(("q1", "q3"))
             ]
         )
     spread = {c: F.col(f"{c}_q3") - F.col(f"{c}_q1") for c in columns}

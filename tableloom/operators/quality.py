@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import values_long
@@ -13,7 +13,7 @@ from .sorting import head
 
 TOP_NULL_COLUMNS = 5
 CELL_BYTES = 8
-SAMPLE_VALUES = 3
+SAMPLE_ROWS = 3
 SAMPLE_LENGTH = 50
 
 
@@ -140,10 +140,10 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def schema_samples(df: DataFrame) -> DataFrame:
-    """Name, type, nullability and up to three sample values of every column.
+    """Name, type, nullability and sample values of every column.
 
-    The samples are the smallest values as text; each task passes on at most
-    three per column (window group limit).
+    The samples are the values of the first three rows, NULLs left out, as text
+    of at most 50 characters. Sort ``df`` to say which rows come first.
     """
     fields = [
         (i, f.name, f.dataType.simpleString(), f.nullable)
@@ -152,23 +152,22 @@ def schema_samples(df: DataFrame) -> DataFrame:
     listed = df.sparkSession.createDataFrame(
         fields, "position int, column string, data_type string, nullable boolean"
     )
-    place = F.row_number().over(Window.partitionBy("column").orderBy("value"))
-    samples = (
-        values_long(df)
-        .filter(F.col("value").isNotNull())
-        .withColumn("place", place)
-        .filter(F.col("place") <= SAMPLE_VALUES)
-        .groupBy("column")
-        .agg(F.concat_ws(", ", F.array_sort(F.collect_list("value"))).alias("text"))
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.array_join(F.collect_list(F.col(f"`{c}`").cast("string")), ", ").alias("text"),
+            )
+            for c in df.columns
+        ]
     )
+    samples = head(df, SAMPLE_ROWS).agg(cells.alias("cells")).select(F.inline("cells"))
     shown = F.when(
         F.length("text") > SAMPLE_LENGTH,
         F.concat(F.substring("text", 1, SAMPLE_LENGTH), F.lit("...")),
-    ).otherwise(F.coalesce("text", F.lit("")))
-    return (
-        listed.join(samples, "column", "left")
-        .withColumn("sample_values", shown)
-        .select("position", "column", "data_type", "nullable", "sample_values")
+    ).otherwise(F.col("text"))
+    return listed.join(samples, "column").select(
+        "position", "column", "data_type", "nullable", shown.alias("sample_values")
     )
 
 

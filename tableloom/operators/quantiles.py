@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.groups import GROUP_ROWS
+from ..functions.storage import store
 from .windows import window_functions
 
 
@@ -33,11 +34,13 @@ def exact_quantiles(
             for c in columns
         ]
     )
-    counts = (
+    # Three steps below read the counts.
+    counts = store(
         df.select(F.inline(cells))
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "value-counts",
     )
     running = window_functions(
         counts, ["column"], ["value"], {"reached": "sum(n)"}, group_rows=group_rows

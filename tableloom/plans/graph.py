@@ -24,9 +24,15 @@ ROLE_ORDER = {"transformation": 0, "sink": 1, "source": 2, "intermediate": 3}
 
 
 def build_edges(
-    lineage: Mapping[str, DataFrame], include_dependency_edges: bool = True
+    lineage: Mapping[str, DataFrame],
+    include_dependency_edges: bool = True,
+    names: DataFrame | None = None,
 ) -> DataFrame:
-    """(src, dst, edge_type, transformation_id), one row per connected pair."""
+    """(src, dst, edge_type, transformation_id), one row per connected pair.
+
+    Stated dependencies count between known nodes only; ``names`` is the node
+    table if there is one already.
+    """
     steps = lineage["transformations"].withColumn(
         "node", F.concat(F.lit(NODE_PREFIX), "id")
     )
@@ -44,7 +50,7 @@ def build_edges(
     )
     edges = consumes.unionByName(produces)
     if include_dependency_edges:
-        known = _named(lineage).select("name").distinct()
+        known = typed_names(lineage) if names is None else names
         stated = lineage["dependencies"].select(
             F.col("source").alias("src"),
             F.col("target").alias("dst"),
@@ -52,7 +58,9 @@ def build_edges(
             "transformation_id",
         )
         for end in ("src", "dst"):
-            stated = stated.join(known.withColumnRenamed("name", end), end, "left_semi")
+            stated = stated.join(
+                known.select(F.col("name").alias(end)), end, "left_semi"
+            )
         edges = edges.unionByName(stated)
     # A stated dependency never replaces the edge of a step.
     rank = F.when(F.col("edge_type") == "dependency", 1).otherwise(0)
@@ -63,6 +71,16 @@ def build_edges(
     )
 
 
+def typed_names(lineage: Mapping[str, DataFrame]) -> DataFrame:
+    """(name, node_type, label) of every node, by its most important role."""
+    return (
+        _named(lineage)
+        .groupBy("name")
+        .agg(F.min(F.struct("role", "node_type", "label")).alias("first"))
+        .select("name", "first.node_type", "first.label")
+    )
+
+
 def _named(lineage: Mapping[str, DataFrame]) -> DataFrame:
     """Every name with every role it plays."""
     steps = lineage["transformations"]
@@ -104,12 +122,9 @@ def build_graph(
     Every question reads both tables, most of them more than once, so they are
     written to the shared folder and come back as plain scans.
     """
-    edges = store(build_edges(lineage, include_dependency_edges), "lineage-edges")
-    typed = (
-        _named(lineage)
-        .groupBy("name")
-        .agg(F.min(F.struct("role", "node_type", "label")).alias("first"))
-        .select("name", "first.node_type", "first.label")
+    typed = store(typed_names(lineage), "lineage-names")
+    edges = store(
+        build_edges(lineage, include_dependency_edges, typed), "lineage-edges"
     )
     counted = degrees(edges).select("name", "in_degree", "out_degree")
     nodes = typed.join(counted, "name", "left").na.fill(

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.storage import store
 from ..operators.aggregates import group_by, group_by_time
 from ..operators.cleaning import fill_nulls, remove_nulls, standardize_text
 from ..operators.joins import join_tables
@@ -145,10 +146,14 @@ def monthly_sales(trend: DataFrame) -> DataFrame:
 
 
 def customer_revenue_ranked(revenue: DataFrame, descending: bool = True) -> DataFrame:
-    """Customers ranked by revenue over the whole table."""
+    """Customers ranked by revenue over the whole table.
+
+    The revenue table, one row per customer, is written first: ranking counts
+    its rows before it orders them, and the joins below should run once.
+    """
     order = ("line_total_sum", "desc" if descending else "asc")
     return window_functions(
-        revenue,
+        store(revenue, "customer-revenue"),
         None,
         [order],
         {"revenue_rank": "rank", "revenue_dense_rank": "dense_rank"},
