@@ -1,0 +1,178 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tableloom.plans import graph as g
+from tableloom.plans.lineage import (
+    LineageLog,
+    consolidate,
+    overview,
+    read_lineage,
+    transformation_listing,
+)
+
+
+def shop_log():
+    """Two sources, four steps, three tables in between, one result."""
+    log = LineageLog("run")
+    log.add_source("raw_customers", "csv", "data/customers.csv")
+    log.add_source("raw_orders", "csv", "data/orders.csv")
+    log.add_transformation("RemoveDuplicates", ["raw_customers"], "clean_customers")
+    log.add_transformation("FilterData", ["raw_orders"], "valid_orders", metadata={"input_rows": 9, "output_rows": 7})
+    log.add_transformation("InnerJoin", ["clean_customers", "valid_orders"], "customer_orders")
+    log.add_transformation("Aggregate", ["customer_orders"], "customer_analytics")
+    log.add_sink("customer_analytics", "parquet", "output/customer_analytics")
+    return log
+
+
+@pytest.fixture(scope="module")
+def lineage(spark):
+    return shop_log().tables(spark)
+
+
+@pytest.fixture(scope="module")
+def graph(lineage):
+    return g.build_graph(lineage)
+
+
+def pairs(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_statistics_with_dependencies(graph):
+    row = g.graph_statistics(*graph).first()
+    assert (row.total_nodes, row.total_edges) == (10, 14)
+    assert (row.data_sources, row.data_sinks, row.intermediate_datasets, row.transformations) == (2, 1, 3, 4)
+    assert (row.flow_paths, row.max_shortest_path) == (2, 3)
+    assert row.most_connected_node == "customer_orders"
+    kinds = dict(pairs(graph[1].groupBy("edge_type").count()))
+    assert kinds == {"consumes": 5, "produces": 4, "dependency": 5}
+
+
+def test_statistics_through_steps(lineage):
+    nodes, edges = g.build_graph(lineage, include_dependency_edges=False)
+    row = g.graph_statistics(nodes, edges).first()
+    assert (row.total_edges, row.max_shortest_path) == (9, 6)
+    busiest = g.most_connected(nodes).first()
+    assert (busiest.name, busiest.degree) == ("transform_run_3", 3)
+
+
+def test_paths(graph):
+    nodes, edges = graph
+    paths = g.flow_paths(nodes, edges)
+    assert {r.source: r.path for r in paths.collect()} == {
+        "raw_customers": ["raw_customers", "clean_customers", "customer_orders", "customer_analytics"],
+        "raw_orders": ["raw_orders", "valid_orders", "customer_orders", "customer_analytics"],
+    }
+    places = g.path_positions(paths, nodes).filter("source = 'raw_orders'").orderBy("position")
+    assert [r.node_type for r in places.collect()] == ["source", "intermediate", "intermediate", "sink"]
+    assert pairs(g.reachable_pairs(nodes, edges)) == [
+        ("raw_customers", "customer_analytics", 3), ("raw_orders", "customer_analytics", 3),
+    ]
+
+
+def test_impact(graph):
+    nodes, edges = graph
+    related, among = g.impact(nodes, edges, "valid_orders")
+    roles = {r.node: r.role for r in related.collect()}
+    assert roles["valid_orders"] == "selected" and roles["raw_orders"] == "upstream"
+    assert roles["customer_analytics"] == "downstream" and "raw_customers" not in roles
+    assert among.filter("src = 'clean_customers' OR dst = 'clean_customers'").count() == 0
+    assert among.columns == edges.columns
+    with pytest.raises(ValueError):
+        g.impact(nodes, edges, "nobody")
+
+
+def test_degrees_and_counts(graph, lineage):
+    nodes, edges = graph
+    roles = {r.name: r.dataset_role for r in g.degrees(edges).collect()}
+    assert roles["raw_orders"] == "source" and roles["customer_analytics"] == "final"
+    assert dict(pairs(g.node_type_counts(nodes)))["intermediate"] == 3
+    assert dict(pairs(g.transformation_counts(lineage)))["InnerJoin"] == 1
+
+
+def test_matrix(graph):
+    square = g.dependency_matrix(graph[1], ["raw_orders", "valid_orders", "customer_orders"])
+    assert {r.source: tuple(r)[1:] for r in square.collect()} == {
+        "raw_orders": (0, 1, 0), "valid_orders": (0, 0, 1), "customer_orders": (0, 0, 0),
+    }
+    assert g.dependency_matrix(graph[1]).count() == 14
+
+
+def test_adjacency_splits_large_lists(spark):
+    edges = spark.range(500).select(
+        F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("s"), F.col("id") % 20)).alias("source"),
+        F.concat(F.lit("t"), "id").alias("target"),
+    )
+    lists = g.adjacency(edges.union(edges), per_row=20)
+    assert lists.filter("source = 'hub'").count() > 1
+    assert pairs(lists.select("source", F.explode("targets"))) == pairs(edges)
+
+
+def test_walk_with_cycles_and_hubs(spark):
+    """Against a plain breadth-first search; a third of all edges leave one hub."""
+    edges = [("hub", f"n{i}") for i in range(40)] + [(f"n{i}", f"n{(i * 7 + 1) % 40}") for i in range(40)]
+    edges += [(f"n{i}", "hub") for i in range(0, 40, 3)] + [("a", "n5"), ("n5", "n5"), ("alone", "alone")]
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    seeds = spark.createDataFrame([("a",), ("n3",), ("alone",)], "root string")
+    after = {}
+    for s, d in edges:
+        after.setdefault(s, set()).add(d)
+    expected = set()
+    for root in ("a", "n3", "alone"):
+        best = {root: (root,)}
+        newest = [root]
+        while newest:
+            found = {}
+            for node in newest:
+                for d in after.get(node, ()):
+                    if d not in best:
+                        path = (*best[node], d)
+                        found[d] = min(found.get(d, path), path)
+            best |= found
+            newest = list(found)
+        expected |= {(root, n, len(p) - 1, p) for n, p in best.items()}
+    got = g.walk(frame, seeds, with_path=True)
+    assert {(r.root, r.node, r.distance, tuple(r.path)) for r in got.collect()} == expected
+    near = {(r.node, r.distance) for r in g.downstream(frame, "a").collect()}
+    assert near == {(n, d) for root, n, d, _ in expected if root == "a" and n != "a"}
+
+
+def test_role_priority(spark):
+    log = LineageLog("r")
+    log.add_source("t", "csv", "x")
+    log.add_sink("t", "csv", "y")
+    log.add_transformation("Copy", ["t"], "u")
+    log.records["dependencies"].append(("r", "t", "unknown", "r_1"))
+    nodes, edges = g.build_graph(log.tables(spark))
+    types = {r.name: r.node_type for r in nodes.collect()}
+    assert types == {"t": "sink", "u": "intermediate", "transform_r_1": "transformation"}
+    assert edges.filter("dst = 'unknown'").count() == 0
+
+
+def test_empty_lineage(spark):
+    nodes, edges = g.build_graph(LineageLog("r").tables(spark))
+    row = g.graph_statistics(nodes, edges).first()
+    assert (row.total_nodes, row.flow_paths, row.max_shortest_path) == (0, 0, 0)
+    assert row.most_connected_node is None
+
+
+def test_export_and_consolidate(spark, tmp_path, lineage):
+    one, two = shop_log(), LineageLog("other")
+    two.add_source("raw_orders", "csv", "data/orders.csv")
+    two.add_transformation("Copy", ["raw_orders"], "copy")
+    one.export(spark, str(tmp_path / "one"))
+    two.export(spark, str(tmp_path / "two"))
+    back = read_lineage(spark, [str(tmp_path / "one")])
+    for name, table in one.tables(spark).items():
+        shown = [c for c, t in table.dtypes if not t.startswith("map") and c != "ts"]
+        assert pairs(back[name].select(*shown)) == pairs(table.select(*shown))
+    merged = read_lineage(
+        spark, [str(tmp_path / n) for n in ("one", "two", "missing", "one")]
+    )
+    unique = consolidate([merged])
+    assert dict(pairs(overview(unique))) == {
+        "data_sources": 2, "data_sinks": 1, "transformations": 5, "dependencies": 6,
+    }
+    listing = transformation_listing(unique).filter("name = 'FilterData'").first()
+    assert (listing.inputs, listing.input_rows, listing.output_rows) == ("raw_orders", 9, 7)
+    assert g.build_graph(unique)[0].count() == 12
