@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import known, require
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, sketch_input, sketch_quantiles
 
 # Function name -> (Spark function, suffix of the result column).
 AGGREGATES = {
@@ -148,13 +148,13 @@ def statistics(
 
 def _sketched_quartiles(df: DataFrame, names: Sequence[str]) -> DataFrame:
     def row(column: str) -> Column:
-        sketch = F.percentile_approx(F.col(column).cast("double"), [0.25, 0.5, 0.75])
+        sketch = sketch_quantiles(column, [0.25, 0.5, 0.75])
         return F.struct(
             F.lit(column).alias("column"),
             *[sketch[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
         )
 
-    rows = df.agg(F.array(*[row(c) for c in names]).alias("rows"))
+    rows = sketch_input(df, names).agg(F.array(*[row(c) for c in names]).alias("rows"))
     return rows.select(F.inline("rows"))
 
 

@@ -15,7 +15,7 @@ from ..functions.expressions import (
     sort_columns,
     tidy_text,
 )
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, sketch_input, sketch_quantiles
 
 
 def remove_nulls(
@@ -113,9 +113,9 @@ def outlier_bounds(
             ]
         )
     else:
-        ends = df.agg(
+        ends = sketch_input(df, columns).agg(
             *[
-                F.percentile_approx(c, [0.25, 0.75])[i].alias(f"{c}_{name}")
+                sketch_quantiles(c, [0.25, 0.75])[i].alias(f"{c}_{name}")
                 for c in columns
                 for i, name in enumerate(("q1", "q3"))
             ]

@@ -1,16 +1,63 @@
-"""Exact quantiles without bringing a column into one task."""
+"""Exact quantiles without sorting or shuffling a whole column."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.groups import GROUP_ROWS
 from ..functions.storage import store
 from .windows import window_functions
 
+SKETCH_ACCURACY = 10_000
+SLACK = 2 / SKETCH_ACCURACY
+
+SKETCH_TASKS = 4_000
+"""All sketches of a column meet in one task, so only so many tasks build one."""
+
+RESULT = "column string, probability double, value double"
+
+
+@dataclass(frozen=True)
+class _Target:
+    """A quantile to find, and the values it should lie between (None: any)."""
+
+    column: str
+    probability: float
+    position: int
+    low: float | None = None
+    high: float | None = None
+
+    @property
+    def value(self) -> Column:
+        return F.col(self.column).cast("double")
+
+    @property
+    def below(self) -> Column:
+        return F.lit(False) if self.low is None else self.value < self.low
+
+    @property
+    def inside(self) -> Column:
+        if self.low is None:
+            return self.value.isNotNull()
+        return self.value.between(self.low, self.high)
+
+
+def sketch_quantiles(column: str, probabilities: Sequence[float]) -> Column:
+    """Approximate quantiles of one column; use over ``sketch_input``."""
+    value = F.col(column).cast("double")
+    return F.percentile_approx(value, list(probabilities), SKETCH_ACCURACY)
+
+
+def sketch_input(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns, read by a bounded number of tasks (without a shuffle)."""
+    return df.select(*columns).coalesce(SKETCH_TASKS)
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -20,46 +67,110 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows (column, probability, value): discrete quantiles of each column.
 
-    Values are counted first (a hot value collapses map-side), and the counts
-    are summed up in value order with the window operator, which splits a
-    column with very many distinct values over many tasks. The quantile is the
-    smallest value at which the running count reaches probability * rows.
+    A sketch says between which two values a quantile must lie; only the rows in
+    between, some ten-thousandths of the table, are counted per value and summed
+    up in value order. How many rows lie below is counted in full, so a quantile
+    is known to be inside its bounds, and is searched without them if it is not.
     Values are compared as doubles; NULLs are ignored.
     """
-    cells = F.array(
+    bounded = _bounded_targets(df, columns, probabilities)
+    found, missed = _search(df, bounded, group_rows)
+    if missed:
+        unbounded = [_Target(t.column, t.probability, t.position) for t in missed]
+        found += _search(df, unbounded, group_rows)[0]
+    if not found:
+        return df.sparkSession.createDataFrame([], RESULT)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _bounded_targets(df, columns, probabilities) -> list[_Target]:
+    """One row comes back: a few sketch quantiles and a count per column."""
+    edges = [
+        edge
+        for p in probabilities
+        for edge in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))
+    ]
+    row = (
+        sketch_input(df, columns)
+        .agg(
+            *[
+                F.struct(
+                    F.count(c).alias("rows"), sketch_quantiles(c, edges).alias("edges")
+                ).alias(c)
+                for c in columns
+            ]
+        )
+        .first()
+    )
+    return [
+        _Target(
+            c,
+            float(p),
+            max(1, ceil(p * row[c].rows)),
+            row[c].edges[2 * i],
+            row[c].edges[2 * i + 1],
+        )
+        for c in columns
+        if row[c].rows
+        for i, p in enumerate(probabilities)
+    ]
+
+
+def _search(
+    df: DataFrame, targets: list[_Target], group_rows: int
+) -> tuple[list[DataFrame], list[_Target]]:
+    """(table of the quantiles inside their bounds, targets outside theirs)."""
+    if not targets:
+        return [], []
+    counted = df.agg(
         *[
-            F.struct(
-                F.lit(c).alias("column"), F.col(c).cast("double").alias("value")
-            )
-            for c in columns
+            F.struct(F.count_if(t.below).alias("below"), F.count_if(t.inside).alias("inside"))
+            for t in targets
         ]
+    ).first()
+    hits, missed = [], []
+    for target, rows in zip(targets, counted):
+        hit = rows.below < target.position <= rows.below + rows.inside
+        (hits if hit else missed).append((target, rows.below))
+    if not hits:
+        return [], [t for t, _ in missed]
+    cells = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    t.inside,
+                    F.struct(
+                        F.lit(t.column).alias("column"),
+                        F.lit(t.probability).alias("probability"),
+                        t.value.alias("value"),
+                    ),
+                )
+                for t, _ in hits
+            ]
+        )
     )
-    # Three steps below read the counts.
-    counts = store(
-        df.select(F.inline(cells))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
+    candidates = store(
+        df.filter(reduce(lambda a, b: a | b, [t.inside for t, _ in hits]))
+        .select(F.inline(cells))
+        .groupBy("column", "probability", "value")
         .agg(F.count(F.lit(1)).alias("n")),
-        "value-counts",
+        "quantile-candidates",
     )
     running = window_functions(
-        counts, ["column"], ["value"], {"reached": "sum(n)"}, group_rows=group_rows
+        candidates,
+        ["column", "probability"],
+        ["value"],
+        {"reached": "sum(n)"},
+        group_rows=group_rows,
     )
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    targets = totals.select("column", "total", wanted.alias("probability")).select(
-        "column",
-        "probability",
-        F.greatest(
-            F.lit(1), F.ceil(F.col("probability") * F.col("total"))
-        ).alias("position"),
+    wanted = df.sparkSession.createDataFrame(
+        [(t.column, t.probability, t.position - below) for t, below in hits],
+        "column string, probability double, place bigint",
     )
     # One row per column and probability: a broadcast of known, tiny size.
-    return (
-        running.join(F.broadcast(targets), "column")
-        .filter(
-            (F.col("reached") >= F.col("position"))
-            & (F.col("reached") - F.col("n") < F.col("position"))
-        )
+    quantiles = (
+        running.join(F.broadcast(wanted), ["column", "probability"])
+        .filter("reached >= place AND reached - n < place")
         .select("column", "probability", "value")
     )
+    return [quantiles], [t for t, _ in missed]

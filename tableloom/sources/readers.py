@@ -91,6 +91,10 @@ class Workspace:
         self.log.add_source(name, format_type.lower(), path, df)
         return self.add(name, df)
 
+    def rows(self, name: str) -> int:
+        """Row count of a table; loading itself counts nothing."""
+        return self.tables[name].count()
+
     def load_all(
         self, catalogue: Mapping[str, Mapping], base_path: str = ""
     ) -> dict[str, DataFrame]:

@@ -162,3 +162,23 @@ def test_stateless_operators_accept_streams(spark, tmp_path):
     )
     running.awaitTermination(60)
     assert [tuple(r) for r in spark.table("prepared").collect()] == [(1, "a", 0.0, True, True)]
+
+
+def test_quantile_outside_its_bounds_is_still_found(spark, monkeypatch):
+    from tableloom.operators import quantiles as module
+
+    df = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"))
+
+    def wrong(*_):
+        return [module._Target("x", 0.5, 500, 700.0, 800.0), module._Target("x", 0.9, 900, 890.0, 910.0)]
+
+    monkeypatch.setattr(module, "_bounded_targets", wrong)
+    got = {r.probability: r.value for r in exact_quantiles(df, ["x"], [0.5, 0.9]).collect()}
+    assert got == {0.5: 500.0, 0.9: 900.0}
+
+
+def test_quantiles_of_empty_columns(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    got = [tuple(r) for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()]
+    assert got == [("b", 0.5, 1.0)]
+    assert exact_quantiles(df, ["a"], [0.5]).count() == 0

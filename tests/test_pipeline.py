@@ -155,7 +155,7 @@ def test_workspace(spark, tmp_path):
     assert dict(loaded["typed"].dtypes) == {"a": "int", "b": "double", "c": "string"}
     assert set(dict(loaded["text"].dtypes).values()) == {"string"}
     assert space.skipped["gone"] == "missing" and "xml" in space.skipped["odd"]
-    assert spark.table("typed").count() == 1
+    assert spark.table("typed").count() == space.rows("typed") == 1
     assert read_stage(spark, str(tmp_path / "stage"), "t").count() == 1
     lists = space.log.tables(spark)
     assert lists["data_sources"].first().schema == {"a": "int", "b": "double", "c": "string"}
