@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..plans import reports as r
-from ..plans.pipeline import run_steps
+from ..plans.runs import run_steps
 from ..sources import synthetic as s
 from ..sources.readers import Workspace
 from .registry import query, table

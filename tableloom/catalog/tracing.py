@@ -6,8 +6,11 @@ from ..functions.storage import new_folder
 from ..plans import graph as g
 from ..plans import steps as st
 from ..plans.lineage import consolidate, overview, transformation_listing
-from ..plans.pipeline import run_steps
-from ..sources.readers import Workspace, read_table
+from ..plans.runs import run_steps
+from ..operators.aggregates import row_count
+from ..operators.joins import union_tables
+from ..sources import writers as w
+from ..sources.readers import Workspace, read_stage, read_table
 from ..sources.writers import write_table
 from .planted import ORDERS_WITH_NULLS, orders_with_nulls
 from .registry import query, table
@@ -537,9 +540,107 @@ def step_graph(spark, sf_dir):
     return edges.join(sizes, "dst")
 
 
+# --- exports ----------------------------------------------------------------------
+
+
+@query(
+    "export_manifest",
+    _STEP_ROWS
+    + """SELECT 'dataset' AS kind, output AS name, rows_out AS "rows" FROM run
+         UNION ALL SELECT 'dataset', 'orders', a FROM orders_in
+         UNION ALL SELECT 'dataset', 'customers', count(*) FROM customer
+         UNION ALL SELECT 'sample', output, least(rows_out, 100) FROM run
+         UNION ALL SELECT 'sample', 'orders', least(a, 100) FROM orders_in
+         UNION ALL SELECT 'sample', 'customers', least(count(*), 100) FROM customer
+         UNION ALL SELECT 'steps', unnest(['execution_results', 'execution_summary']), 4
+         UNION ALL SELECT 'quality', 'orders', 1""",
+)
+def export_manifest(spark, sf_dir):
+    run = _run(spark, sf_dir)
+    tables = run.workspace.tables
+    folder = new_folder(spark, "export")
+    written = w.export_tables(tables, folder)
+    written += w.export_steps(run.steps(), folder)
+    written += w.export_quality({"orders": tables["orders"]}, folder)
+    w.export_manifest(spark, written, folder)
+    back = read_table(spark, f"{folder}/manifest", "json", schema=w.MANIFEST)
+    return back.select("kind", "name", "rows")
+
+
+@query(
+    "export_spec",
+    _STEP_ROWS
+    + """SELECT step::BIGINT AS step, transformation, output AS output_name,
+                rows_out AS expected_rows, cols::BIGINT AS expected_columns FROM run""",
+)
+def export_spec(spark, sf_dir):
+    path = new_folder(spark, "spec")
+    steps = _run(spark, sf_dir).steps()
+    w.export_spec(spark, steps, {"orders": {"path": f"{sf_dir}/orders.parquet"}}, path)
+    return read_table(spark, path, "json").select(
+        "step", "transformation", "output_name", "expected_rows", "expected_columns"
+    )
+
+
+@query("export_graph_links", _LINEAGE + "SELECT src, dst, edge_type FROM edge")
+def export_graph_links(spark, sf_dir):
+    folder = new_folder(spark, "export")
+    w.export_graph(*_graph(spark, sf_dir), folder)
+    return read_table(spark, f"{folder}/graph/links", "json").select("src", "dst", "edge_type")
+
+
+@query(
+    "export_quality",
+    f"""SELECT 'with_nulls' AS dataset, count(*) AS total_rows, 0::BIGINT AS duplicate_count
+        FROM {ORDERS_WITH_NULLS}""",
+)
+def export_quality(spark, sf_dir):
+    folder = new_folder(spark, "export")
+    w.export_quality({"with_nulls": orders_with_nulls(spark, sf_dir)}, folder)
+    return read_table(spark, f"{folder}/quality_reports/with_nulls", "json").select(
+        "dataset", "total_rows", "duplicate_count"
+    )
+
+
 # --- files ------------------------------------------------------------------------
 
 
+@query(
+    "load_catalogue",
+    """SELECT 'part' AS name, count(*) AS "rows" FROM part
+       UNION ALL SELECT 'customer', count(*) FROM customer
+       UNION ALL SELECT 'orders', count(*) FROM orders""",
+)
+def load_catalogue(spark, sf_dir):
+    folder = new_folder(spark, "catalogue")
+    kinds = {"part": "csv", "customer": "json", "orders": "parquet"}
+    for name, kind in kinds.items():
+        write_table(table(spark, sf_dir, name), f"{folder}/{name}", kind)
+    catalogue = {n: {"path": f"/{n}", "format": k} for n, k in kinds.items()}
+    catalogue["missing"] = {"path": "/missing", "format": "parquet"}
+    loaded = Workspace(spark).load_all(catalogue, folder)
+    counts = [
+        row_count(df).select(F.lit(name).alias("name"), "rows") for name, df in loaded.items()
+    ]
+    return union_tables(counts, "union_all")
+
+
+@query(
+    "stage_handoff",
+    """SELECT o_orderpriority, count(*) AS orders FROM orders WHERE o_orderstatus = 'F'
+       GROUP BY o_orderpriority""",
+)
+def stage_handoff(spark, sf_dir):
+    folder = new_folder(spark, "stages")
+    closed = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    write_table(closed, f"{folder}/closed", "parquet")
+    return (
+        read_stage(spark, folder, "closed")
+        .groupBy("o_orderpriority")
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+
+
 @query(
     "roundtrip_csv",
     "SELECT doc_id, lang, n_chars, length(text)::INTEGER AS length, md5(text) AS digest FROM documents",

@@ -181,6 +181,8 @@ def lookup(
         F.col(lookup_key).alias(main_key),
         *[F.col(c).alias(c + suffix if c in main.columns else c) for c in extra],
     )
+    if unique_by:
+        return main.join(picked, main_key, "left")
     return _one_sided(main, picked, [main_key], "left", group_rows)
 
 

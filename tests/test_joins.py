@@ -116,3 +116,27 @@ def test_union(people):
         union_tables([people])
     with pytest.raises(ValueError):
         union_tables(three, "minus")
+
+
+def test_adaptive_execution_splits_hot_inner_joins(spark):
+    """The inner join relies on it, so it must apply to the plan we build."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        facts = spark.range(0, 60_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 1000).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        )
+        names = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("name"))
+        joined = join_tables(facts, names, ["k"])
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

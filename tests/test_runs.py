@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions import storage
 from tableloom.plans import steps as st
-from tableloom.plans.pipeline import check_against_spec, run_steps, steps_from_spec
+from tableloom.plans.runs import check_against_spec, run_steps, steps_from_spec
 from tableloom.plans.registry import OPERATORS, Operator, find, register
 from tableloom.plans.reports import DEMO_STEPS
 from tableloom.sources import synthetic as s
@@ -104,6 +104,16 @@ def test_exports(workspace, spark, tmp_path):
     assert spark.read.json(f"{folder}/manifest").count() == manifest.count()
 
 
+def test_graph_export(workspace, spark, tmp_path):
+    nodes, edges = st.step_graph(run_steps(workspace, STEPS).steps())
+    written = w.export_graph(nodes, edges, str(tmp_path))
+    assert [(kind, name, rows) for _, kind, name, rows in written] == [
+        ("graph", "nodes", nodes.count()), ("graph", "links", edges.count()),
+    ]
+    back = read_table(spark, str(tmp_path / "graph" / "links"), "json")
+    assert back.filter("src = 'joined' AND dst = 'totals'").count() == 1
+
+
 def test_registry(spark):
     assert {len(OPERATORS["Data Cleaning"]), len(OPERATORS["Joins & Integration"])} == {9, 5}
     assert find("cross_join").inputs == 2
