@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import OrderSpec, require, sort_columns
-from ..functions.groups import GROUP_ROWS, attach, large_groups, split_off
+from ..functions.groups import GROUP_ROWS, SIZE, attach, large_groups, split_off
 from ..functions.storage import store
 
 RANKINGS = ("row_number", "rank", "dense_rank")
@@ -158,12 +158,14 @@ def _apply(
         if large is None:
             return _plain(df, keys, orders, calls)
         small, big = split_off(df, keys, large)
+        rows = large.agg(F.sum(SIZE)).first()[0]
         return _plain(small, keys, orders, calls).unionByName(
-            _blocked(big, keys, orders, calls, group_rows)
+            _blocked(big, keys, orders, calls, rows, group_rows)
         )
-    if df.count() <= group_rows:
+    rows = df.count()
+    if rows <= group_rows:
         return _plain(df, keys, orders, calls)
-    return _blocked(df, keys, orders, calls, group_rows)
+    return _blocked(df, keys, orders, calls, rows, group_rows)
 
 
 def _plain(df, keys, orders, calls) -> DataFrame:
@@ -171,7 +173,7 @@ def _plain(df, keys, orders, calls) -> DataFrame:
     return df.withColumns({alias: call.over(window) for alias, call in calls.items()})
 
 
-def _numbered(df, keys, orders, group_rows) -> DataFrame:
+def _numbered(df, keys, orders, rows, group_rows) -> DataFrame:
     """``df`` plus each row's place (1, 2, ...) in its group, over many tasks."""
     hashable = [
         f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
@@ -182,7 +184,7 @@ def _numbered(df, keys, orders, group_rows) -> DataFrame:
         {"__hash": F.xxhash64(*hashable), "__origin": F.spark_partition_id()}
     )
     sort = [*[F.col(k).asc() for k in keys], *sort_columns(orders), "__hash", "__origin"]
-    slices = max(1, -(-df.count() // group_rows))
+    slices = max(1, -(-rows // group_rows))
     sliced = store(
         spread.repartitionByRange(slices, *sort).withColumn(
             _SLICE, F.spark_partition_id()
@@ -210,8 +212,8 @@ def _numbered(df, keys, orders, group_rows) -> DataFrame:
     )
 
 
-def _blocked(df, keys, orders, calls, group_rows) -> DataFrame:
-    numbered = _numbered(df, keys, orders, group_rows)
+def _blocked(df, keys, orders, calls, rows, group_rows) -> DataFrame:
+    numbered = _numbered(df, keys, orders, rows, group_rows)
     back = max(c.rows_before for c in calls.values())
     ahead = max(c.rows_after for c in calls.values())
     size = max(group_rows, back, ahead, 1)

@@ -160,6 +160,7 @@ def customer_revenue_ranked(revenue: DataFrame, descending: bool = True) -> Data
     )
 
 
+# The demonstration run.
 DEMO_STEPS = [
     {
         "dataset": "customers",

@@ -36,7 +36,7 @@ def events(spark):
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-@pytest.mark.parametrize("group_rows", [1, 7, 40, 150])
+@pytest.mark.parametrize("group_rows", [4, 40])
 def test_split_groups_equal_whole_groups(events, keys, group_rows):
     order = [("t", "desc"), "id"]
     whole = window_functions(events, keys, order, ALL)
@@ -45,7 +45,7 @@ def test_split_groups_equal_whole_groups(events, keys, group_rows):
     assert rows(split) == rows(whole)
 
 
-@pytest.mark.parametrize("group_rows", [5, 30])
+@pytest.mark.parametrize("group_rows", [8])
 def test_ranks_with_ties_larger_than_a_block(events, group_rows):
     ranks = {"rk": "rank", "dr": "dense_rank"}
     for order in (["t"], [F.col("t").desc_nulls_first()]):
@@ -62,7 +62,7 @@ def test_exact_copies_are_numbered_without_gaps(spark):
 
 
 @pytest.mark.parametrize("function", ["avg", "sum", "min", "max", "count"])
-@pytest.mark.parametrize("size", [1, 4, 60])
+@pytest.mark.parametrize("size", [4, 60])
 def test_rolling_split(events, function, size):
     arguments = (events, ["k"], ["t", "id"], size, "v", function)
     whole = rolling_aggregation(*arguments)
@@ -76,7 +76,7 @@ def test_rolling_of_one_row_is_the_column(events):
     assert rolled.filter("NOT same <=> v").count() == 0
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     data=st.lists(st.tuples(st.integers(0, 1), st.one_of(st.none(), st.integers(0, 4))), min_size=1, max_size=30),
     group_rows=st.integers(1, 6),
