@@ -61,7 +61,7 @@ def tidy_text(column: Column, operations: Sequence[str]) -> Column:
     elif "upper" in operations:
         column = F.upper(column)
     if "remove_special" in operations:
-        column = F.regexp_replace(column, r"[^a-zA-Z0-9\s]", "")
+        column = F.regexp_replace(column, r"[^a-zA-Z0-9\s]+", "")
     return column
 
 
