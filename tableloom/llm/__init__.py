@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import decontaminate, quality, simhash  # noqa: F401
+from . import decontaminate, quality, secret_scan, simhash  # noqa: F401
 from .registry import QUERIES, SQL
 
 # Executors need not have this package: its functions travel with their code.

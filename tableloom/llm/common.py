@@ -30,7 +30,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     Spark merges projections, and an expression named inside a lambda would
     then be computed again for every array element.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
 def numbered(df: DataFrame, keys: list[str], label: str, name: str = "place") -> DataFrame:
