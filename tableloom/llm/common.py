@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.storage import store
@@ -51,14 +51,9 @@ def numbered(df: DataFrame, keys: list[str], label: str, name: str = "place") ->
     part, row = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     ranged = store(ranged, label).select("*", part.alias("__part"), row.alias("__row"))
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    later = sizes.select(F.col("__part").alias("__p"), F.col("__n").alias("__before"))
-    # One row per partition: a table as small as the number of partitions.
-    starts = (
-        sizes.select("__part")
-        .join(later, F.col("__p") < F.col("__part"), "left")
-        .groupBy("__part")
-        .agg(F.coalesce(F.sum("__before"), F.lit(0)).alias("__start"))
-    )
+    # One row per partition, however many rows these have.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     return (
         ranged.join(starts, "__part")
         .withColumn(name, F.col("__start") + F.col("__row"))
