@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import byte_bpe, decontaminate, quality, secret_scan, simhash, token_files  # noqa: F401
+from . import byte_bpe, decontaminate, quality, secret_scan, simhash, token_files, toxicity  # noqa: F401
 from .registry import QUERIES, SQL
 
 # Executors need not have this package: its functions travel with their code.

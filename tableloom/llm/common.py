@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.storage import store
 
-__all__ = ["WORD_BREAK", "let", "numbered", "packed", "store", "table"]
+__all__ = ["WORD_BREAK", "let", "numbered", "packed", "pieces", "store", "table"]
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 """White space between words, in Java's and Python's notation alike."""
@@ -24,6 +24,20 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
+def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """``data`` in pieces of about ``size`` bytes that end before ASCII white space.
+
+    What is made of a very long text's words is then held a piece at a time.
+    """
+    start = 0
+    while start < len(data):
+        end = start + size
+        while end < len(data) and data[end] not in b" \t\n\r\x0b\x0c":
+            end += 1
+        yield data[start:end]
+        start = end
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often it is used.
 

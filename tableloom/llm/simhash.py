@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, store, table
+from .common import packed, pieces, store, table
 from .registry import query
 
 SHINGLE_WORDS = 3
@@ -33,28 +33,22 @@ RADIUS = 2
 BLOCKS = 5
 BUCKET = 64
 """Different fingerprints in a bucket up to which all its pairs are compared."""
-PIECE_BYTES = 1 << 20
-"""Text hashed at a time: what a very long text costs in memory."""
-_SPACE = b" \t\n\r\x0b\x0c"
 
 
-def _pieces(data: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+def _word_lists(data: bytes) -> Iterator[list[bytes]]:
     """The words of ``data``, some at a time; each list repeats the two words before it."""
-    start, carried = 0, []
-    while start < len(data):
-        end = start + size
-        while end < len(data) and data[end] not in _SPACE:
-            end += 1
-        words = carried + data[start:end].split()
+    carried = []
+    for piece in pieces(data):
+        words = carried + piece.split()
         yield words
-        carried, start = words[-(SHINGLE_WORDS - 1) :], end
+        carried = words[-(SHINGLE_WORDS - 1) :]
 
 
 def fingerprint(text: str | None) -> int:
     """Majority fingerprint of the text's shingles (fewer words: of all its words)."""
     data = (text or "").encode().lower()
     ones, total, short = np.zeros(64, np.int64), 0, None
-    for words in _pieces(data):
+    for words in _word_lists(data):
         if len(words) < SHINGLE_WORDS:
             short = words if total == 0 else short
             continue

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.storage import new_folder
 
-from .common import store, table
+from .common import pieces, store, table
 from .registry import query
 
 VOCABULARY = "word_bpe_49k.json"
@@ -77,7 +77,15 @@ class WordEncoder:
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode().split() for t in texts]
+        """The ids of each text, in order; a very long one is encoded in pieces."""
+        if len(texts) == 1 and len(texts[0] or "") > GROUP_BYTES:
+            parts = pieces(texts[0].encode())
+            yield b"".join(ids for p in parts for ids in self._texts([p]))
+        else:
+            yield from self._texts([(t or "").encode() for t in texts])
+
+    def _texts(self, texts: list[bytes]) -> Iterator[bytes]:
+        split = [t.split() for t in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known = {}
@@ -98,6 +106,11 @@ def _writer(folder: str, vocabulary, width: int, end_id: int):
         rows, size = [], 0
         for batch in batches:
             for row in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                if len(row[1] or "") > GROUP_BYTES:  # alone
+                    yield rows
+                    yield [row]
+                    rows, size = [], 0
+                    continue
                 rows.append(row)
                 size += len(row[1] or "")
                 if size >= GROUP_BYTES:
