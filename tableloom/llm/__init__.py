@@ -4,7 +4,17 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import byte_bpe, decontaminate, quality, secret_scan, simhash, token_files, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    byte_bpe,
+    decontaminate,
+    pseudonyms,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+)
 from .registry import QUERIES, SQL
 
 # Executors need not have this package: its functions travel with their code.
