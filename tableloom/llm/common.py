@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.storage import store
 
-__all__ = ["WORD_BREAK", "let", "numbered", "packed", "pieces", "store", "table"]
+__all__ = ["WORD_BREAK", "let", "numbered", "packed", "pieces", "slices", "store", "table"]
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 """White space between words, in Java's and Python's notation alike."""
@@ -38,6 +38,13 @@ def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
         start = end
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches in small slices, so that what Python makes of one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often it is used.
 

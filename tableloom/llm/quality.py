@@ -198,9 +198,10 @@ def learn_rules(
             for side in (True, False)
         ]
     ).first()
-    points = {
-        n: sorted({v for side in (True, False) for v in (row[f"{n}_{side}"] or [])}) for n in names
-    }
+    points = {}
+    for n in names:
+        seen = sorted({v for side in (True, False) for v in (row[f"{n}_{side}"] or [])})
+        points[n] = [(a + b) / 2 for a, b in zip(seen, seen[1:])]  # as far from both as can be
 
     def bin_of(name: str) -> Column:
         """How many cut points the value reaches."""

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, pieces, store, table
+from .common import packed, pieces, slices, store, table
 from .registry import query
 
 SHINGLE_WORDS = 3
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     """``id``, ``fp`` (the 64 bits as a signed long) of every row; null text: zero."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             values = [_signed(fingerprint(t)) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [batch.column("id"), pa.array(values, pa.int64())], names=["id", "fp"]

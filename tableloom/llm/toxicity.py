@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, store, table
+from .common import pieces, slices, store, table
 from .registry import query
 
 FIT_ROWS = 10_000
@@ -97,7 +97,7 @@ def _counted(held):
 
     def run(batches):
         levels = WordLevels(*held.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [levels.counts(t) for t in batch.column("text").to_pylist()]
             flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
             offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * LEVELS)
