@@ -1 +1 @@
-"""Table preparation, quality profiling and lineage as plain Spark DataFrames."""
+"""Table preparation, quality profiling and provenance as plain Spark DataFrames."""

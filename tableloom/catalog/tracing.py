@@ -1,4 +1,4 @@
-"""Queries over lineage graphs, executed steps and files."""
+"""Queries over provenance graphs, executed steps and files."""
 
 from pyspark.sql import functions as F
 
@@ -7,7 +7,7 @@ from ..operators.aggregates import row_count
 from ..operators.joins import union_tables
 from ..plans import graph as g
 from ..plans import steps as st
-from ..plans.lineage import consolidate, overview, transformation_listing
+from ..plans.provenance import consolidate, overview, transformation_listing
 from ..plans.runs import run_steps
 from ..sources import writers as w
 from ..sources.readers import Workspace, read_stage, read_table
@@ -15,12 +15,12 @@ from ..sources.writers import write_table
 from .planted import ORDERS_WITH_NULLS, orders_with_nulls
 from .registry import query, table
 
-# --- lineage graph ----------------------------------------------------------------
+# --- provenance graph ----------------------------------------------------------------
 # Part p is the step that makes table t_k, k = p + 8, of t_(k div 2) and t_(k div 3).
 # Tables nobody makes are the sources, tables nobody reads the sinks.
 
 _FIRST = 8
-_LINEAGE = f"""
+_PROVENANCE = f"""
     WITH RECURSIVE step AS (
         SELECT p_partkey AS p, p_partkey + {_FIRST} AS k, p_type AS name FROM part),
     reads AS (SELECT DISTINCT p, k, 't_' || j AS input, 't_' || k AS output
@@ -48,7 +48,7 @@ _LINEAGE = f"""
 """
 # Shortest paths never pass through a step: its tables are linked directly.
 _WALK = (
-    _LINEAGE
+    _PROVENANCE
     + """,
     walk(root, node, path) AS (
         SELECT name, name, [name] FROM source
@@ -73,8 +73,8 @@ def _near(name, forward):
         SELECT * FROM near) WHERE node <> '{name}' GROUP BY node"""
 
 
-def lineage_of_parts(spark, sf_dir, run="p", source="part", key="p_partkey", label="p_type"):
-    """A lineage set with one step per row of a given table."""
+def provenance_of_parts(spark, sf_dir, run="p", source="part", key="p_partkey", label="p_type"):
+    """A provenance set with one step per row of a given table."""
     k = F.col(key) + _FIRST
 
     def t(number):
@@ -119,50 +119,50 @@ def lineage_of_parts(spark, sf_dir, run="p", source="part", key="p_partkey", lab
 
 
 def _graph(spark, sf_dir):
-    return g.build_graph(lineage_of_parts(spark, sf_dir))
+    return g.build_graph(provenance_of_parts(spark, sf_dir))
 
 
-@query("lineage_nodes", _LINEAGE + "SELECT * FROM node")
-def lineage_nodes(spark, sf_dir):
+@query("provenance_nodes", _PROVENANCE + "SELECT * FROM node")
+def provenance_nodes(spark, sf_dir):
     return _graph(spark, sf_dir)[0]
 
 
-@query("lineage_edges", _LINEAGE + "SELECT * FROM edge")
-def lineage_edges(spark, sf_dir):
+@query("provenance_edges", _PROVENANCE + "SELECT * FROM edge")
+def provenance_edges(spark, sf_dir):
     return _graph(spark, sf_dir)[1]
 
 
 @query(
-    "lineage_edges_through_steps",
-    _LINEAGE + "SELECT * FROM edge WHERE edge_type <> 'dependency'",
+    "provenance_edges_through_steps",
+    _PROVENANCE + "SELECT * FROM edge WHERE edge_type <> 'dependency'",
 )
-def lineage_edges_through_steps(spark, sf_dir):
-    return g.build_edges(lineage_of_parts(spark, sf_dir), include_dependency_edges=False)
+def provenance_edges_through_steps(spark, sf_dir):
+    return g.build_edges(provenance_of_parts(spark, sf_dir), include_dependency_edges=False)
 
 
 @query(
-    "lineage_degrees",
-    _LINEAGE
+    "provenance_degrees",
+    _PROVENANCE
     + """SELECT name, in_degree, out_degree,
                 CASE WHEN in_degree = 0 THEN 'source' WHEN out_degree = 0 THEN 'final'
                      ELSE 'intermediate' END AS dataset_role
          FROM node""",
 )
-def lineage_degrees(spark, sf_dir):
-    return g.degrees(g.build_edges(lineage_of_parts(spark, sf_dir)))
+def provenance_degrees(spark, sf_dir):
+    return g.degrees(g.build_edges(provenance_of_parts(spark, sf_dir)))
 
 
-@query("lineage_downstream", _LINEAGE + _near(_START, True))
-def lineage_downstream(spark, sf_dir):
+@query("provenance_downstream", _PROVENANCE + _near(_START, True))
+def provenance_downstream(spark, sf_dir):
     return g.downstream(_graph(spark, sf_dir)[1], _START)
 
 
 @query(
-    "lineage_upstream",
-    _LINEAGE
+    "provenance_upstream",
+    _PROVENANCE
     + _near("@", False).replace("'@'", "(SELECT 't_' || (max(k)) FROM step)"),
 )
-def lineage_upstream(spark, sf_dir):
+def provenance_upstream(spark, sf_dir):
     last = table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] + _FIRST
     return g.upstream(_graph(spark, sf_dir)[1], f"t_{last}")
 
@@ -174,57 +174,57 @@ _RELATED = f"""(SELECT node, min(role) AS role FROM (
 
 
 @query(
-    "lineage_impact",
-    _LINEAGE
+    "provenance_impact",
+    _PROVENANCE
     + f"""SELECT node, CASE role WHEN 'a' THEN 'selected' WHEN 'b' THEN 'upstream'
                             ELSE 'downstream' END AS role FROM {_RELATED}""",
 )
-def lineage_impact(spark, sf_dir):
+def provenance_impact(spark, sf_dir):
     return g.impact(*_graph(spark, sf_dir), _START)[0]
 
 
 @query(
-    "lineage_impact_edges",
-    _LINEAGE
+    "provenance_impact_edges",
+    _PROVENANCE
     + f""", related AS {_RELATED}
     SELECT * FROM edge WHERE src IN (SELECT node FROM related)
                          AND dst IN (SELECT node FROM related)""",
 )
-def lineage_impact_edges(spark, sf_dir):
+def provenance_impact_edges(spark, sf_dir):
     return g.impact(*_graph(spark, sf_dir), _START)[1]
 
 
-@query("lineage_reachable", _WALK + "SELECT source, sink, length::INTEGER AS length FROM best")
-def lineage_reachable(spark, sf_dir):
+@query("provenance_reachable", _WALK + "SELECT source, sink, length::INTEGER AS length FROM best")
+def provenance_reachable(spark, sf_dir):
     return g.reachable_pairs(*_graph(spark, sf_dir))
 
 
 @query(
-    "lineage_paths",
+    "provenance_paths",
     _WALK
     + """SELECT source, sink, array_to_string(path, ' > ') AS path, length::INTEGER AS length
          FROM best""",
 )
-def lineage_paths(spark, sf_dir):
+def provenance_paths(spark, sf_dir):
     paths = g.flow_paths(*_graph(spark, sf_dir))
     return paths.withColumn("path", F.array_join("path", " > "))
 
 
 @query(
-    "lineage_path_positions",
+    "provenance_path_positions",
     _WALK
     + """SELECT source, sink, position::INTEGER AS position, p.node, node_type
          FROM (SELECT source, sink, unnest(path) AS node,
                       generate_subscripts(path, 1) - 1 AS position FROM best) p
          JOIN node ON name = p.node""",
 )
-def lineage_path_positions(spark, sf_dir):
+def provenance_path_positions(spark, sf_dir):
     nodes, edges = _graph(spark, sf_dir)
     return g.path_positions(g.flow_paths(nodes, edges), nodes)
 
 
 @query(
-    "lineage_stats",
+    "provenance_stats",
     _WALK
     + """SELECT (SELECT count(*) FROM node) AS total_nodes,
             (SELECT count(*) FROM source) AS data_sources,
@@ -237,66 +237,66 @@ def lineage_path_positions(spark, sf_dir):
             (SELECT name FROM node ORDER BY in_degree + out_degree DESC, name LIMIT 1)
                 AS most_connected_node""",
 )
-def lineage_stats(spark, sf_dir):
+def provenance_stats(spark, sf_dir):
     return g.graph_statistics(*_graph(spark, sf_dir))
 
 
 @query(
-    "lineage_node_types",
-    _LINEAGE + "SELECT node_type, count(*) AS nodes FROM node GROUP BY node_type",
+    "provenance_node_types",
+    _PROVENANCE + "SELECT node_type, count(*) AS nodes FROM node GROUP BY node_type",
 )
-def lineage_node_types(spark, sf_dir):
+def provenance_node_types(spark, sf_dir):
     return g.node_type_counts(_graph(spark, sf_dir)[0])
 
 
 @query(
-    "lineage_transformation_counts",
+    "provenance_transformation_counts",
     "SELECT p_type AS name, count(*) AS uses FROM part GROUP BY p_type",
 )
-def lineage_transformation_counts(spark, sf_dir):
-    return g.transformation_counts(lineage_of_parts(spark, sf_dir))
+def provenance_transformation_counts(spark, sf_dir):
+    return g.transformation_counts(provenance_of_parts(spark, sf_dir))
 
 
 @query(
-    "lineage_most_connected",
-    _LINEAGE
+    "provenance_most_connected",
+    _PROVENANCE
     + """SELECT name, in_degree + out_degree AS degree FROM node
          ORDER BY degree DESC, name LIMIT 1""",
 )
-def lineage_most_connected(spark, sf_dir):
+def provenance_most_connected(spark, sf_dir):
     return g.most_connected(_graph(spark, sf_dir)[0])
 
 
 @query(
-    "lineage_matrix",
-    _LINEAGE + "SELECT src AS source, dst AS target, 1 AS connected FROM edge",
+    "provenance_matrix",
+    _PROVENANCE + "SELECT src AS source, dst AS target, 1 AS connected FROM edge",
 )
-def lineage_matrix(spark, sf_dir):
+def provenance_matrix(spark, sf_dir):
     return g.dependency_matrix(_graph(spark, sf_dir)[1])
 
 
 @query(
-    "lineage_adjacency",
-    _LINEAGE
+    "provenance_adjacency",
+    _PROVENANCE
     + """SELECT input AS source, 0::BIGINT AS part,
                 string_agg(DISTINCT output, ', ' ORDER BY output) AS targets
          FROM reads GROUP BY input""",
 )
-def lineage_adjacency(spark, sf_dir):
-    lists = g.adjacency(lineage_of_parts(spark, sf_dir)["dependencies"])
+def provenance_adjacency(spark, sf_dir):
+    lists = g.adjacency(provenance_of_parts(spark, sf_dir)["dependencies"])
     return lists.withColumn("targets", F.array_join("targets", ", "))
 
 
 def _two_runs(spark, sf_dir):
-    parts = lineage_of_parts(spark, sf_dir)
-    customers = lineage_of_parts(
+    parts = provenance_of_parts(spark, sf_dir)
+    customers = provenance_of_parts(
         spark, sf_dir, "c", "customer", "c_custkey", "c_mktsegment"
     )
     return consolidate([parts, customers, parts])
 
 
 @query(
-    "lineage_consolidated",
+    "provenance_consolidated",
     f"""SELECT DISTINCT run_id, 't_' || j AS source, 't_' || k AS target,
                run_id || '_' || n AS transformation_id
         FROM (SELECT 'p' AS run_id, p_partkey AS n, p_partkey + {_FIRST} AS k,
@@ -304,12 +304,12 @@ def _two_runs(spark, sf_dir):
               UNION ALL SELECT 'c', c_custkey, c_custkey + {_FIRST} AS k,
                      unnest([k // 2, k // 3]) FROM customer)""",
 )
-def lineage_consolidated(spark, sf_dir):
+def provenance_consolidated(spark, sf_dir):
     return _two_runs(spark, sf_dir)["dependencies"]
 
 
 @query(
-    "lineage_overview",
+    "provenance_overview",
     f"""
     WITH run AS (
         SELECT 'p' AS run, p_partkey AS n, p_partkey + {_FIRST} AS k FROM part
@@ -323,12 +323,12 @@ def lineage_consolidated(spark, sf_dir):
         WHERE NOT EXISTS (SELECT 1 FROM reads WHERE reads.run = r.run AND reads.j = r.k)
     """,
 )
-def lineage_overview(spark, sf_dir):
+def provenance_overview(spark, sf_dir):
     return overview(_two_runs(spark, sf_dir))
 
 
 @query(
-    "lineage_listing",
+    "provenance_listing",
     f"""SELECT 'p_' || p_partkey AS id, p_type AS name,
             CASE WHEN k // 2 = k // 3 THEN 't_' || k // 2
                  ELSE 't_' || k // 2 || ', t_' || k // 3 END AS inputs,
@@ -336,8 +336,8 @@ def lineage_overview(spark, sf_dir):
             p_partkey AS output_rows
         FROM (SELECT p_partkey, p_type, p_partkey + {_FIRST} AS k FROM part)""",
 )
-def lineage_listing(spark, sf_dir):
-    return transformation_listing(lineage_of_parts(spark, sf_dir))
+def provenance_listing(spark, sf_dir):
+    return transformation_listing(provenance_of_parts(spark, sf_dir))
 
 
 # --- executed steps ---------------------------------------------------------------
@@ -582,7 +582,7 @@ def export_spec(spark, sf_dir):
     )
 
 
-@query("export_graph_links", _LINEAGE + "SELECT src, dst, edge_type FROM edge")
+@query("export_graph_links", _PROVENANCE + "SELECT src, dst, edge_type FROM edge")
 def export_graph_links(spark, sf_dir):
     folder = new_folder(spark, "export")
     w.export_graph(*_graph(spark, sf_dir), folder)

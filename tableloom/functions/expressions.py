@@ -33,16 +33,31 @@ def require(df: DataFrame, columns: Iterable[str]) -> None:
         raise ValueError(f"columns not found: {', '.join(missing)}")
 
 
+def quoted(name: str) -> Column:
+    """The column of this very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def is_order(spec) -> bool:
+    """Whether the pair, a tuple or a list, is one column and its direction."""
+    return (
+        isinstance(spec, (tuple, list))
+        and len(spec) == 2
+        and isinstance(spec[0], str)
+        and spec[1] in ("asc", "desc")
+    )
+
+
 def sort_column(spec: OrderSpec) -> Column:
     """``"c"``, ``("c", "desc")`` or a sort Column as a sort Column."""
     if isinstance(spec, Column):
         return spec
     if isinstance(spec, str):
-        return F.col(spec).asc()
+        return quoted(spec).asc()
     name, direction = spec
     if direction not in ("asc", "desc"):
         raise ValueError(f"sort direction must be asc or desc, got {direction!r}")
-    return F.col(name).desc() if direction == "desc" else F.col(name).asc()
+    return quoted(name).desc() if direction == "desc" else quoted(name).asc()
 
 
 def sort_columns(specs: Sequence[OrderSpec]) -> list[Column]:

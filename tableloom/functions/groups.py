@@ -1,8 +1,8 @@
 """Finding groups too large for one task.
 
 Several operators must bring all rows of a key together. Before they do, they
-ask how large the largest group is: one aggregate over the key columns alone,
-combined map-side, of which a single row reaches the driver.
+look for groups above a limit: one aggregate over the key columns alone, combined
+map-side, whose few large groups are written once.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .expressions import quoted
 from .storage import store
 
-GROUP_ROWS = 5_000_000
+GROUP_ROWS = 1_000_000
 """Rows one task is trusted to sort; larger groups are split."""
 
 SIZE = "__group_rows"
@@ -31,7 +32,7 @@ def attach(
     renamed = other.withColumnsRenamed({k: f"__other_{k}" for k in keys})
     match = reduce(
         lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"__other_{k}")) for k in keys],
+        [quoted(k).eqNullSafe(quoted(f"__other_{k}")) for k in keys],
     )
     return df.join(renamed, match, how).drop(*[f"__other_{k}" for k in keys])
 
@@ -44,11 +45,9 @@ def large_groups(
     The returned table (keys and row count) has fewer than rows / limit rows
     and is written once, so every later use sees the same keys.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
-    largest = sizes.agg(F.max(SIZE)).first()[0]
-    if largest is None or largest <= limit:
-        return None
-    return store(sizes.filter(F.col(SIZE) > limit), "large-groups")
+    sizes = df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias(SIZE))
+    large = store(sizes.filter(F.col(SIZE) > limit), "large-groups")
+    return None if large.isEmpty() else large
 
 
 def split_off(

@@ -6,7 +6,8 @@ would sort in one task, so it is numbered and cut into equal blocks instead:
 
 1. range-partition the rows on (keys, order) - Spark samples the split points -
    and write them once, so that every later step sees the same slices;
-2. number the rows inside each slice and add the sizes of the slices before it;
+2. number the rows by their place in the written slices, adding the sizes of the
+   slices before;
 3. cut the numbering into blocks; running results are computed per block and
    the totals of the earlier blocks are added, frames that look back or ahead
    get copies of the neighbouring rows.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import OrderSpec, require, sort_columns
+from ..functions.expressions import OrderSpec, is_order, quoted, require, sort_columns
 from ..functions.groups import GROUP_ROWS, SIZE, attach, large_groups, split_off
 from ..functions.storage import store
 
@@ -31,7 +32,12 @@ ROLLING = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.co
 
 _CALL = re.compile(r"\s*(?P<fn>\w+)\s*(\(\s*(?P<arg>\w+)\s*(,\s*(?P<n>\d+)\s*)?\))?\s*$")
 
-_SLICE, _PLACE, _BLOCK, _HALO = "__slice", "__place", "__block", "__halo"
+SUM_ROWS = 256
+"""Rows of a group whose running sum is taken by itself. Part of the arithmetic."""
+GLOBAL_ROWS = 100_000
+"""Rows of a table up to which one task sorts it whole."""
+
+_SLICE, _PLACE, _BLOCK, _HALO, _RUN = "__slice", "__place", "__block", "__halo", "__run"
 
 
 @dataclass(frozen=True)
@@ -63,20 +69,20 @@ class Call:
         if self.kind in RANKINGS:
             return getattr(F, self.kind)().over(window)
         if self.kind == "lag":
-            return F.lag(self.column, self.size).over(window)
+            return F.lag(quoted(self.column), self.size).over(window)
         if self.kind == "lead":
-            return F.lead(self.column, self.size).over(window)
+            return F.lead(quoted(self.column), self.size).over(window)
         if self.kind == "sum":
-            return F.sum(self.column).over(
+            return F.sum(quoted(self.column)).over(
                 window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             )
         aggregate = ROLLING[self.kind.removeprefix("rolling_")]
-        return aggregate(self.column).over(window.rowsBetween(1 - self.size, 0))
+        return aggregate(quoted(self.column)).over(window.rowsBetween(1 - self.size, 0))
 
 
 def as_call(spec: str | tuple) -> Call:
     """``"rank"``, ``"lag(c, 2)"``, ``"sum(c)"`` or the tuple ``("lag", "c", 2)``."""
-    if isinstance(spec, tuple):
+    if isinstance(spec, (tuple, list)):
         kind, column, size = (*spec, None, None)[:3]
     else:
         match = _CALL.match(spec)
@@ -137,7 +143,8 @@ def rolling_aggregation(
     if size < 1:
         raise ValueError("window_size must be at least 1")
     name = alias or f"rolling_{agg_function}_{size}"
-    orders = order_column if isinstance(order_column, list) else [order_column]
+    several = isinstance(order_column, list) and not is_order(order_column)
+    orders = order_column if several else [order_column]
     calls = {name: Call(f"rolling_{agg_function}", agg_column, size)}
     return _apply(df, list(partition_columns), orders, calls, group_rows)
 
@@ -163,52 +170,98 @@ def _apply(
             _blocked(big, keys, orders, calls, rows, group_rows)
         )
     rows = df.count()
+    group_rows = min(group_rows, GLOBAL_ROWS)
     if rows <= group_rows:
         return _plain(df, keys, orders, calls)
     return _blocked(df, keys, orders, calls, rows, group_rows)
 
 
+def _inexact(df: DataFrame, call: Call) -> bool:
+    """Whether the order of additions shows in the call's result."""
+    return call.kind == "sum" and isinstance(
+        df.schema[call.column].dataType, (T.FloatType, T.DoubleType)
+    )
+
+
+def _before(*keys: str) -> Window:
+    return Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _so_far(*keys: str) -> Window:
+    return (
+        Window.partitionBy(*keys)
+        .orderBy(_PLACE)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
+def _added(here: Column, earlier: Column) -> Column:
+    return F.coalesce(earlier + here, here, earlier)
+
+
 def _plain(df, keys, orders, calls) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*sort_columns(orders))
-    return df.withColumns({alias: call.over(window) for alias, call in calls.items()})
+    window = Window.partitionBy(*map(quoted, keys)).orderBy(*sort_columns(orders))
+    sums = {a: c for a, c in calls.items() if _inexact(df, c)}
+    rest = {a: c.over(window) for a, c in calls.items() if a not in sums}
+    if not sums:
+        return df.withColumns(rest)
+    # Sums of runs, then the sums of the runs before: see the head of this module.
+    columns = [quoted(k) for k in keys]
+    placed = df.withColumns({**rest, _PLACE: F.row_number().over(window)})
+    placed = placed.withColumn(_RUN, F.floor((F.col(_PLACE) - 1) / SUM_ROWS))
+    placed = placed.withColumns(
+        {f"__here_{a}": F.sum(quoted(c.column)).over(_so_far(*columns, _RUN)) for a, c in sums.items()}
+    )
+    ends = F.col(_PLACE) % SUM_ROWS == 0
+    placed = placed.withColumns(
+        {
+            f"__earlier_{a}": F.sum(F.when(ends, F.col(f"__here_{a}"))).over(
+                _before(*columns).orderBy(_PLACE)
+            )
+            for a in sums
+        }
+    )
+    return placed.select(
+        *[quoted(c) for c in df.columns],
+        *[
+            _added(F.col(f"__here_{a}"), F.col(f"__earlier_{a}")).alias(a) if a in sums else quoted(a)
+            for a in calls
+        ],
+    )
 
 
 def _numbered(df, keys, orders, rows, group_rows) -> DataFrame:
     """``df`` plus each row's place (1, 2, ...) in its group, over many tasks."""
     hashable = [
-        f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
+        quoted(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
     ]
     # Rows equal in the order columns, even exact copies, may be very many.
     # Hash and origin task spread them; both are the same on a re-run.
     spread = df.withColumns(
         {"__hash": F.xxhash64(*hashable), "__origin": F.spark_partition_id()}
     )
-    sort = [*[F.col(k).asc() for k in keys], *sort_columns(orders), "__hash", "__origin"]
+    sort = [*[quoted(k).asc() for k in keys], *sort_columns(orders), "__hash", "__origin"]
     slices = max(1, -(-rows // group_rows))
     sliced = store(
-        spread.repartitionByRange(slices, *sort).withColumn(
-            _SLICE, F.spark_partition_id()
-        ),
+        spread.repartitionByRange(slices, *sort)
+        .sortWithinPartitions(*sort)
+        .withColumn("__at", F.monotonically_increasing_id()),
         "window-slices",
-    )
+    ).withColumn(_SLICE, F.shiftright("__at", 33))
     group = [_SLICE, *keys]
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(_SLICE)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    columns = [quoted(k) for k in keys]
+    # A group's rows lie side by side in a slice; ``__at`` counts them.
     starts = (
-        sliced.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumn("__start", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
+        sliced.groupBy(_SLICE, *columns)
+        .agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+        .withColumn(
+            "__start", F.coalesce(F.sum("__rows").over(_before(*columns).orderBy(_SLICE)), F.lit(0))
+        )
         .drop("__rows")
     )
-    inside = Window.partitionBy(*group).orderBy(
-        *sort_columns(orders), "__hash", "__origin"
-    )
-    placed = sliced.withColumn(_PLACE, F.row_number().over(inside))
-    return attach(placed, starts, group).select(
-        *df.columns, (F.col(_PLACE) + F.col("__start")).alias(_PLACE)
+    return attach(sliced, starts, group).select(
+        *[quoted(c) for c in df.columns],
+        (F.col("__at") - F.col("__first") + 1 + F.col("__start")).alias(_PLACE),
     )
 
 
@@ -217,6 +270,8 @@ def _blocked(df, keys, orders, calls, rows, group_rows) -> DataFrame:
     back = max(c.rows_before for c in calls.values())
     ahead = max(c.rows_after for c in calls.values())
     size = max(group_rows, back, ahead, 1)
+    if any(_inexact(df, c) for c in calls.values()):
+        size = -(-size // SUM_ROWS) * SUM_ROWS  # runs end where blocks end
     place = F.col(_PLACE) - 1
     home = ((place - place % size) / size).cast("long")
     # A row goes to its own block, and as a halo copy to the next (previous)
@@ -238,9 +293,10 @@ def _blocked(df, keys, orders, calls, rows, group_rows) -> DataFrame:
         )
     spread = numbered.withColumn("__copies", F.array_compact(F.array(*copies)))
     spread = spread.select(
-        *df.columns, _PLACE, F.inline("__copies").alias(_BLOCK, _HALO)
-    )
-    block = Window.partitionBy(*keys, _BLOCK)
+        *[quoted(c) for c in df.columns], _PLACE, F.inline("__copies").alias(_BLOCK, _HALO)
+    ).withColumn(_RUN, F.floor((F.col(_PLACE) - 1) / SUM_ROWS))
+    names = [quoted(k) for k in keys]
+    block = Window.partitionBy(*names, _BLOCK)
     by_place = block.orderBy(_PLACE)
     if any(c.kind in ("rank", "dense_rank") for c in calls.values()):
         # The halo row in front makes the comparison right at block borders.
@@ -262,20 +318,29 @@ def _blocked(df, keys, orders, calls, rows, group_rows) -> DataFrame:
             columns[alias] = F.max(F.when(real & F.col("__new"), F.col(_PLACE))).over(so_far)
         elif call.kind == "dense_rank":
             columns[alias] = F.count(F.when(real & F.col("__new"), 1)).over(so_far)
+        elif _inexact(df, call):
+            # Runs end with blocks, so a halo row is never in a real row's run.
+            columns[alias] = F.sum(quoted(call.column)).over(_so_far(*names, _BLOCK, _RUN))
         elif call.kind == "sum":
-            columns[alias] = F.sum(F.when(real, F.col(call.column))).over(so_far)
+            columns[alias] = F.sum(F.when(real, quoted(call.column))).over(so_far)
         else:
             columns[alias] = call.over(by_place)
     local = (
         spread.withColumns(columns)
         .filter(real)
-        .select(*df.columns, _BLOCK, *calls)
+        .select(*[quoted(c) for c in df.columns], _BLOCK, _RUN, _PLACE, *calls)
     )
     result_types = {a: _plain_type(df, keys, orders, c) for a, c in calls.items()}
     if any(c.running for c in calls.values()):
-        local = _add_earlier_blocks(store(local, "window-blocks"), keys, calls)
+        local = store(local, "window-blocks")
+        sums = {a: c for a, c in calls.items() if _inexact(df, c)}
+        others = {a: c for a, c in calls.items() if c.running and a not in sums}
+        if others:
+            local = _add_earlier_blocks(local, keys, others)
+        if sums:
+            local = _add_earlier_runs(local, keys, sums)
     return local.select(
-        *df.columns, *[F.col(a).cast(t).alias(a) for a, t in result_types.items()]
+        *[quoted(c) for c in df.columns], *[F.col(a).cast(t).alias(a) for a, t in result_types.items()]
     )
 
 
@@ -283,27 +348,45 @@ def _plain_type(df, keys, orders, call) -> T.DataType:
     return _plain(df, keys, orders, {"__result": call}).schema["__result"].dataType
 
 
+def _add_earlier_runs(local, keys, calls) -> DataFrame:
+    """Add to the sums of runs what the runs before them come to, in their order."""
+    names = [quoted(k) for k in keys]
+    totals = local.groupBy(*names, _RUN).agg(
+        *[F.max_by(a, _PLACE).alias(f"__total_{a}") for a in calls]
+    )
+    carried = totals.select(
+        *names,
+        _RUN,
+        *[
+            F.sum(f"__total_{a}").over(_before(*names).orderBy(_RUN)).alias(f"__earlier_{a}")
+            for a in calls
+        ],
+    )
+    joined = attach(local, carried, [*keys, _RUN])
+    return joined.withColumns(
+        {a: _added(F.col(a), F.col(f"__earlier_{a}")) for a in calls}
+    ).drop(*[f"__earlier_{a}" for a in calls])
+
+
 def _add_earlier_blocks(local, keys, calls) -> DataFrame:
     """Add to running results what the blocks before contribute."""
     running = {a: c for a, c in calls.items() if c.running}
     group = [*keys, _BLOCK]
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(_BLOCK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = local.groupBy(*group).agg(
+    names = [quoted(k) for k in keys]
+    before = _before(*names).orderBy(_BLOCK)
+    totals = local.groupBy(*names, _BLOCK).agg(
         *[
             (
                 F.max(a)
                 if c.kind in ("rank", "dense_rank")
-                else F.sum(F.col(c.column))
+                else F.sum(quoted(c.column))
             ).alias(f"__total_{a}")
             for a, c in running.items()
         ]
     )
     carried = totals.select(
-        *group,
+        *names,
+        _BLOCK,
         *[
             (F.max if c.kind == "rank" else F.sum)(f"__total_{a}")
             .over(before)
@@ -319,6 +402,6 @@ def _add_earlier_blocks(local, keys, calls) -> DataFrame:
         return F.coalesce(here + earlier, here, earlier)
 
     return attach(local, carried, group).select(
-        *[c for c in local.columns if c not in running],
+        *[quoted(c) for c in local.columns if c not in running],
         *[combined(a, c).alias(a) for a, c in running.items()],
     )

@@ -1,4 +1,4 @@
-"""The lineage graph as two tables, and questions about it.
+"""The provenance graph as two tables, and questions about it.
 
 Reachability walks the graph in rounds. A round joins the newest nodes to the
 edges and writes what it found next to the earlier rounds, so a round reads
@@ -24,7 +24,7 @@ ROLE_ORDER = {"transformation": 0, "sink": 1, "source": 2, "intermediate": 3}
 
 
 def build_edges(
-    lineage: Mapping[str, DataFrame],
+    provenance: Mapping[str, DataFrame],
     include_dependency_edges: bool = True,
     names: DataFrame | None = None,
 ) -> DataFrame:
@@ -33,7 +33,7 @@ def build_edges(
     Stated dependencies count between known nodes only; ``names`` is the node
     table if there is one already.
     """
-    steps = lineage["transformations"].withColumn(
+    steps = provenance["transformations"].withColumn(
         "node", F.concat(F.lit(NODE_PREFIX), "id")
     )
     consumes = steps.select(
@@ -50,8 +50,8 @@ def build_edges(
     )
     edges = consumes.unionByName(produces)
     if include_dependency_edges:
-        known = typed_names(lineage) if names is None else names
-        stated = lineage["dependencies"].select(
+        known = typed_names(provenance) if names is None else names
+        stated = provenance["dependencies"].select(
             F.col("source").alias("src"),
             F.col("target").alias("dst"),
             F.lit("dependency").alias("edge_type"),
@@ -71,19 +71,19 @@ def build_edges(
     )
 
 
-def typed_names(lineage: Mapping[str, DataFrame]) -> DataFrame:
+def typed_names(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """(name, node_type, label) of every node, by its most important role."""
     return (
-        _named(lineage)
+        _named(provenance)
         .groupBy("name")
         .agg(F.min(F.struct("role", "node_type", "label")).alias("first"))
         .select("name", "first.node_type", "first.label")
     )
 
 
-def _named(lineage: Mapping[str, DataFrame]) -> DataFrame:
+def _named(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """Every name with every role it plays."""
-    steps = lineage["transformations"]
+    steps = provenance["transformations"]
 
     def role(df: DataFrame, name, kind: str, label=None) -> DataFrame:
         return df.select(
@@ -96,8 +96,8 @@ def _named(lineage: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(
         DataFrame.unionByName,
         [
-            role(lineage["data_sources"], F.col("name"), "source"),
-            role(lineage["data_sinks"], F.col("name"), "sink"),
+            role(provenance["data_sources"], F.col("name"), "source"),
+            role(provenance["data_sinks"], F.col("name"), "sink"),
             role(
                 steps,
                 F.concat(F.lit(NODE_PREFIX), "id"),
@@ -115,22 +115,22 @@ def _named(lineage: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_graph(
-    lineage: Mapping[str, DataFrame], include_dependency_edges: bool = True
+    provenance: Mapping[str, DataFrame], include_dependency_edges: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges); nodes carry their type, label and degrees.
 
     Every question reads both tables, most of them more than once, so they are
     written to the shared folder and come back as plain scans.
     """
-    typed = store(typed_names(lineage), "lineage-names")
+    typed = store(typed_names(provenance), "provenance-names")
     edges = store(
-        build_edges(lineage, include_dependency_edges, typed), "lineage-edges"
+        build_edges(provenance, include_dependency_edges, typed), "provenance-edges"
     )
     counted = degrees(edges).select("name", "in_degree", "out_degree")
     nodes = typed.join(counted, "name", "left").na.fill(
         0, ["in_degree", "out_degree"]
     )
-    return store(nodes, "lineage-nodes"), edges
+    return store(nodes, "provenance-nodes"), edges
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def impact(
 ) -> tuple[DataFrame, DataFrame]:
     """(nodes with their role towards ``name``, edges among them)."""
     if nodes.filter(F.col("name") == name).isEmpty():
-        raise ValueError(f"node {name} is not in the lineage graph")
+        raise ValueError(f"node {name} is not in the provenance graph")
     spark = edges.sparkSession
     rows = reduce(
         DataFrame.unionByName,
@@ -286,9 +286,9 @@ def node_type_counts(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("node_type").agg(F.count(F.lit(1)).alias("nodes"))
 
 
-def transformation_counts(lineage: Mapping[str, DataFrame]) -> DataFrame:
+def transformation_counts(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """How often each transformation was used."""
-    return lineage["transformations"].groupBy("name").agg(F.count(F.lit(1)).alias("uses"))
+    return provenance["transformations"].groupBy("name").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def most_connected(nodes: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Lineage records and their tables."""
+"""Provenance records and their tables."""
 
 from __future__ import annotations
 
@@ -42,7 +42,7 @@ def _now() -> datetime:
 
 
 @dataclass
-class LineageLog:
+class ProvenanceLog:
     """What one run read, computed and wrote; a few records per step."""
 
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
@@ -96,7 +96,7 @@ class LineageLog:
             table.write.mode("overwrite").json(f"{folder}/{name}")
 
 
-def read_lineage(spark: SparkSession, folders: Sequence[str]) -> dict[str, DataFrame]:
+def read_provenance(spark: SparkSession, folders: Sequence[str]) -> dict[str, DataFrame]:
     """The lists of all runs exported to ``folders``, missing ones skipped."""
     found = {name: [] for name in SCHEMAS}
     for folder in folders:
@@ -116,17 +116,17 @@ def read_lineage(spark: SparkSession, folders: Sequence[str]) -> dict[str, DataF
     }
 
 
-def consolidate(lineages: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
+def consolidate(provenances: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
     """One set of lists from several runs, without repeated records."""
     return {
         name: reduce(
-            DataFrame.unionByName, [lineage[name] for lineage in lineages]
+            DataFrame.unionByName, [provenance[name] for provenance in provenances]
         ).dropDuplicates(keys)
         for name, keys in NATURAL_KEYS.items()
     }
 
 
-def overview(lineage: Mapping[str, DataFrame]) -> DataFrame:
+def overview(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """Number of records per list."""
     return reduce(
         DataFrame.unionByName,
@@ -134,14 +134,14 @@ def overview(lineage: Mapping[str, DataFrame]) -> DataFrame:
             table.agg(F.count(F.lit(1)).alias("records")).select(
                 F.lit(name).alias("list"), "records"
             )
-            for name, table in lineage.items()
+            for name, table in provenance.items()
         ],
     )
 
 
-def transformation_listing(lineage: Mapping[str, DataFrame]) -> DataFrame:
+def transformation_listing(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """Transformations with their inputs, logic and rows in and out."""
-    return lineage["transformations"].select(
+    return provenance["transformations"].select(
         "id",
         "name",
         F.concat_ws(", ", "input_tables").alias("inputs"),

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.lineage import LineageLog
+from ..plans.provenance import ProvenanceLog
 
 FORMATS = ("csv", "parquet", "json")
 
@@ -62,10 +62,10 @@ def read_stage(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @dataclass
 class Workspace:
-    """Named tables of one session, with the lineage of how they came about."""
+    """Named tables of one session, with the provenance of how they came about."""
 
     spark: SparkSession
-    log: LineageLog = field(default_factory=LineageLog)
+    log: ProvenanceLog = field(default_factory=ProvenanceLog)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     degraded: set[str] = field(default_factory=set)
     skipped: dict[str, str] = field(default_factory=dict)

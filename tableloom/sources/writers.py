@@ -96,7 +96,7 @@ def export_quality(
 def export_graph(
     nodes: DataFrame, edges: DataFrame, folder: str
 ) -> list[tuple[str, str, str, int]]:
-    """Lineage nodes and edges as JSON lines."""
+    """Provenance nodes and edges as JSON lines."""
     written = []
     for name, df in (("nodes", nodes), ("links", edges)):
         path = f"{folder}/graph/{name}"

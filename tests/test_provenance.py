@@ -2,18 +2,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableloom.plans import graph as g
-from tableloom.plans.lineage import (
-    LineageLog,
+from tableloom.plans.provenance import (
+    ProvenanceLog,
     consolidate,
     overview,
-    read_lineage,
+    read_provenance,
     transformation_listing,
 )
 
 
 def shop_log():
     """Two sources, four steps, three tables in between, one result."""
-    log = LineageLog("run")
+    log = ProvenanceLog("run")
     log.add_source("raw_customers", "csv", "data/customers.csv")
     log.add_source("raw_orders", "csv", "data/orders.csv")
     log.add_transformation("RemoveDuplicates", ["raw_customers"], "clean_customers")
@@ -25,13 +25,13 @@ def shop_log():
 
 
 @pytest.fixture(scope="module")
-def lineage(spark):
+def provenance(spark):
     return shop_log().tables(spark)
 
 
 @pytest.fixture(scope="module")
-def graph(lineage):
-    return g.build_graph(lineage)
+def graph(provenance):
+    return g.build_graph(provenance)
 
 
 def pairs(df):
@@ -48,8 +48,8 @@ def test_statistics_with_dependencies(graph):
     assert kinds == {"consumes": 5, "produces": 4, "dependency": 5}
 
 
-def test_statistics_through_steps(lineage):
-    nodes, edges = g.build_graph(lineage, include_dependency_edges=False)
+def test_statistics_through_steps(provenance):
+    nodes, edges = g.build_graph(provenance, include_dependency_edges=False)
     row = g.graph_statistics(nodes, edges).first()
     assert (row.total_edges, row.max_shortest_path) == (9, 6)
     busiest = g.most_connected(nodes).first()
@@ -82,12 +82,12 @@ def test_impact(graph):
         g.impact(nodes, edges, "nobody")
 
 
-def test_degrees_and_counts(graph, lineage):
+def test_degrees_and_counts(graph, provenance):
     nodes, edges = graph
     roles = {r.name: r.dataset_role for r in g.degrees(edges).collect()}
     assert roles["raw_orders"] == "source" and roles["customer_analytics"] == "final"
     assert dict(pairs(g.node_type_counts(nodes)))["intermediate"] == 3
-    assert dict(pairs(g.transformation_counts(lineage)))["InnerJoin"] == 1
+    assert dict(pairs(g.transformation_counts(provenance)))["InnerJoin"] == 1
 
 
 def test_matrix(graph):
@@ -138,7 +138,7 @@ def test_walk_with_cycles_and_hubs(spark):
 
 
 def test_role_priority(spark):
-    log = LineageLog("r")
+    log = ProvenanceLog("r")
     log.add_source("t", "csv", "x")
     log.add_sink("t", "csv", "y")
     log.add_transformation("Copy", ["t"], "u")
@@ -149,24 +149,24 @@ def test_role_priority(spark):
     assert edges.filter("dst = 'unknown'").count() == 0
 
 
-def test_empty_lineage(spark):
-    nodes, edges = g.build_graph(LineageLog("r").tables(spark))
+def test_empty_provenance(spark):
+    nodes, edges = g.build_graph(ProvenanceLog("r").tables(spark))
     row = g.graph_statistics(nodes, edges).first()
     assert (row.total_nodes, row.flow_paths, row.max_shortest_path) == (0, 0, 0)
     assert row.most_connected_node is None
 
 
-def test_export_and_consolidate(spark, tmp_path, lineage):
-    one, two = shop_log(), LineageLog("other")
+def test_export_and_consolidate(spark, tmp_path, provenance):
+    one, two = shop_log(), ProvenanceLog("other")
     two.add_source("raw_orders", "csv", "data/orders.csv")
     two.add_transformation("Copy", ["raw_orders"], "copy")
     one.export(spark, str(tmp_path / "one"))
     two.export(spark, str(tmp_path / "two"))
-    back = read_lineage(spark, [str(tmp_path / "one")])
+    back = read_provenance(spark, [str(tmp_path / "one")])
     for name, table in one.tables(spark).items():
         shown = [c for c, t in table.dtypes if not t.startswith("map") and c != "ts"]
         assert pairs(back[name].select(*shown)) == pairs(table.select(*shown))
-    merged = read_lineage(
+    merged = read_provenance(
         spark, [str(tmp_path / n) for n in ("one", "two", "missing", "one")]
     )
     unique = consolidate([merged])

@@ -106,3 +106,29 @@ def test_arguments(events):
     assert window_functions(events, ["k"], ["id"]).columns[-1] == "row_number"
     # A form delivers sizes as floats.
     assert rolling_aggregation(events, ["k"], "id", 3.0, "v").columns[-1] == "rolling_avg_3"
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("group_rows", [100, 500, 3000])
+def test_running_sums_of_doubles_do_not_depend_on_splitting(spark, keys, group_rows):
+    """Mixed magnitudes, compared bit by bit."""
+    numbers = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 4)).alias("k"),
+        "id",
+        F.when(F.col("id") % 11 == 0, None)
+        .otherwise(F.sin("id") * F.pow(F.lit(10.0), F.pmod(F.col("id") * 7, F.lit(23)) - 9))
+        .alias("v"),
+    ).repartition(5)
+    calls = {"total": "sum(v)", "rk": "rank", "back": "lag(v)"}
+    whole = window_functions(numbers, keys, ["id"], calls)
+    split = window_functions(numbers, keys, ["id"], calls, group_rows=group_rows)
+    assert split.dtypes == whole.dtypes
+    assert rows(split) == rows(whole)
+
+
+def test_lists_are_read_like_tuples(spark):
+    frame = spark.createDataFrame([(1, 1, 5), (1, 2, 7)], "`a.b` int, t int, v int")
+    listed = window_functions(frame, ["a.b"], [["t", "desc"]], {"x": ["lag", "v", 1]})
+    assert {r["t"]: r["x"] for r in listed.collect()} == {2: None, 1: 7}
+    rolled = rolling_aggregation(frame, ["a.b"], ["t", "desc"], 2, "v", "sum")
+    assert {r["t"]: r["rolling_sum_2"] for r in rolled.collect()} == {2: 7, 1: 12}
