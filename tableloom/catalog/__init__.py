@@ -1,6 +1,6 @@
 """Registered queries over the given tables, with the SQL that checks them."""
 
-from . import analysis, cleaning, joining, reporting, tracing  # noqa: F401
+from . import analysis, checks, cleaning, joining, reporting, tracing  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -478,14 +478,14 @@ _OVERVIEW = f"""
            round(count_if(o_orderpriority IS NULL) * 100.0 / count(*), 2) AS null_percentage_1,
            round(count_if(o_totalprice IS NULL) * 100.0 / count(*), 2) AS null_percentage_2,
            0.0::DOUBLE AS null_percentage_3, 0.0::DOUBLE AS null_percentage_4,
-           0.0::DOUBLE AS null_percentage_5
+           0.0::DOUBLE AS null_percentage_5, 2 AS null_columns
     FROM {p.ORDERS_WITH_NULLS}
     UNION ALL
-    SELECT 'with_copies', count(*), 5, count(*) - (SELECT count(*) FROM orders), 0, 0, 0, 0, 0
+    SELECT 'with_copies', count(*), 5, count(*) - (SELECT count(*) FROM orders), 0, 0, 0, 0, 0, 0
     FROM {p.ORDERS_WITH_COPIES}
     UNION ALL
     SELECT 'lineitem', count(*), 11,
-           count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)), 0, 0, 0, 0, 0
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)), 0, 0, 0, 0, 0, 0
     FROM lineitem
 """
 
@@ -500,7 +500,8 @@ def _overview_tables(spark, sf_dir):
 
 @query("quality_overview", _OVERVIEW)
 def quality_overview(spark, sf_dir):
-    return q.quality_overview(_overview_tables(spark, sf_dir))
+    overview = q.quality_overview(_overview_tables(spark, sf_dir))
+    return overview.withColumn("null_columns", F.size("null_percentages")).drop("null_percentages")
 
 
 @query(

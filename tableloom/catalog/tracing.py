@@ -235,10 +235,15 @@ def provenance_path_positions(spark, sf_dir):
             (SELECT count(*) FROM best) AS flow_paths,
             (SELECT max(length)::INTEGER FROM best) AS max_shortest_path,
             (SELECT name FROM node ORDER BY in_degree + out_degree DESC, name LIMIT 1)
-                AS most_connected_node""",
+                AS most_connected_node,
+            (SELECT string_agg(name || ':' || uses, ', ' ORDER BY name) FROM (
+                SELECT name, count(*) AS uses FROM step GROUP BY name)) AS transformation_types""",
 )
 def provenance_stats(spark, sf_dir):
-    return g.graph_statistics(*_graph(spark, sf_dir))
+    counted = F.transform("transformation_types", lambda t: F.concat_ws(":", t["name"], t["uses"].cast("string")))
+    return g.graph_statistics(*_graph(spark, sf_dir)).withColumn(
+        "transformation_types", F.array_join(counted, ", ")
+    )
 
 
 @query(
@@ -277,14 +282,10 @@ def provenance_matrix(spark, sf_dir):
 
 @query(
     "provenance_adjacency",
-    _PROVENANCE
-    + """SELECT input AS source, 0::BIGINT AS part,
-                string_agg(DISTINCT output, ', ' ORDER BY output) AS targets
-         FROM reads GROUP BY input""",
+    _PROVENANCE + "SELECT DISTINCT input AS source, output AS target FROM reads",
 )
 def provenance_adjacency(spark, sf_dir):
-    lists = g.adjacency(provenance_of_parts(spark, sf_dir)["dependencies"])
-    return lists.withColumn("targets", F.array_join("targets", ", "))
+    return g.adjacency(provenance_of_parts(spark, sf_dir)["dependencies"])
 
 
 def _two_runs(spark, sf_dir):

@@ -38,14 +38,15 @@ def join_tables(
     left_suffix: str = "_left",
     right_suffix: str = "_right",
     condition: str | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join on columns of the same name.
 
     Every join type returns one (coalesced) column per key, then the left and
     the right columns; names on both sides get the suffixes. Semi and anti
     joins keep the left names. ``condition`` is an extra SQL predicate, over
-    the suffixed names, that a pair must satisfy to match.
+    the suffixed names, that a pair must satisfy to match; Spark cannot split a
+    hot key of the optional side then, so ``group_rows`` is refused with it.
     """
     if join_type not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {join_type}")
@@ -57,9 +58,12 @@ def join_tables(
     require(right, keys)
     shared = [c for c in left.columns if c in right.columns and c not in keys]
     if condition is not None:
+        if group_rows is not None:
+            raise ValueError("a join with a condition cannot split hot keys by group_rows")
         return _conditional(
             left, right, keys, how, shared, left_suffix, right_suffix, condition
         )
+    group_rows = group_rows or GROUP_ROWS
     if how in ("left_semi", "left_anti"):
         return left.join(_key_set(right, keys, group_rows), keys, how)
     left = left.withColumnsRenamed({c: c + left_suffix for c in shared})
@@ -171,9 +175,10 @@ def lookup(
 
     A lookup key found several times multiplies rows, unless ``unique_by``
     orders the candidates, of which the first is taken. Looked-up columns the
-    main table has already get the suffix.
+    main table has already get the suffix. No lookup columns, or an empty list,
+    means all.
     """
-    chosen = lookup_table.columns if lookup_columns is None else lookup_columns
+    chosen = lookup_columns or lookup_table.columns
     extra = [c for c in chosen if c != lookup_key]
     if unique_by:
         lookup_table = remove_duplicates(lookup_table, [lookup_key], unique_by)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import values_long
+from ..functions.expressions import quoted, value_text, values_long
 from .sorting import head
 
 TOP_NULL_COLUMNS = 5
@@ -53,9 +53,19 @@ def null_profile(df: DataFrame, only_nulls: bool = True) -> DataFrame:
     return profile.orderBy(F.desc("null_percentage"), "column")
 
 
+def _digest(df: DataFrame) -> Column:
+    """256 bits that are equal exactly when two rows are."""
+    parts = []
+    for f in df.schema.fields:
+        text = value_text(quoted(f.name), f.dataType)
+        # The length tells where a value ends, a dash that there is none.
+        parts.append(F.coalesce(F.concat(F.octet_length(text), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row, and their share."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    """Rows that repeat an earlier row, and their share; digests are shuffled, not rows."""
+    copies = df.groupBy(_digest(df).alias("__row")).agg(F.count(F.lit(1)).alias("__copies"))
     return copies.agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_count"),
@@ -174,25 +184,14 @@ def schema_samples(df: DataFrame) -> DataFrame:
 def assess(df: DataFrame) -> DataFrame:
     """The full assessment as one row: shape, duplicates, nulls, types.
 
-    One grouping of equal rows gives the row count, the duplicates and, weighted
-    by the number of copies, the nulls of every column.
+    Rows and nulls are counted where they are read; to find duplicates, only
+    digests of the rows are shuffled.
     """
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    nulls = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.sum(
-                    F.when(F.col(f"`{c}`").isNull(), F.col("__copies")).otherwise(0)
-                ).alias("null_count"),
-            )
-            for c in df.columns
-        ]
-    )
-    counted = copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_count"),
-        nulls.alias("nulls"),
+    copies = duplicate_rows(df).select("duplicate_count")
+    counted = (
+        _null_counts(df)
+        .withColumnRenamed("rows", "total_rows")
+        .withColumn("duplicate_count", copies.scalar())
     )
     ranked = F.array_sort(
         F.transform(
@@ -229,15 +228,18 @@ def assess(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per dataset: rows, columns, duplicates, the five worst null shares."""
+def quality_overview(tables: Mapping[str, DataFrame], worst_columns: int = TOP_NULL_COLUMNS) -> DataFrame:
+    """One row per dataset: rows, columns, duplicates, the worst null shares.
+
+    ``null_percentages`` lists them all, the worst first.
+    """
 
     def line(name: str, df: DataFrame) -> DataFrame:
         worst = [
             F.coalesce(F.get("null_analysis", F.lit(i))["null_percentage"], F.lit(0.0)).alias(
                 f"null_percentage_{i + 1}"
             )
-            for i in range(TOP_NULL_COLUMNS)
+            for i in range(worst_columns)
         ]
         return assess(df).select(
             F.lit(name).alias("dataset"),
@@ -245,6 +247,7 @@ def quality_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
             "total_columns",
             "duplicate_count",
             *worst,
+            F.transform("null_analysis", lambda c: c["null_percentage"]).alias("null_percentages"),
         )
 
     return reduce(DataFrame.unionByName, [line(n, df) for n, df in tables.items()])

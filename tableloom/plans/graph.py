@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.storage import new_folder, store
 
 NODE_PREFIX = "transform_"
-TARGETS_PER_ROW = 1000
 
 # When a name plays several roles the lowest number wins.
 ROLE_ORDER = {"transformation": 0, "sink": 1, "source": 2, "intermediate": 3}
@@ -301,7 +300,7 @@ def most_connected(nodes: DataFrame) -> DataFrame:
 
 
 def graph_statistics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: counts, number of flow paths, longest of them, busiest node."""
+    """One row: counts, flow paths, longest of them, busiest node, uses by name."""
 
     def of_type(kind: str):
         return F.count_if(F.col("node_type") == kind)
@@ -318,12 +317,20 @@ def graph_statistics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         F.coalesce(F.max("length"), F.lit(0)).alias("max_shortest_path"),
     )
     pair = pairs.select(F.struct(*pairs.columns)).scalar()
+    uses = (
+        nodes.filter("node_type = 'transformation'")
+        .groupBy(F.col("label").alias("name"))
+        .agg(F.count(F.lit(1)).alias("uses"))
+    )
+    # As long as the list of the operators in use.
+    listed = uses.agg(F.sort_array(F.collect_list(F.struct("name", "uses"))))
     return counts.select(
         "*",
         edges.agg(F.count(F.lit(1))).scalar().alias("total_edges"),
         pair["flow_paths"].alias("flow_paths"),
         pair["max_shortest_path"].alias("max_shortest_path"),
         most_connected(nodes).select("name").scalar().alias("most_connected_node"),
+        listed.scalar().alias("transformation_types"),
     )
 
 
@@ -345,19 +352,6 @@ def dependency_matrix(
     return rows.join(square, "source", "left").na.fill(0)
 
 
-def adjacency(dependencies: DataFrame, per_row: int = TARGETS_PER_ROW) -> DataFrame:
-    """(source, part, targets): the targets of every source as sorted lists.
-
-    A source with very many targets takes several rows (parts) of about
-    ``per_row`` targets each, all of them together hold every target.
-    """
-    pairs = dependencies.select("source", "target").distinct()
-    parts = pairs.groupBy("source").agg(
-        F.ceil(F.count(F.lit(1)) / per_row).alias("parts")
-    )
-    return (
-        pairs.join(parts, "source")
-        .withColumn("part", F.pmod(F.xxhash64("target"), "parts"))
-        .groupBy("source", "part")
-        .agg(F.array_sort(F.collect_list("target")).alias("targets"))
-    )
+def adjacency(dependencies: DataFrame) -> DataFrame:
+    """(source, target): every pair once, however many targets a source has."""
+    return dependencies.select("source", "target").distinct()

@@ -116,16 +116,31 @@ def read_provenance(spark: SparkSession, folders: Sequence[str]) -> dict[str, Da
     }
 
 
-def consolidate(provenances: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
-    """One set of lists from several runs, without repeated records."""
+def consolidate(recorded: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
+    """One set of lists from several runs, without repeated records.
+
+    Of records with the same key the latest stays (the greatest run id among
+    equals); the result does not depend on the order of the runs.
+    """
     return {
-        name: reduce(
-            DataFrame.unionByName, [provenance[name] for provenance in provenances]
-        ).dropDuplicates(keys)
+        name: _latest(reduce(DataFrame.unionByName, [lists[name] for lists in recorded]), keys)
         for name, keys in NATURAL_KEYS.items()
     }
 
 
+def _latest(records: DataFrame, keys: list[str]) -> DataFrame:
+    # Maps have no order; their text has one, which settles what is left.
+    maps = [f.name for f in records.schema.fields if f.dataType.typeName() == "map"]
+    newest = [F.col(c) for c in ("ts", "run_id") if c in records.columns]
+    rest = [F.to_json(c) if c in maps else F.col(c) for c in records.columns]
+    whole = F.struct(*records.columns)
+    return (
+        records.groupBy(*keys)
+        .agg(F.max_by(whole, F.struct(*newest, *rest)).alias("record"))
+        .select("record.*")
+    )
+
+
 def overview(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """Number of records per list."""
     return reduce(
@@ -146,7 +161,7 @@ def transformation_listing(provenance: Mapping[str, DataFrame]) -> DataFrame:
         "name",
         F.concat_ws(", ", "input_tables").alias("inputs"),
         F.col("output_table").alias("output"),
-        F.substring("transformation_logic", 1, 100).alias("logic"),
+        F.col("transformation_logic").alias("logic"),
         F.col("metadata")["input_rows"].cast("bigint").alias("input_rows"),
         F.col("metadata")["output_rows"].cast("bigint").alias("output_rows"),
     )

@@ -1,13 +1,14 @@
-"""The operators by category and key, with their parameters.
+"""The operators by category and key; what they take is read from their code.
 
-A form or a step list can be checked against it: ``inputs`` is the number of
-tables an operator takes ("many" for two or more).
+``inputs`` is the number of tables an operator takes ("many" for two or more),
+the parameters are all others of its function, with their types and defaults.
 """
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from ..operators import aggregates, cleaning, joins, sorting, validation, windows
 
@@ -16,228 +17,88 @@ from ..operators import aggregates, cleaning, joins, sorting, validation, window
 class Operator:
     function: Callable
     name: str
-    description: str
-    parameters: dict[str, dict] = field(default_factory=dict)
     inputs: int | str = 1
+    described_by: Callable | None = None
 
+    @property
+    def _described(self) -> Callable:
+        return self.described_by or self.function
 
-def _columns(description: str) -> dict:
-    return {"type": "multiselect", "description": description}
-
-
-def _column(description: str) -> dict:
-    return {"type": "select", "description": description}
-
-
-def _choice(options: list[str], default: str, description: str) -> dict:
-    return {
-        "type": "select", "options": options, "default": default, "description": description,
-    }
-
-
-def _mapping(description: str) -> dict:
-    return {"type": "dict", "description": description}
-
-
-def _number(default: float, description: str) -> dict:
-    return {"type": "number", "default": default, "description": description}
-
-
-def _text(default: str | None, description: str) -> dict:
-    return {"type": "text", "default": default, "description": description}
-
-
-OPERATORS: dict[str, dict[str, Operator]] = {
-    "Data Cleaning": {
-        "remove_nulls": Operator(
-            cleaning.remove_nulls,
-            "Remove nulls",
-            "Drop rows that lack values",
-            {
-                "columns": _columns("checked columns; none means all"),
-                "how": _choice(["any", "all"], "any", "drop when any / all are null"),
-            },
-        ),
-        "fill_nulls": Operator(
-            cleaning.fill_nulls,
-            "Fill nulls",
-            "Replace missing values",
-            {
-                "fill_values": _mapping("column to value"),
-                "default_value": _number(0, "value for other columns of its type"),
-            },
-        ),
-        "remove_duplicates": Operator(
-            cleaning.remove_duplicates,
-            "Remove duplicates",
-            "Keep one of equal rows",
-            {"columns": _columns("key columns; none means all")},
-        ),
-        "convert_types": Operator(
-            cleaning.convert_types,
-            "Convert types",
-            "Cast columns",
-            {"type_conversions": _mapping("column to Spark type name")},
-        ),
-        "remove_outliers": Operator(
-            cleaning.remove_outliers,
-            "Remove outliers",
-            "Keep rows inside the interquartile fences",
-            {
-                "columns": _columns("numeric columns"),
-                "multiplier": _number(1.5, "fence width in interquartile ranges"),
-            },
-        ),
-        "flag_outliers": Operator(
-            cleaning.flag_outliers,
-            "Flag outliers",
-            "Mark rows outside the interquartile fences",
-            {
-                "columns": _columns("numeric columns"),
-                "multiplier": _number(1.5, "fence width in interquartile ranges"),
-            },
-        ),
-        "standardize_text": Operator(
-            cleaning.standardize_text,
-            "Standardize text",
-            "Trim, change case, strip special characters",
-            {
-                "columns": _columns("text columns"),
-                "operations": {
-                    "type": "multiselect",
-                    "options": ["lower", "upper", "trim", "remove_special"],
-                    "default": ["lower", "trim"],
-                    "description": "what to do",
-                },
-            },
-        ),
-        "filter": Operator(
-            cleaning.filter_rows,
-            "Filter",
-            "Rows for which a SQL condition holds",
-            {"condition": _text(None, "SQL condition")},
-        ),
-        "sort": Operator(
-            sorting.sort_rows,
-            "Sort",
-            "Order the rows",
-            {"order_columns": _columns("columns, or (column, asc/desc) pairs")},
-        ),
-    },
-    "Aggregations": {
-        "group_by": Operator(
-            aggregates.group_by,
-            "Group by",
-            "Aggregate per group",
-            {
-                "group_by_columns": _columns("group columns; none means one row"),
-                "aggregations": _mapping("column to function, or list of functions"),
-            },
-        ),
-        "window_functions": Operator(
-            windows.window_functions,
-            "Window functions",
-            "Rankings, offsets and running sums",
-            {
-                "partition_columns": _columns("partition columns"),
-                "order_columns": _columns("order columns"),
-                "window_functions": _mapping("alias to function"),
-            },
-        ),
-        "pivot": Operator(
-            aggregates.pivot,
-            "Pivot",
-            "Values of a column become columns",
-            {
-                "group_columns": _columns("group columns"),
-                "pivot_column": _column("column that spreads out"),
-                "value_column": _column("aggregated column"),
-                "agg_function": _choice(
-                    ["sum", "avg", "count", "min", "max"], "sum", "aggregate"
-                ),
-            },
-        ),
-        "statistical_analysis": Operator(
-            aggregates.statistics,
-            "Statistics",
-            "One row of statistics per column",
-            {"numeric_columns": _columns("numeric columns")},
-        ),
-        "rolling_aggregation": Operator(
-            windows.rolling_aggregation,
-            "Rolling aggregate",
-            "Aggregate over the latest rows",
-            {
-                "partition_columns": _columns("partition columns"),
-                "order_column": _column("order column"),
-                "window_size": _number(3, "rows per frame"),
-                "agg_column": _column("aggregated column"),
-                "agg_function": _choice(
-                    ["avg", "sum", "min", "max", "count"], "avg", "aggregate"
-                ),
-            },
-        ),
-    },
-    "Joins & Integration": {
-        "join": Operator(
-            joins.join_tables,
-            "Join",
-            "Match two tables on equal columns",
-            {
-                "join_keys": _columns("key columns"),
-                "join_type": _choice(
-                    ["inner", "outer", "left", "right", "left_semi", "left_anti"],
-                    "inner",
-                    "join type",
-                ),
-                "left_suffix": _text("_left", "suffix for shared names, left"),
-                "right_suffix": _text("_right", "suffix for shared names, right"),
-            },
-            inputs=2,
-        ),
-        "union": Operator(
-            lambda *tables, **parameters: joins.union_tables(tables, **parameters),
-            "Union",
-            "Stack tables",
-            {"union_type": _choice(["union", "union_all"], "union", "with or without duplicates")},
-            inputs="many",
-        ),
-        "lookup": Operator(
-            joins.lookup,
-            "Lookup",
-            "Add columns from a lookup table",
-            {
-                "main_key": _column("key in the main table"),
-                "lookup_key": _column("key in the lookup table"),
-                "lookup_columns": _columns("added columns; none means all"),
-            },
-            inputs=2,
-        ),
-        "cross_join": Operator(
-            joins.cross_join,
-            "Cross join",
-            "Pairs of rows, optionally under a condition",
-            {"condition": _text(None, "SQL condition on a pair")},
-            inputs=2,
-        ),
-        "data_validation": Operator(
-            validation.validate,
-            "Validate",
-            "Flag rows by SQL rules",
-            {"validation_rules": _mapping("rule name to SQL condition")},
-        ),
-    },
+    @property
+    def description(self) -> str:
+        return (inspect.getdoc(self._described) or "").split("\n")[0]
+
+    @property
+    def parameters(self) -> dict[str, dict]:
+        """Name -> type, whether it is required, and else its default."""
+        tables = 1 if self.inputs == "many" else self.inputs
+        given = list(inspect.signature(self._described).parameters.values())[tables:]
+        return {
+            p.name: {"type": str(p.annotation), "required": p.default is p.empty}
+            | ({} if p.default is p.empty else {"default": p.default})
+            for p in given
+        }
+
+
+def _union(*tables, **parameters):
+    return joins.union_tables(tables, **parameters)
+
+
+OPERATORS: dict[str, dict[str, Operator]] = {}
+
+
+def register(category: str, key: str, operator: Operator) -> None:
+    """Add any function from DataFrames to a DataFrame as an operator."""
+    OPERATORS.setdefault(category, {})[key] = operator
+
+
+# Categories and keys by which step lists name the operators.
+_KEYS = {
+    "Data Cleaning": [
+        ("remove_nulls", cleaning.remove_nulls),
+        ("fill_nulls", cleaning.fill_nulls),
+        ("remove_duplicates", cleaning.remove_duplicates),
+        ("convert_types", cleaning.convert_types),
+        ("remove_outliers", cleaning.remove_outliers),
+        ("flag_outliers", cleaning.flag_outliers),
+        ("standardize_text", cleaning.standardize_text),
+        ("filter", cleaning.filter_rows),
+        ("sort", sorting.sort_rows),
+    ],
+    "Aggregations": [
+        ("group_by", aggregates.group_by),
+        ("window_functions", windows.window_functions),
+        ("pivot", aggregates.pivot),
+        ("statistical_analysis", aggregates.statistics),
+        ("rolling_aggregation", windows.rolling_aggregation),
+    ],
+    "Joins & Integration": [
+        ("join", joins.join_tables),
+        ("union", joins.union_tables),
+        ("lookup", joins.lookup),
+        ("cross_join", joins.cross_join),
+        ("data_validation", validation.validate),
+    ],
 }
 
 
+def _tables(function: Callable) -> int:
+    kinds = [p.annotation for p in inspect.signature(function).parameters.values()]
+    return sum(kind == "DataFrame" for kind in kinds)
+
+
+for _category, _listed in _KEYS.items():
+    for _key, _function in _listed:
+        _name = "Validate" if _function is validation.validate else _key.replace("_", " ").capitalize()
+        if _function is joins.union_tables:
+            register(_category, _key, Operator(_union, _name, "many", _function))
+        else:
+            register(_category, _key, Operator(_function, _name, _tables(_function)))
+
+
 def find(key: str, category: str | None = None) -> Operator:
     """The operator with this key, in one category or in any."""
     for name, operators in OPERATORS.items():
         if key in operators and category in (None, name):
             return operators[key]
     raise ValueError(f"unknown operator: {key}")
-
-
-def register(category: str, key: str, operator: Operator) -> None:
-    """Add any function from DataFrames to a DataFrame as an operator."""
-    OPERATORS.setdefault(category, {})[key] = operator

@@ -42,7 +42,7 @@ class Run:
         if not self.records:
             raise ValueError("no step was run")
         last = self.records[-1]
-        if not last[10]:
+        if last[10] is False:
             raise RuntimeError(f"step {last[1]} ({last[2]}) failed: {last[11]}")
         return self.workspace.tables[last[4]]
 
@@ -56,7 +56,7 @@ class Run:
         """
         changes = []
         for record in self.records:
-            if not record[10]:
+            if record[10] is False:
                 continue
             before = dict(self.workspace.tables[record[3][0]].dtypes)
             after = dict(self.workspace.tables[record[4]].dtypes)
@@ -82,7 +82,8 @@ def run_steps(
     too. Plans stay lazy unless ``measure`` is set: then each output is written
     to the shared folder, timed, counted from its files and read back by the
     following steps, so no step computes an earlier one again and the counts
-    hold even if a task ran twice.
+    hold even if a task ran twice. A lazy step is only planned: its ``success``
+    is NULL, since its rows may still fail.
     """
     run = Run(workspace)
     counts: dict[str, int] = {}
@@ -124,7 +125,8 @@ def run_steps(
         run.records.append(
             (
                 workspace.log.run_id, number, name, inputs, output, before, after,
-                len(df.columns), json.dumps(parameters, default=str), at, True, None, elapsed,
+                len(df.columns), json.dumps(parameters, default=str), at,
+                True if measure else None, None, elapsed,
             )
         )
         metadata = dict(parameters)

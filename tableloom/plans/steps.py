@@ -13,7 +13,7 @@ def _percent(part: Column, whole: Column) -> Column:
 
 
 def results_summary(steps: DataFrame) -> DataFrame:
-    return steps.filter("success").select(
+    return steps.filter("coalesce(success, true)").select(
         "step",
         "transformation",
         F.concat_ws(", ", "inputs").alias("input"),
@@ -26,7 +26,7 @@ def results_summary(steps: DataFrame) -> DataFrame:
 def record_impact(steps: DataFrame) -> DataFrame:
     """Change in the number of rows by each step, in percent of its input."""
     change = F.col("output_rows") - F.col("input_rows")
-    return steps.filter("success").select(
+    return steps.filter("coalesce(success, true)").select(
         "step",
         "transformation",
         "input_rows",
@@ -37,7 +37,7 @@ def record_impact(steps: DataFrame) -> DataFrame:
 
 def throughput(steps: DataFrame) -> DataFrame:
     """One row: steps, rows in, rows out, and out / in in percent."""
-    totals = steps.filter("success").agg(
+    totals = steps.filter("coalesce(success, true)").agg(
         F.count(F.lit(1)).alias("transformations"),
         F.sum("input_rows").alias("total_input_rows"),
         F.sum("output_rows").alias("total_output_rows"),
@@ -50,7 +50,7 @@ def throughput(steps: DataFrame) -> DataFrame:
 def step_change(steps: DataFrame) -> DataFrame:
     """Rows of each step against the step before it in the list."""
     listed = window_functions(
-        steps.filter("success").select(
+        steps.filter("coalesce(success, true)").select(
             "run_id", "step", "transformation", "inputs", "output_name",
             "input_rows", "output_rows",
         ),
@@ -78,7 +78,7 @@ def step_change(steps: DataFrame) -> DataFrame:
 
 def volume_series(steps: DataFrame) -> DataFrame:
     """(step, kind, rows): input and output rows along the run."""
-    return steps.filter("success").select(
+    return steps.filter("coalesce(success, true)").select(
         "step",
         F.inline(
             F.array(
@@ -92,7 +92,7 @@ def volume_series(steps: DataFrame) -> DataFrame:
 def run_statistics(steps: DataFrame) -> DataFrame:
     """Per run: number of steps, first input, last output, total time."""
     return (
-        steps.filter("success")
+        steps.filter("coalesce(success, true)")
         .groupBy("run_id")
         .agg(
             F.count(F.lit(1)).alias("steps"),
@@ -118,7 +118,7 @@ def step_timing(steps: DataFrame) -> DataFrame:
 
 def flow_links(steps: DataFrame) -> DataFrame:
     """Links dataset -> dataset, weighted by output rows."""
-    return steps.filter("success").select(
+    return steps.filter("coalesce(success, true)").select(
         F.explode("inputs").alias("source"),
         F.col("output_name").alias("target"),
         F.col("output_rows").alias("value"),
@@ -128,7 +128,7 @@ def flow_links(steps: DataFrame) -> DataFrame:
 
 def flow_links_via_steps(steps: DataFrame) -> DataFrame:
     """Links input -> transformation -> output, weighted by output rows."""
-    done = steps.filter("success")
+    done = steps.filter("coalesce(success, true)")
     into = done.select(
         F.explode("inputs").alias("source"),
         F.col("transformation").alias("target"),

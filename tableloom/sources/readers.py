@@ -13,6 +13,8 @@ from ..plans.provenance import ProvenanceLog
 
 FORMATS = ("csv", "parquet", "json")
 
+_FLAGS = {"header": "header", "inferschema": "infer_schema", "multiline": "multi_line"}
+
 
 def read_table(
     spark: SparkSession,
@@ -26,33 +28,42 @@ def read_table(
 ) -> DataFrame:
     """A lazy scan of CSV, Parquet or JSON-lines files.
 
-    CSV is UTF-8 with doubled quotes and may hold line breaks inside quotes.
-    Such files cannot be split: pass ``multi_line=False`` for very large ones,
-    and a ``schema`` to save the pass that infers it.
+    CSV is UTF-8 with doubled quotes and may hold line breaks inside quotes,
+    unless ``options`` (Spark's names) say otherwise. Files with such breaks
+    cannot be split: pass ``multi_line=False`` for very large ones, and a
+    ``schema`` to save the pass that infers it.
     """
     kind = format_type.lower()
     if kind not in FORMATS:
         raise ValueError(f"unsupported format: {format_type}")
-    reader = spark.read.options(**dict(options or {}))
+    given = dict(options or {})
+    if kind == "csv":
+        inferred = infer_schema and schema is None
+        given = _dialect(given, header=header, inferSchema=inferred, multiLine=multi_line)
+    reader = spark.read.options(**given)
     if schema is not None:
         reader = reader.schema(schema)
-    if kind == "parquet":
-        return reader.parquet(path)
-    if kind == "json":
-        return reader.json(path)
-    return (
-        reader.option("header", header)
-        .option("inferSchema", infer_schema and schema is None)
-        .option("encoding", "UTF-8")
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
+    return reader.format(kind).load(path)
 
 
-def read_csv_as_text(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """The degraded CSV scan: every column is text."""
-    return spark.read.option("header", header).option("inferSchema", False).csv(path)
+def _dialect(options: Mapping[str, str], **defaults) -> dict:
+    """CSV options: the caller's, whatever their case, before the defaults."""
+    chosen = {"encoding": "UTF-8", "escape": '"'} | defaults
+    said = {k.lower() for k in options} | ({"encoding"} if "charset" in map(str.lower, options) else set())
+    return {k: v for k, v in chosen.items() if k.lower() not in said} | dict(options)
+
+
+def read_csv_as_text(
+    spark: SparkSession,
+    path: str,
+    header: bool = True,
+    multi_line: bool = True,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The degraded CSV scan: the same dialect, but every column is text."""
+    kept = {k: v for k, v in (options or {}).items() if k.lower() != "inferschema"}
+    dialect = _dialect(kept, header=header, multiLine=multi_line, inferSchema=False)
+    return spark.read.options(**dialect).csv(path)
 
 
 def read_stage(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -86,7 +97,8 @@ class Workspace:
         except PySparkException as error:
             if format_type.lower() != "csv" or _not_found(error):
                 raise
-            df = read_csv_as_text(self.spark, path, options.get("header", True))
+            dialect = {k: options[k] for k in ("header", "multi_line", "options") if k in options}
+            df = read_csv_as_text(self.spark, path, **dialect)
             self.degraded.add(name)
         self.log.add_source(name, format_type.lower(), path, df)
         return self.add(name, df)
@@ -98,25 +110,21 @@ class Workspace:
     def load_all(
         self, catalogue: Mapping[str, Mapping], base_path: str = ""
     ) -> dict[str, DataFrame]:
-        """Load ``{name: {path, format, options}}``.
+        """Load ``{name: {path, format, schema, options}}``; options have Spark's names.
 
         Missing files are skipped and one broken table does not stop the rest;
         ``skipped`` says why a table is not there.
         """
         loaded = {}
         for name, entry in catalogue.items():
-            options = {
-                "header": str(entry.get("options", {}).get("header", True)).lower() == "true",
-                "infer_schema": str(
-                    entry.get("options", {}).get("inferSchema", True)
-                ).lower()
-                == "true",
-                "options": {
-                    k: v
-                    for k, v in entry.get("options", {}).items()
-                    if k not in ("header", "inferSchema")
-                },
-            }
+            said = {k.lower(): k for k in entry.get("options", {})}
+            given = {k: v for k, v in entry.get("options", {}).items() if k.lower() not in _FLAGS}
+            options: dict = {"options": given}
+            for key, parameter in _FLAGS.items():
+                if key in said:
+                    options[parameter] = str(entry["options"][said[key]]).lower() == "true"
+            if entry.get("schema") is not None:
+                options["schema"] = entry["schema"]
             try:
                 loaded[name] = self.load(
                     name, base_path + entry["path"], entry.get("format", "csv"), **options

@@ -13,7 +13,7 @@ from ..operators.quality import assess
 MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 SAMPLE_ROWS = 100
 
-MANIFEST = "path string, kind string, name string, rows bigint"
+MANIFEST = "path string, kind string, name string, rows bigint, error string"
 
 
 def write_table(
@@ -39,22 +39,43 @@ def write_table(
 
 def export_tables(
     tables: Mapping[str, DataFrame], folder: str
-) -> list[tuple[str, str, str, int]]:
+) -> list[tuple[str, str, str, int, str | None]]:
     """Every table as Parquet plus a CSV sample of 100 rows; returns manifest rows.
 
     The sample and the row count come from the written files, not from a second
-    run of the plan.
+    run of the plan. A table that cannot be computed or written does not stop
+    the rest: its manifest row has no count but says why.
     """
     written = []
     for name, df in tables.items():
         path = f"{folder}/datasets/{name}"
-        df.write.mode("overwrite").parquet(path)
-        stored = df.sparkSession.read.schema(df.schema).parquet(path)
-        sample = f"{folder}/datasets/{name}_sample"
-        write_table(_flat(stored.limit(SAMPLE_ROWS)).coalesce(1), sample, "csv")
-        rows = stored.count()
-        written.append((path, "dataset", name, rows))
-        written.append((sample, "sample", name, min(rows, SAMPLE_ROWS)))
+        try:
+            df.write.mode("overwrite").parquet(path)
+            stored = df.sparkSession.read.schema(df.schema).parquet(path)
+            sample = f"{folder}/datasets/{name}_sample"
+            write_table(_flat(stored.limit(SAMPLE_ROWS)).coalesce(1), sample, "csv")
+            rows = stored.count()
+        except Exception as error:  # whatever a table's plan raises
+            written.append((path, "dataset", name, None, _reason(error)))
+            continue
+        written.append((path, "dataset", name, rows, None))
+        written.append((sample, "sample", name, min(rows, SAMPLE_ROWS), None))
+    return written
+
+
+def _reason(error: Exception) -> str:
+    return str(error).strip().split("\n")[0]
+
+
+def export_provenance(
+    lists: Mapping[str, DataFrame], folder: str
+) -> list[tuple[str, str, str, int, str | None]]:
+    """The provenance lists as JSON lines below ``folder``."""
+    written = []
+    for name, df in lists.items():
+        path = f"{folder}/provenance/{name}"
+        write_table(df, path, "json")
+        written.append((path, "provenance", name, df.count(), None))
     return written
 
 
@@ -68,45 +89,48 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.to_json(c) for c in nested})
 
 
-def export_steps(steps: DataFrame, folder: str) -> list[tuple[str, str, str, int]]:
+def export_steps(steps: DataFrame, folder: str) -> list[tuple[str, str, str, int, str | None]]:
     """The step records as JSON and their summary as CSV."""
     write_table(steps, f"{folder}/execution_results", "json")
     write_table(_flat(steps), f"{folder}/execution_summary", "csv")
     rows = steps.count()
     return [
-        (f"{folder}/execution_results", "steps", "execution_results", rows),
-        (f"{folder}/execution_summary", "steps", "execution_summary", rows),
+        (f"{folder}/execution_results", "steps", "execution_results", rows, None),
+        (f"{folder}/execution_summary", "steps", "execution_summary", rows, None),
     ]
 
 
 def export_quality(
     tables: Mapping[str, DataFrame], folder: str
-) -> list[tuple[str, str, str, int]]:
+) -> list[tuple[str, str, str, int, str | None]]:
     """The quality assessment of every table as JSON."""
     written = []
     for name, df in tables.items():
         path = f"{folder}/quality_reports/{name}"
-        write_table(
-            assess(df).select(F.lit(name).alias("dataset"), "*"), path, "json"
-        )
-        written.append((path, "quality", name, 1))
+        try:
+            write_table(assess(df).select(F.lit(name).alias("dataset"), "*"), path, "json")
+        except Exception as error:  # whatever a table's plan raises
+            written.append((path, "quality", name, None, _reason(error)))
+            continue
+        written.append((path, "quality", name, 1, None))
     return written
 
 
 def export_graph(
     nodes: DataFrame, edges: DataFrame, folder: str
-) -> list[tuple[str, str, str, int]]:
+) -> list[tuple[str, str, str, int, str | None]]:
     """Provenance nodes and edges as JSON lines."""
     written = []
     for name, df in (("nodes", nodes), ("links", edges)):
         path = f"{folder}/graph/{name}"
         write_table(df, path, "json")
-        written.append((path, "graph", name, df.sparkSession.read.schema(df.schema).json(path).count()))
+        rows = df.sparkSession.read.schema(df.schema).json(path).count()
+        written.append((path, "graph", name, rows, None))
     return written
 
 
 def export_manifest(
-    spark: SparkSession, written: list[tuple[str, str, str, int]], folder: str
+    spark: SparkSession, written: list[tuple[str, str, str, int, str | None]], folder: str
 ) -> DataFrame:
     """The list of exported files, written as JSON and returned."""
     manifest = spark.createDataFrame(written, MANIFEST)
@@ -121,7 +145,7 @@ def export_spec(
     path: str,
 ) -> DataFrame:
     """A runnable description: per step its parameters and the expected shape."""
-    spec = steps.filter("success").select(
+    spec = steps.filter("coalesce(success, true)").select(
         "step",
         "transformation",
         "inputs",

@@ -11,22 +11,22 @@ from tableloom.plans.provenance import (
 )
 
 
-def shop_log():
+def visits_log():
     """Two sources, four steps, three tables in between, one result."""
     log = ProvenanceLog("run")
-    log.add_source("raw_customers", "csv", "data/customers.csv")
-    log.add_source("raw_orders", "csv", "data/orders.csv")
-    log.add_transformation("RemoveDuplicates", ["raw_customers"], "clean_customers")
-    log.add_transformation("FilterData", ["raw_orders"], "valid_orders", metadata={"input_rows": 9, "output_rows": 7})
-    log.add_transformation("InnerJoin", ["clean_customers", "valid_orders"], "customer_orders")
-    log.add_transformation("Aggregate", ["customer_orders"], "customer_analytics")
-    log.add_sink("customer_analytics", "parquet", "output/customer_analytics")
+    log.add_source("people_file", "csv", "in/people.csv")
+    log.add_source("visits_file", "csv", "in/visits.csv")
+    log.add_transformation("Deduplicate", ["people_file"], "people")
+    log.add_transformation("KeepPaid", ["visits_file"], "visits", metadata={"input_rows": 9, "output_rows": 7})
+    log.add_transformation("Attach", ["people", "visits"], "visits_of_people")
+    log.add_transformation("CountVisits", ["visits_of_people"], "visit_counts")
+    log.add_sink("visit_counts", "parquet", "out/visit_counts")
     return log
 
 
 @pytest.fixture(scope="module")
 def provenance(spark):
-    return shop_log().tables(spark)
+    return visits_log().tables(spark)
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +43,7 @@ def test_statistics_with_dependencies(graph):
     assert (row.total_nodes, row.total_edges) == (10, 14)
     assert (row.data_sources, row.data_sinks, row.intermediate_datasets, row.transformations) == (2, 1, 3, 4)
     assert (row.flow_paths, row.max_shortest_path) == (2, 3)
-    assert row.most_connected_node == "customer_orders"
+    assert row.most_connected_node == "visits_of_people"
     kinds = dict(pairs(graph[1].groupBy("edge_type").count()))
     assert kinds == {"consumes": 5, "produces": 4, "dependency": 5}
 
@@ -60,23 +60,23 @@ def test_paths(graph):
     nodes, edges = graph
     paths = g.flow_paths(nodes, edges)
     assert {r.source: r.path for r in paths.collect()} == {
-        "raw_customers": ["raw_customers", "clean_customers", "customer_orders", "customer_analytics"],
-        "raw_orders": ["raw_orders", "valid_orders", "customer_orders", "customer_analytics"],
+        "people_file": ["people_file", "people", "visits_of_people", "visit_counts"],
+        "visits_file": ["visits_file", "visits", "visits_of_people", "visit_counts"],
     }
-    places = g.path_positions(paths, nodes).filter("source = 'raw_orders'").orderBy("position")
+    places = g.path_positions(paths, nodes).filter("source = 'visits_file'").orderBy("position")
     assert [r.node_type for r in places.collect()] == ["source", "intermediate", "intermediate", "sink"]
     assert pairs(g.reachable_pairs(nodes, edges)) == [
-        ("raw_customers", "customer_analytics", 3), ("raw_orders", "customer_analytics", 3),
+        ("people_file", "visit_counts", 3), ("visits_file", "visit_counts", 3),
     ]
 
 
 def test_impact(graph):
     nodes, edges = graph
-    related, among = g.impact(nodes, edges, "valid_orders")
+    related, among = g.impact(nodes, edges, "visits")
     roles = {r.node: r.role for r in related.collect()}
-    assert roles["valid_orders"] == "selected" and roles["raw_orders"] == "upstream"
-    assert roles["customer_analytics"] == "downstream" and "raw_customers" not in roles
-    assert among.filter("src = 'clean_customers' OR dst = 'clean_customers'").count() == 0
+    assert roles["visits"] == "selected" and roles["visits_file"] == "upstream"
+    assert roles["visit_counts"] == "downstream" and "people_file" not in roles
+    assert among.filter("src = 'people' OR dst = 'people'").count() == 0
     assert among.columns == edges.columns
     with pytest.raises(ValueError):
         g.impact(nodes, edges, "nobody")
@@ -85,27 +85,25 @@ def test_impact(graph):
 def test_degrees_and_counts(graph, provenance):
     nodes, edges = graph
     roles = {r.name: r.dataset_role for r in g.degrees(edges).collect()}
-    assert roles["raw_orders"] == "source" and roles["customer_analytics"] == "final"
+    assert roles["visits_file"] == "source" and roles["visit_counts"] == "final"
     assert dict(pairs(g.node_type_counts(nodes)))["intermediate"] == 3
-    assert dict(pairs(g.transformation_counts(provenance)))["InnerJoin"] == 1
+    assert dict(pairs(g.transformation_counts(provenance)))["Attach"] == 1
 
 
 def test_matrix(graph):
-    square = g.dependency_matrix(graph[1], ["raw_orders", "valid_orders", "customer_orders"])
+    square = g.dependency_matrix(graph[1], ["visits_file", "visits", "visits_of_people"])
     assert {r.source: tuple(r)[1:] for r in square.collect()} == {
-        "raw_orders": (0, 1, 0), "valid_orders": (0, 0, 1), "customer_orders": (0, 0, 0),
+        "visits_file": (0, 1, 0), "visits": (0, 0, 1), "visits_of_people": (0, 0, 0),
     }
     assert g.dependency_matrix(graph[1]).count() == 14
 
 
-def test_adjacency_splits_large_lists(spark):
+def test_adjacency_holds_every_pair_once(spark):
     edges = spark.range(500).select(
         F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("s"), F.col("id") % 20)).alias("source"),
         F.concat(F.lit("t"), "id").alias("target"),
     )
-    lists = g.adjacency(edges.union(edges), per_row=20)
-    assert lists.filter("source = 'hub'").count() > 1
-    assert pairs(lists.select("source", F.explode("targets"))) == pairs(edges)
+    assert pairs(g.adjacency(edges.union(edges))) == pairs(edges)
 
 
 def test_walk_with_cycles_and_hubs(spark):
@@ -157,9 +155,9 @@ def test_empty_provenance(spark):
 
 
 def test_export_and_consolidate(spark, tmp_path, provenance):
-    one, two = shop_log(), ProvenanceLog("other")
-    two.add_source("raw_orders", "csv", "data/orders.csv")
-    two.add_transformation("Copy", ["raw_orders"], "copy")
+    one, two = visits_log(), ProvenanceLog("other")
+    two.add_source("visits_file", "csv", "in/visits.csv")
+    two.add_transformation("Copy", ["visits_file"], "copy")
     one.export(spark, str(tmp_path / "one"))
     two.export(spark, str(tmp_path / "two"))
     back = read_provenance(spark, [str(tmp_path / "one")])
@@ -173,6 +171,6 @@ def test_export_and_consolidate(spark, tmp_path, provenance):
     assert dict(pairs(overview(unique))) == {
         "data_sources": 2, "data_sinks": 1, "transformations": 5, "dependencies": 6,
     }
-    listing = transformation_listing(unique).filter("name = 'FilterData'").first()
-    assert (listing.inputs, listing.input_rows, listing.output_rows) == ("raw_orders", 9, 7)
+    listing = transformation_listing(unique).filter("name = 'KeepPaid'").first()
+    assert (listing.inputs, listing.input_rows, listing.output_rows) == ("visits_file", 9, 7)
     assert g.build_graph(unique)[0].count() == 12

@@ -66,7 +66,9 @@ def test_lazy_run_counts_nothing(workspace):
 def test_run_stops_at_failure(workspace):
     broken = [STEPS[0], {"inputs": ["orders"], "operator": "nonsense"}, STEPS[1]]
     run = run_steps(workspace, broken)
-    assert [r.success for r in run.steps().orderBy("step").collect()] == [True, False]
+    assert [r.success for r in run.steps().orderBy("step").collect()] == [None, False]
+    measured = run_steps(workspace, broken, measure=True)
+    assert [r.success for r in measured.steps().orderBy("step").collect()] == [True, False]
     with pytest.raises(RuntimeError, match="nonsense"):
         run.result
     for bad in (
@@ -107,7 +109,7 @@ def test_exports(workspace, spark, tmp_path):
 def test_graph_export(workspace, spark, tmp_path):
     nodes, edges = st.step_graph(run_steps(workspace, STEPS).steps())
     written = w.export_graph(nodes, edges, str(tmp_path))
-    assert [(kind, name, rows) for _, kind, name, rows in written] == [
+    assert [(kind, name, rows) for _, kind, name, rows, _ in written] == [
         ("graph", "nodes", nodes.count()), ("graph", "links", edges.count()),
     ]
     back = read_table(spark, str(tmp_path / "graph" / "links"), "json")
@@ -119,7 +121,9 @@ def test_registry(spark):
     assert find("cross_join").inputs == 2
     with pytest.raises(ValueError):
         find("join", "Aggregations")
-    register("Own", "double", Operator(lambda df, column: df.withColumn(column, F.col(column) * 2), "Double", "twice"))
+    register("Own", "double", Operator(lambda df, column: df.withColumn(column, F.col(column) * 2), "Double"))
+    assert find("join").parameters["join_type"] == {"type": "str", "required": False, "default": "inner"}
+    assert find("join").parameters["join_keys"]["required"] and find("union").inputs == "many"
     space = Workspace(spark)
     space.add("t", spark.range(3))
     run = run_steps(space, [{"inputs": ["t"], "operator": "double", "parameters": {"column": "id"}}])
