@@ -16,7 +16,10 @@ repeated or a lost attempt leaves nothing half written.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -30,20 +33,24 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.storage import new_folder
 
-from .common import pieces, store, table
+from .common import pieces, slices, store, table
 from .registry import query
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 MAGIC = b"TLTOKEN1"
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("size", "<u8")])
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 """Words whose ids a task remembers; when there are more, it starts anew."""
 CACHED_BYTES = 64
 """Longer words are not remembered."""
-GROUP_BYTES = 8 << 20
+BATCH_WORDS = 1000
+"""Words given to the library at a time: its results are large."""
+GROUP_BYTES = 2 << 20
 """Text encoded, or ids read, at a time."""
 
+_MARKS = b",.!?;:#$%&*|"
+
 
 def masked_crc(data: bytes) -> int:
     """CRC-32, rotated and shifted, so that a checksum of checksums is no checksum."""
@@ -61,42 +68,79 @@ def frame(payload: bytes) -> bytes:
 class WordEncoder:
     """Encodes texts word by word, as bytes of their ids.
 
-    ``vocabulary``: a file in the format of the tokenizers library whose
-    tokens never hold white space, so that a text's ids are its words' ids.
+    ``vocabulary``: a file in the format of the tokenizers library that is for
+    lower case, splits text into letters, digits and marks, and whose tokens never
+    hold white space. A text's ids are then its words' ids, and those of a word
+    with marks behind it are the word's and the marks'.
     """
 
     def __init__(self, vocabulary: str, width: int):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.kind, self.known = f"<u{width}", {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        # Small letters of the Latin alphabets as the byte-level vocabulary spells them.
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = (chr(c) for c in range(0xDF, 0x180))
+        self.spelling = {
+            ord(c): spell(c)[0][0]
+            for c in letters
+            if c.isalpha() and c.lower() == c and unicodedata.is_normalized("NFC", c)
+        }
+        self.latin = re.compile("[a-z%s]+" % "".join(map(chr, self.spelling))).fullmatch
+
+    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each word with its ids, in any order."""
+        model, others = self.tokenizer.model.tokenize, []
+        for word in words:
+            text = word.decode()
+            if word.isalpha():  # ASCII letters: one piece, spelled as it is
+                ids = model(text)
+            elif self.latin(text):
+                ids = model(text.translate(self.spelling))
+            else:
+                others.append((word, text))
+                continue
+            yield word, np.array([t.id for t in ids], self.kind).tobytes()
+        for start in range(0, len(others), BATCH_WORDS):
+            batch = others[start : start + BATCH_WORDS]
+            found = self.tokenizer.encode_batch_fast([t for _, t in batch], add_special_tokens=False)
+            for (word, _), encoding in zip(batch, found):
+                yield word, np.array(encoding.ids, self.kind).tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        parts, atoms = {}, set()
+        for word in words:
+            base = word.rstrip(_MARKS)
+            if len(base) < len(word) and base[-1:].isalpha():
+                parts[word] = base, word[len(base) :]
+                atoms.update(parts[word])
+            else:
+                atoms.add(word)
+        self.known.update(self._encode(list(atoms.difference(self.known))))
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text, in order; a very long one is encoded in pieces."""
-        if len(texts) == 1 and len(texts[0] or "") > GROUP_BYTES:
-            parts = pieces(texts[0].encode())
+        """The ids of each text, in order; a text alone, which may be long, in pieces."""
+        if len(texts) == 1:
+            parts = pieces((texts[0] or "").encode())
             yield b"".join(ids for p in parts for ids in self._texts([p]))
         else:
             yield from self._texts([(t or "").encode() for t in texts])
 
     def _texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
+        split = [t.lower().split() for t in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known = {}
             new = set().union(*split)
-        new = list(new)
-        self.known.update(zip(new, self._encode(new)))
+        self._learn(new)
         for words in split:
             yield b"".join(map(self.known.__getitem__, words))
-        for word in new:
-            if len(word) > CACHED_BYTES:
-                del self.known[word]
+        for word in [w for w in new if len(w) > CACHED_BYTES]:
+            del self.known[word]
 
 
 def _writer(folder: str, vocabulary, width: int, end_id: int):
@@ -104,20 +148,19 @@ def _writer(folder: str, vocabulary, width: int, end_id: int):
 
     def groups(batches):
         rows, size = [], 0
-        for batch in batches:
-            for row in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                if len(row[1] or "") > GROUP_BYTES:  # alone
-                    yield rows
-                    yield [row]
-                    rows, size = [], 0
-                    continue
-                rows.append(row)
-                size += len(row[1] or "")
-                if size >= GROUP_BYTES:
-                    yield rows
-                    rows, size = [], 0
+        for row in rows_of(batches):
+            length = len(row[1] or "")
+            if rows and size + length > GROUP_BYTES:
+                yield rows
+                rows, size = [], 0
+            rows.append(row)
+            size += length
         yield rows
 
+    def rows_of(batches):
+        for batch in slices(batches):
+            yield from zip(batch.column("id").to_pylist(), batch.column("text").to_pylist())
+
     def run(batches):
         context = TaskContext.get()
         encoder = WordEncoder(vocabulary.value, width)
