@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import known, require
+from ..functions.expressions import known, quoted, require
 from .quantiles import exact_quantiles, sketch_input, sketch_quantiles
 
 # Function name -> (Spark function, suffix of the result column).
@@ -37,7 +37,7 @@ def aggregate_columns(aggregations: Mapping[str, str | Sequence[str]]) -> list[C
             if name not in AGGREGATES:
                 raise ValueError(f"unsupported aggregate function: {name}")
             function, suffix = AGGREGATES[name]
-            columns.append(function(column).alias(f"{column}_{suffix}"))
+            columns.append(function(quoted(column)).alias(f"{column}_{suffix}"))
     if not columns:
         raise ValueError("no aggregations given")
     return columns
@@ -49,7 +49,7 @@ def group_by(
     aggregations: Mapping[str, str | Sequence[str]],
 ) -> DataFrame:
     """Aggregate per group; no group columns means one row for the table."""
-    return df.groupBy(*group_by_columns).agg(*aggregate_columns(aggregations))
+    return df.groupBy(*map(quoted, group_by_columns)).agg(*aggregate_columns(aggregations))
 
 
 def group_by_time(
@@ -120,10 +120,10 @@ def statistics(
         raise ValueError("none of the columns exists")
 
     def moments(column: str) -> Column:
-        value = F.col(column).cast("double")
+        value = quoted(column).cast("double")
         return F.struct(
             F.lit(column).alias("column"),
-            F.count(column).alias("count"),
+            F.count(quoted(column)).alias("count"),
             F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("stddev"),
             F.min(value).alias("min"),
@@ -174,7 +174,7 @@ def distinct_counts(
     """One row with ``<column>_distinct`` per column; NULL is not counted."""
     require(df, columns)
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(f"{c}_distinct") for c in columns])
+    return df.agg(*[count(quoted(c)).alias(f"{c}_distinct") for c in columns])
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions.expressions import (
     OrderSpec,
     known,
     lenient_cast,
+    quoted,
     require,
     sort_columns,
     tidy_text,
@@ -27,7 +28,8 @@ def remove_nulls(
     """
     if how not in ("any", "all"):
         raise ValueError(f"how must be 'any' or 'all', got {how!r}")
-    return df.na.drop(how=how, subset=list(columns) if columns else None)
+    subset = [f"`{c}`" for c in columns or df.columns]
+    return df.na.drop(how=how, subset=subset)
 
 
 def fill_nulls(
@@ -60,7 +62,7 @@ def remove_duplicates(
     if not order_by:
         return df.dropDuplicates(list(columns))
     first = F.row_number().over(
-        Window.partitionBy(*columns).orderBy(*sort_columns(order_by))
+        Window.partitionBy(*map(quoted, columns)).orderBy(*sort_columns(order_by))
     )
     return (
         df.withColumn("__position", first)
@@ -79,7 +81,7 @@ def convert_types(
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns(
         {
-            c: F.col(c).cast(t) if strict else lenient_cast(F.col(c), types[c], t)
+            c: quoted(c).cast(t) if strict else lenient_cast(quoted(c), types[c], t)
             for c, t in type_conversions.items()
             if c in types
         }
@@ -120,14 +122,14 @@ def outlier_bounds(
                 for i, name in enumerate(("q1", "q3"))
             ]
         )
-    spread = {c: F.col(f"{c}_q3") - F.col(f"{c}_q1") for c in columns}
+    spread = {c: quoted(f"{c}_q3") - quoted(f"{c}_q1") for c in columns}
     return ends.select(
         *[
             end
             for c in columns
             for end in (
-                (F.col(f"{c}_q1") - multiplier * spread[c]).alias(f"{c}_low"),
-                (F.col(f"{c}_q3") + multiplier * spread[c]).alias(f"{c}_high"),
+                (quoted(f"{c}_q1") - multiplier * spread[c]).alias(f"{c}_low"),
+                (quoted(f"{c}_q3") + multiplier * spread[c]).alias(f"{c}_high"),
             )
         ]
     )
@@ -136,14 +138,18 @@ def outlier_bounds(
 def _inside(
     df: DataFrame, columns: Sequence[str], multiplier: float, exact: bool
 ) -> dict[str, Column]:
-    # The bounds are a scalar subquery: computed once, then a constant in the
-    # row filter, so no join and nothing collected by the library.
     bounds = outlier_bounds(df, columns, multiplier, exact)
-    limits = bounds.select(F.struct(*bounds.columns)).scalar()
+    if exact:
+        # Exact quantiles have run jobs already: one row of plain numbers, which
+        # a filter can hand down to the scan.
+        row = bounds.first()
+        limit = {n: F.lit(row[n]).cast("double") for n in bounds.columns}
+    else:
+        # A scalar subquery: computed once, when the result is.
+        limits = bounds.select(F.struct(*map(quoted, bounds.columns))).scalar()
+        limit = {n: limits.getField(n) for n in bounds.columns}
     return {
-        c: (F.col(c) >= limits.getField(f"{c}_low"))
-        & (F.col(c) <= limits.getField(f"{c}_high"))
-        for c in columns
+        c: (quoted(c) >= limit[f"{c}_low"]) & (quoted(c) <= limit[f"{c}_high"]) for c in columns
     }
 
 
@@ -189,7 +195,7 @@ def standardize_text(
 ) -> DataFrame:
     """Trim, change case and strip special characters, in this order."""
     chosen = ["lower", "trim"] if operations is None else list(operations)
-    return df.withColumns({c: tidy_text(F.col(c), chosen) for c in known(df, columns)})
+    return df.withColumns({c: tidy_text(quoted(c), chosen) for c in known(df, columns)})
 
 
 def filter_rows(df: DataFrame, condition: str) -> DataFrame:

@@ -10,6 +10,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import quoted
 from ..functions.groups import GROUP_ROWS
 from ..functions.storage import store
 from .windows import window_functions
@@ -35,7 +36,7 @@ class _Target:
 
     @property
     def value(self) -> Column:
-        return F.col(self.column).cast("double")
+        return quoted(self.column).cast("double")
 
     @property
     def below(self) -> Column:
@@ -50,13 +51,13 @@ class _Target:
 
 def sketch_quantiles(column: str, probabilities: Sequence[float]) -> Column:
     """Approximate quantiles of one column; use over ``sketch_input``."""
-    value = F.col(column).cast("double")
+    value = quoted(column).cast("double")
     return F.percentile_approx(value, list(probabilities), SKETCH_ACCURACY)
 
 
 def sketch_input(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns, read by a bounded number of tasks (without a shuffle)."""
-    return df.select(*columns).coalesce(SKETCH_TASKS)
+    return df.select(*map(quoted, columns)).coalesce(SKETCH_TASKS)
 
 
 def exact_quantiles(
@@ -95,7 +96,7 @@ def _bounded_targets(df, columns, probabilities) -> list[_Target]:
         .agg(
             *[
                 F.struct(
-                    F.count(c).alias("rows"), sketch_quantiles(c, edges).alias("edges")
+                    F.count(quoted(c)).alias("rows"), sketch_quantiles(c, edges).alias("edges")
                 ).alias(c)
                 for c in columns
             ]

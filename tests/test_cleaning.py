@@ -182,3 +182,22 @@ def test_quantiles_of_empty_columns(spark):
     got = [tuple(r) for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()]
     assert got == [("b", 0.5, 1.0)]
     assert exact_quantiles(df, ["a"], [0.5]).count() == 0
+
+
+def test_column_names_with_dots(spark):
+    from tableloom.operators.aggregates import distinct_counts, group_by, statistics
+    from tableloom.operators.cleaning import convert_types, remove_nulls, remove_outliers
+    from tableloom.operators.quality import assess, duplicate_rows
+
+    frame = spark.createDataFrame([("x", 1.0), ("x", 3.0), ("y", None)], "`a.b` string, `v.w` double")
+    assert remove_nulls(frame, ["v.w"]).count() == remove_nulls(frame).count() == 2
+    sums = group_by(frame, ["a.b"], {"v.w": "sum"}).collect()
+    assert {r["a.b"]: r["v.w_sum"] for r in sums} == {"x": 4.0, "y": None}
+    assert dict(convert_types(frame, {"v.w": "int"}).dtypes)["v.w"] == "int"
+    assert statistics(frame, ["v.w"]).first()["mean"] == 2.0
+    assert statistics(frame, ["v.w"], exact=True).first()["median"] == 1.0
+    assert distinct_counts(frame, ["a.b"]).first()[0] == 2
+    assert duplicate_rows(frame).first()["duplicate_count"] == 0
+    assert assess(frame).first()["total_rows"] == 3
+    for exact in (False, True):
+        assert remove_outliers(frame, ["v.w"], exact=exact).count() == 2
