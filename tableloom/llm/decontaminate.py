@@ -287,7 +287,37 @@ def keep_clean(
     return docs
 
 
-@query("op5_decontaminate")
+# Every pair of equal words gives an alignment; those with words enough are judged
+# window by window.
+_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10ffff}]+')"
+_SQL = f"""
+    WITH item AS (
+        SELECT item_id, words, len(words) AS n, least(len(words), {WINDOW}) AS size
+        FROM (SELECT DISTINCT item_id, {_WORDS} AS words FROM benchmark WHERE text IS NOT NULL)
+        WHERE len(words) >= {MIN_WORDS}),
+    own AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place
+            FROM (SELECT doc_id, {_WORDS} AS words FROM documents)),
+    wanted AS (SELECT item_id, n, size, unnest(words) AS word, generate_subscripts(words, 1) AS spot FROM item),
+    matched AS (SELECT doc_id, item_id, n, size, place - spot AS shift, spot FROM own JOIN wanted USING (word)),
+    aligned AS (
+        SELECT doc_id, item_id, n, size, shift, list(spot) AS spots FROM matched
+        GROUP BY doc_id, item_id, n, size, shift
+        HAVING count(*) >= ceil({SIMILARITY} * size - 1e-9)),
+    judged AS (
+        SELECT doc_id, item_id, size, shift, start,
+               len(list_filter(spots, lambda a: a >= start AND a < start + size)) AS agreeing
+        FROM (SELECT *, unnest(range(1, n - size + 2)) AS start FROM aligned)),
+    best AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY agreeing DESC, start) AS k
+        FROM judged WHERE agreeing >= ceil({SIMILARITY} * size - 1e-9))
+    SELECT doc_id, item_id, agreeing::BIGINT AS agreeing, size::BIGINT AS "window",
+           greatest(start - 1 + shift, 0)::BIGINT AS first_word
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+                 ORDER BY agreeing DESC, greatest(start - 1 + shift, 0)) AS place FROM best WHERE k = 1)
+    WHERE place = 1"""
+
+
+@query("op5_decontaminate", _SQL)
 def op5_decontaminate(spark, sf_dir):
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")

@@ -194,6 +194,25 @@ def licenses(
     ).select("id", "m.license", "m.containment", "m.first_word")
 
 
-@query("op2_license_scan")
+def _sql() -> str:
+    """The containments, found by comparing every text with every template."""
+    listed = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+    shingles = f"[array_to_string(words[i:i + {SHINGLE_WORDS - 1}], ' ') for i in range(1, len(words) - {SHINGLE_WORDS - 2})]"
+    return f"""
+        WITH template AS (
+            SELECT license, list_distinct({shingles}) AS wanted FROM (
+                SELECT license, {words} AS words FROM (VALUES {listed}) AS t(license, text))),
+        document AS (
+            SELECT doc_id, {shingles} AS own FROM (SELECT doc_id, {words} AS words FROM documents)),
+        common AS (
+            SELECT doc_id, license, own, wanted, list_intersect(wanted, own) AS held
+            FROM document, template WHERE list_has_any(own, wanted))
+        SELECT doc_id, license, len(held)::DOUBLE / len(wanted) AS containment,
+               (list_min([list_position(own, x) for x in held]) - 1)::BIGINT AS first_word
+        FROM common WHERE len(held) >= {CONTAINMENT} * len(wanted)"""
+
+
+@query("op2_license_scan", _sql())
 def op2_license_scan(spark, sf_dir):
     return licenses(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
