@@ -12,9 +12,9 @@ TEXT_OPERATIONS = ("trim", "lower", "upper", "remove_special")
 
 # Patterns for the format rules.
 FORMAT_PATTERNS = {
-    "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}$",
-    "phone": r"^\\+?[0-9][0-9 ().x-]{5,}[0-9]$",
-    "url": r"^https?://[^\\s/]+(/\\S*)?$",
+    "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$",
+    "phone": r"^\+?[0-9][0-9 ().x-]{5,}[0-9]$",
+    "url": r"^https?://[^\s/]+(/\S*)?$",
     "iso_date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
 }
 
