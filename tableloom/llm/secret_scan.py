@@ -249,25 +249,48 @@ def _named(spans: Column) -> Column:
     )
 
 
+def _part_of(pieces: Column, size: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` of a text cut into pieces of ``size``."""
+    def within(k: Column) -> Column:
+        low = F.greatest(start - k * size, F.lit(0))
+        return F.substring(F.get(pieces, k), low + 1, F.least(end - k * size, size) - low)
+
+    numbers = F.sequence(F.floor(start / size).cast("int"), F.floor((end - 1) / size).cast("int"))
+    return F.when(start >= end, F.lit("")).otherwise(F.array_join(F.transform(numbers, within), ""))
+
+
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
-    """``text`` with every span, or run of overlapping spans, replaced by ``mask``."""
-    def cut(s: Column) -> Column:
+    """``text`` with every span, or run of overlapping spans, replaced by ``mask``.
+
+    Reaching a place in a text means walking to it, so the text is cut into about
+    a thousand pieces first: many spans in a long text stay affordable.
+    """
+    def cut(s: Column, length: Column) -> Column:
+        size = F.greatest(F.lit(PIECE), F.ceil(length / 1024).cast("int"))
+        pieces = F.transform(
+            F.sequence(F.lit(0), length - 1, size), lambda p: F.substring(text, p + 1, size)
+        )
         ends = running(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
 
-        def joined(e: Column) -> Column:
+        def joined(c: Column) -> Column:
             def part(x: Column, i: Column) -> Column:
-                before = F.coalesce(F.get(e, i - 1), F.lit(0))
-                clear = F.substring(text, before + 1, x["start"] - before)
+                before = F.coalesce(F.get(c["ends"], i - 1), F.lit(0))
+                clear = _part_of(c["pieces"], c["size"], before, x["start"])
                 return F.when((i > 0) & (x["start"] < before), F.lit("")).otherwise(
                     F.concat(clear, F.lit(mask))
                 )
 
-            rest = F.substring(text, F.element_at(e, -1) + 1, F.char_length(text))
+            rest = _part_of(c["pieces"], c["size"], F.element_at(c["ends"], -1), length)
             return F.concat(F.array_join(F.transform(s, part), ""), rest)
 
-        return let(ends, joined)
+        return let(F.struct(pieces.alias("pieces"), size.alias("size"), ends.alias("ends")), joined)
 
-    return let(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(cut(s)))
+    return let(
+        spans,
+        lambda s: F.when(F.size(s) == 0, text).otherwise(
+            let(F.char_length(text), lambda n: cut(s, n))
+        ),
+    )
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
