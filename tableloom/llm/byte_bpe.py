@@ -18,6 +18,7 @@ import base64
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 import tiktoken
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, table
+from .common import slices, store, table
 from .registry import query
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -58,7 +59,7 @@ def _encoded(ranks, pattern: str):
 
     def run(batches):
         bpe = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
-        for batch in batches:
+        for batch in slices(batches):
             ids = [
                 bpe.encode_to_numpy(t, disallowed_special=()) if t else np.zeros(0, np.int32)
                 for t in batch.column("text").to_pylist()
@@ -74,7 +75,7 @@ def _encoded(ranks, pattern: str):
 def _chunks(size: int, overlap: int):
     def run(batches):
         part, row = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             for number, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                 # The last chunk keeps what would be within its overlap.
                 starts = range(0, max(1, len(text) - overlap), size)
@@ -96,7 +97,7 @@ def _scanned(size: int, overlap: int, pattern: str):
 
     def run(batches):
         compiled = regex.compile(pattern)
-        for batch in batches:
+        for batch in slices(batches):
             heads, tails = [], []
             for text in batch.column("text").to_pylist():
                 found = np.array(boundaries(text, compiled), np.int32)
@@ -114,7 +115,7 @@ def _scanned(size: int, overlap: int, pattern: str):
 
 def _pieces(batches):
     """Each chunk's text from its own stitch (``begin``) to the next chunk's (``finish``, null: the end)."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = [
             t[b:f]
             for t, b, f in zip(*(batch.column(n).to_pylist() for n in ("text", "begin", "finish")))
@@ -208,10 +209,10 @@ def decode(encoded: DataFrame, ranks_path: str | None = None) -> DataFrame:
 
     def run(batches):
         token = held.value.__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("ids")
             flat = ids.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum([len(x) for x in ids])
+            ends = np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))
             data, start = [], 0
             for end in ends:
                 data.append(b"".join(map(token, flat[start:end].tolist())))
