@@ -22,10 +22,10 @@ import re
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, slices, store, table
+from .common import let, pieces, slices, store, table
 from .registry import query
 
 FIT_ROWS = 10_000
@@ -38,6 +38,9 @@ TOXIC_BYTES = 2048
 MIN_DOCS = 3
 MIN_EVIDENCE = 15.0
 """Log-likelihood ratio a word needs to enter the toxic dictionary."""
+SHINGLE_WORDS = 5
+SIGNATURES = 4
+"""Texts that agree in any of so many min-hashes of shingles are taken for copies."""
 LEVELS = 10
 THRESHOLD = 0.3
 HELD_OUT = 2
@@ -118,8 +121,9 @@ def held_out(number):
 def fitting_rows(
     docs: DataFrame, labels: DataFrame, id_column: str, text: str, rows: int = FIT_ROWS
 ) -> DataFrame:
-    """``text``, ``toxic`` of the labelled rows to learn from, each text once.
+    """``text``, ``toxic`` of the labelled rows to learn from, one of near copies each.
 
+    Many copies of one text would make its rare words look telling.
     An id marked both ways counts as toxic; null ids and labels teach nothing.
     """
     marks = (
@@ -137,11 +141,30 @@ def fitting_rows(
         F.col(f"`{id_column}`").cast("long").alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     ).join(F.broadcast(chosen), F.col("id") == F.col("marked"))  # 2 * rows small rows at most
-    return store(
-        found.groupBy(F.xxhash64("text").alias("digest")).agg(
-            F.max("toxic").alias("toxic"), F.min("text").alias("text")
-        ).select("text", "toxic"),
-        "toxicity-fit",
+    # A text's least shingle under several hashes: near copies agree in most of them.
+    words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
+    signed = found.select("id", "text", "toxic", let(words, _signature).alias("signature"))
+    for k in range(SIGNATURES):
+        kept = F.struct("id", "text", "toxic", "signature")
+        signed = (
+            signed.groupBy(F.get("signature", F.lit(k)).alias("same"))
+            .agg(F.min_by(kept, "id").alias("kept"))
+            .select("kept.*")
+        )
+    return store(signed.select("text", "toxic"), "toxicity-fit")
+
+
+def _signature(words: Column) -> Column:
+    def shingle(i: Column) -> Column:
+        return F.concat_ws(" ", F.slice(words, i + 1, F.lit(SHINGLE_WORDS)))
+
+    last = F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0))
+    shingles = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(shingle(i)))
+    return let(
+        shingles,
+        lambda h: F.array(
+            *[F.array_min(F.transform(h, lambda x: F.xxhash64(x, F.lit(k)))) for k in range(SIGNATURES)]
+        ),
     )
 
 
