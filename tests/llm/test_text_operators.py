@@ -1,10 +1,8 @@
 """The text operators against brute force, on awkward rows and on empty tables."""
 
-import hashlib
 import random
 import zlib
 from collections import Counter
-from itertools import combinations
 
 import brute
 import numpy as np
