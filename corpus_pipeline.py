@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from tableloom.llm.byte_bpe import decode, encode
 from tableloom.llm.common import store, table
 from tableloom.llm.decontaminate import keep_clean
+from tableloom.llm.near_copies import keep_one
 from tableloom.llm.quality import keep_good
 from tableloom.llm.secret_scan import mask_secrets
-from tableloom.llm.simhash import keep_one
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
+    """One document, that of the smallest id, of each group of near copies: texts linked
+    by a Jaccard of 0.8 or more of their five-word shingles, or by SimHashes within two bits."""
     return keep_one(docs)
 
 

@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     byte_bpe,
     decontaminate,
     licenses,
+    near_copies,
     pseudonyms,
     quality,
     secret_scan,

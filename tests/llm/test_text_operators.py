@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import brute
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tableloom.functions.storage import new_folder
 from tableloom.llm import (
-    byte_bpe, decontaminate, licenses, pseudonyms, quality, secret_scan, sharding, simhash, token_files,
+    byte_bpe, decontaminate, licenses, near_copies, pseudonyms, quality, secret_scan, sharding, simhash, token_files,
     toxicity,
 )
 
@@ -348,6 +349,54 @@ def test_one_document_of_each_group_stays(docs):
     assert ids.count(None) == 2
 
 
+def shingle_set(text):
+    words = brute.split(text)
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def near(a, b):
+    shared = len(a & b)
+    return a == b or shared >= 0.8 * (len(a) + len(b) - shared)
+
+
+def test_stage_keeps_one_of_near_copies(spark):
+    """Copies with a few words changed, whose SimHashes differ in more than two bits."""
+    chance, rows = random.Random(6), []
+    for g in range(25):
+        base = brute.prose(chance.randint(30, 200), 900 + g).split()
+        for _ in range(6):
+            words = list(base)
+            for _ in range(chance.randint(0, max(1, len(words) // 40))):
+                words[chance.randrange(len(words))] = chance.choice(["alpha", "beta", "gamma"])
+            rows.append((len(rows), " ".join(words)))
+    hot = brute.prose(150, 77).split()
+    for i in range(80):  # one large group, more than a SimHash bucket holds
+        words = list(hot)
+        words[i] = f"own{i}"
+        rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, "one two"), (None, rows[0][1])]
+    sets = {i: shingle_set(t) for i, t in rows if i is not None}
+    prints = {i: brute.fingerprint(t) for i, t in rows if i is not None}
+    want = brute.connected(
+        sorted(sets),
+        lambda a, b: near(sets[a], sets[b]) or bin(prints[a] ^ prints[b]).count("1") <= 2,
+    )
+    docs = brute.table(spark, rows).repartition(5)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted(set(want.values()))
+    assert ids.count(None) == 1
+    assert len({r["component"] for r in simhash.near_duplicates(docs).collect()}) > len(set(want.values())) + 10
+
+
+def test_stage_does_not_mix_up_texts_that_share_an_id(spark):
+    first, second = brute.prose(40, 1), brute.prose(40, 2)
+    rows = [(5, second), (5, first), (5, first), (3, first)]
+    kept = corpus_pipeline.near_dedup(spark, brute.table(spark, rows), "").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == {(3, first): 1, (5, second): 1}
+
+
 # 9 sharding
 
 
