@@ -152,7 +152,15 @@ def _sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return store(found.groupBy("point").agg(F.first("shingles").alias("shingles")), "copies-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
+def sets_of(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``point``, ``shingles`` of all texts."""
+    every = docs.sparkSession.sparkContext.broadcast(b"\xff" * (1 << (FILTER_BITS - 3)))
+    texts = docs.select(F.col(f"`{text}`").alias("text"))
+    found = texts.mapInArrow(_needed_sets(every), "point long, shingles array<long>")
+    return found.groupBy("point").agg(F.first("shingles").alias("shingles"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
     """The ``pairs`` whose sets reach ``jaccard``."""
     both = (
         pairs.join(sets.select(F.col("point").alias("a"), F.col("shingles").alias("x")), "a")
@@ -206,7 +214,7 @@ def copies(
     chained = members.join(after, "place").filter("key = k AND point != next").select(*_pair("point", "next"))
     chained = store(chained.distinct(), "copies-pairs")
     sets = _sets(texts, chained)
-    near = store(_verified(chained, sets, jaccard).union(_simhash_links(found)), "copies-links")
+    near = store(verified(chained, sets, jaccard).union(_simhash_links(found)), "copies-links")
     roots = store(components(near), "copies-roots")
     rooted = members.select("key", "point").join(roots, F.col("point") == F.col("node"), "left").select(
         "key", "point", F.coalesce("root", "point").alias("root")
@@ -215,7 +223,7 @@ def copies(
     rooted = store(rooted.join(apart.select("key"), "key"), "copies-apart")
     other = rooted.select("key", F.col("point").alias("next"), F.col("root").alias("r"))
     crossed = rooted.join(other, "key").filter("root < r").select(*_pair("point", "next")).distinct()
-    more = _verified(crossed.join(chained, ["a", "b"], "left_anti"), sets, jaccard)
+    more = verified(crossed.join(chained, ["a", "b"], "left_anti"), sets, jaccard)
     roots = components(near.union(more))
     return found.select("id", "mark", "point").join(roots, F.col("point") == F.col("node"), "left").select(
         "id", "mark", "point", F.coalesce("root", "point").alias("root")

@@ -22,10 +22,11 @@ import re
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, pieces, slices, store, table
+from . import near_copies
+from .common import pieces, slices, store, table
 from .registry import query
 
 FIT_ROWS = 10_000
@@ -38,9 +39,6 @@ TOXIC_BYTES = 2048
 MIN_DOCS = 3
 MIN_EVIDENCE = 15.0
 """Log-likelihood ratio a word needs to enter the toxic dictionary."""
-SHINGLE_WORDS = 5
-SIGNATURES = 4
-"""Texts that agree in any of so many min-hashes of shingles are taken for copies."""
 LEVELS = 10
 THRESHOLD = 0.3
 HELD_OUT = 2
@@ -123,7 +121,8 @@ def fitting_rows(
 ) -> DataFrame:
     """``text``, ``toxic`` of the labelled rows to learn from, one of near copies each.
 
-    Many copies of one text would make its rare words look telling.
+    A row goes only if its five-word shingles and those of a kept row with the same
+    label have a Jaccard of 0.8 or more. Many copies of one text would make its rare words look telling.
     An id marked both ways counts as toxic; null ids and labels teach nothing.
     """
     marks = (
@@ -141,31 +140,48 @@ def fitting_rows(
         F.col(f"`{id_column}`").cast("long").alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     ).join(F.broadcast(chosen), F.col("id") == F.col("marked"))  # 2 * rows small rows at most
-    # A text's least shingle under several hashes: near copies agree in most of them.
-    words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0))
-    signed = found.select("id", "text", "toxic", let(words, _signature).alias("signature"))
-    for k in range(SIGNATURES):
-        kept = F.struct("id", "text", "toxic", "signature")
-        signed = (
-            signed.groupBy(F.get("signature", F.lit(k)).alias("same"))
-            .agg(F.min_by(kept, "id").alias("kept"))
-            .select("kept.*")
-        )
-    return store(signed.select("text", "toxic"), "toxicity-fit")
+    return store(_without_copies(found).select("text", "toxic"), "toxicity-fit")
 
 
-def _signature(words: Column) -> Column:
-    def shingle(i: Column) -> Column:
-        return F.concat_ws(" ", F.slice(words, i + 1, F.lit(SHINGLE_WORDS)))
+def _without_copies(found: DataFrame) -> DataFrame:
+    """``found`` without the rows that are near copies of a kept row with their label.
 
-    last = F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0))
-    shingles = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(shingle(i)))
-    return let(
-        shingles,
-        lambda h: F.array(
-            *[F.array_min(F.transform(h, lambda x: F.xxhash64(x, F.lit(k)))) for k in range(SIGNATURES)]
-        ),
-    )
+    Groups hold what is linked through others, so in each round the least id of
+    each stays and only what agrees with that very row goes; the rest goes on.
+    """
+    kept = None
+    plain = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)), " ")
+    left = found.select("id", "toxic", plain.alias("plain"), "text")
+    left = store(left.withColumn("mark", F.xxhash64("plain")), "toxicity-labelled")
+    groups = []
+    for toxic in (0, 1):
+        part = near_copies.copies(left.filter(F.col("toxic") == toxic), "id", "plain")
+        groups.append(part.select("id", "mark", "point", "root").distinct().withColumn("toxic", F.lit(toxic)))
+    marked = store(groups[0].union(groups[1]), "toxicity-groups")
+    sets = store(near_copies.sets_of(left, "plain"), "toxicity-sets")
+    while True:
+        first = marked.groupBy("toxic", "root").agg(F.min_by("point", F.struct("id", "point")).alias("first"))
+        led = store(marked.join(first, ["toxic", "root"]), "toxicity-led")
+        chosen = (
+            led.filter("point = first")
+            .groupBy("toxic", "point")
+            .agg(F.min(F.struct("id", "mark")).alias("row"))
+            .select("row.*")
+        )
+        kept = chosen if kept is None else kept.union(chosen)
+        pairs = led.filter("point != first").select(F.col("first").alias("a"), F.col("point").alias("b")).distinct()
+        near = near_copies.verified(pairs, sets, near_copies.JACCARD)
+        marked = store(
+            led.filter("point != first")
+            .join(
+                near.select(F.col("a").alias("first"), F.col("b").alias("point")), ["first", "point"], "left_anti"
+            )
+            .select("id", "mark", "point", "root", "toxic"),
+            "toxicity-groups",
+        )
+        if marked.isEmpty():
+            break
+    return left.join(kept, ["id", "mark"]).dropDuplicates(["id", "mark"])
 
 
 def telling_words(rows: DataFrame, most: int = TOXIC_BYTES // 4) -> list[str]:

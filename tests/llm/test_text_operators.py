@@ -254,6 +254,23 @@ def test_held_out_labels_teach_nothing(spark):
     assert scores(False) == scores(True)
 
 
+def test_fitting_rows_drop_only_near_copies_of_their_label(spark):
+    passage = brute.prose(40, 500)  # in every text, a third of it
+    rows = [(i, f"{brute.prose(80, 600 + i)} {passage}") for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(6)]  # near copies; 103 to 105 with the other label
+    marks = [(i, 1, i % 2) for i in range(60)]
+    marks += [(100 + i, 1, i % 2 if i < 3 else 1 - i % 2) for i in range(6)]
+    rows += [(59, brute.prose(90, 999))]  # an id with two texts
+    learnt = {i for i, _, _ in marks if zlib.crc32(str(i).encode()) % 4 != 2}
+    fit = toxicity.fitting_rows(brute.table(spark, rows), labels(spark, marks), "doc_id", "text")
+    gone = {100 + i for i in range(3) if {i, 100 + i} <= learnt}
+    assert gone
+    label = {i: t for i, _, t in marks}
+    assert Counter((r["text"], r["toxic"]) for r in fit.collect()) == Counter(
+        (t, label[i]) for i, t in rows if i in learnt - gone
+    )
+
+
 def test_toxicity_without_labels(spark, docs):
     scored = toxicity.toxicity(docs, labels(spark, [])).collect()
     assert len(scored) == len(ROWS) and len({r["score"] for r in scored}) == 1
