@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 from . import (  # noqa: F401
     byte_bpe,
     decontaminate,
+    divergence,
     licenses,
     near_copies,
     pseudonyms,
