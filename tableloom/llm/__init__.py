@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     byte_bpe,
     decontaminate,
     divergence,
+    importance,
     licenses,
     near_copies,
     pseudonyms,
@@ -17,6 +18,7 @@ from . import (  # noqa: F401
     simhash,
     token_files,
     toxicity,
+    warc,
 )
 from .registry import QUERIES, SQL
 
