@@ -1,27 +1,47 @@
-"""How large a plan's result is likely to be, by the optimizer's own estimate."""
+"""How large a plan's input and result are likely to be, by the optimizer's own estimates."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 PARTITION_BYTES = 128 << 20
-"""Estimated bytes a partition of a written or sorted table should hold."""
+"""Estimated bytes of input a partition of a shuffle should stand for."""
+MOST_PARTITIONS = 100_000
+UNKNOWN_BYTES = 1 << 60
+"""Spark gives sources it knows nothing of a size beyond this."""
+
+
+def _bytes(plan) -> int | None:
+    size = int(str(plan.stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else None
+
+
+def _optimized(df: DataFrame):
+    """The optimized plan, or None in sessions without a local one (Spark Connect)."""
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else plan.queryExecution().optimizedPlan()
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """The optimizer's estimate of the result's bytes, or None where there is none.
+    """The optimizer's estimate of the result's bytes, None if it has none. No job runs.
 
-    Files count with their size on disk; what Spark cannot estimate counts as
-    very large, so the number is an upper bound more often than a lower one. No
-    job runs. Sessions without a local plan (Spark Connect) give None.
+    Files count with their size on disk. A join without statistics counts as the
+    product of its sides, so the estimate errs on the large side.
     """
-    plan = getattr(df, "_jdf", None)
+    plan = _optimized(df)
+    return None if plan is None else _bytes(plan)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Estimated bytes of all tables the plan reads; sources of unknown size count nothing."""
+    plan = _optimized(df)
     if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return 0
+    leaves = plan.collectLeaves()
+    return sum(_bytes(leaves.apply(i)) or 0 for i in range(leaves.length()))
 
 
-def partitions_for(df: DataFrame, bytes_each: int = PARTITION_BYTES, most: int = 100_000) -> int:
-    """Partitions for a shuffle of ``df``: the session's number, more for a large plan."""
+def partitions_for(df: DataFrame, bytes_each: int = PARTITION_BYTES) -> int:
+    """Partitions for a shuffle of ``df``: the session's number, more for large input."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(most, -(-(plan_bytes(df) or 0) // bytes_each)))
+    return max(least, min(MOST_PARTITIONS, -(-input_bytes(df) // bytes_each)))
