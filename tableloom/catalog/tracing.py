@@ -46,9 +46,16 @@ _PROVENANCE = f"""
                (SELECT count(*) FROM edge WHERE src = name) AS out_degree
         FROM typed)
 """
+# Every 16th step also reads a table of its own, so that the sources grow with the parts.
+_SOURCE_EACH = 16
+_WITH_SOURCES = _PROVENANCE.replace(
+    "FROM (SELECT p, k, unnest([k // 2, k // 3]) AS j FROM step)),",
+    f"""FROM (SELECT p, k, unnest([k // 2, k // 3]) AS j FROM step)
+              UNION ALL SELECT p, k, 's_' || p, 't_' || k FROM step WHERE p % {_SOURCE_EACH} = 0),""",
+)
 # Shortest paths never pass through a step: its tables are linked directly.
 _WALK = (
-    _PROVENANCE
+    _WITH_SOURCES
     + """,
     walk(root, node, path) AS (
         SELECT name, name, [name] FROM source
@@ -73,7 +80,9 @@ def _near(name, forward):
         SELECT * FROM near) WHERE node <> '{name}' GROUP BY node"""
 
 
-def provenance_of_parts(spark, sf_dir, run="p", source="part", key="p_partkey", label="p_type"):
+def provenance_of_parts(
+    spark, sf_dir, run="p", source="part", key="p_partkey", label="p_type", own_sources=False
+):
     """A provenance set with one step per row of a given table."""
     k = F.col(key) + _FIRST
 
@@ -85,8 +94,12 @@ def provenance_of_parts(spark, sf_dir, run="p", source="part", key="p_partkey",
         F.concat(F.lit(run + "_"), key).alias("id"),
         (F.col(key) + 1).cast("int").alias("seq"),
         F.col(label).alias("name"),
-        F.array_distinct(
-            F.array(t(F.floor(k / 2)), t(F.floor(k / 3)))
+        F.concat(
+            F.array_distinct(F.array(t(F.floor(k / 2)), t(F.floor(k / 3)))),
+            F.when(
+                F.lit(own_sources) & (F.col(key) % _SOURCE_EACH == 0),
+                F.array(F.concat(F.lit("s_"), F.col(key).cast("bigint"))),
+            ).otherwise(F.array().cast("array<string>")),
         ).alias("input_tables"),
         t(k).alias("output_table"),
         F.lit("halve and third").alias("transformation_logic"),
@@ -122,6 +135,10 @@ def _graph(spark, sf_dir):
     return g.build_graph(provenance_of_parts(spark, sf_dir))
 
 
+def _graph_with_sources(spark, sf_dir):
+    return g.build_graph(provenance_of_parts(spark, sf_dir, own_sources=True))
+
+
 @query("provenance_nodes", _PROVENANCE + "SELECT * FROM node")
 def provenance_nodes(spark, sf_dir):
     return _graph(spark, sf_dir)[0]
@@ -196,7 +213,7 @@ def provenance_impact_edges(spark, sf_dir):
 
 @query("provenance_reachable", _WALK + "SELECT source, sink, length::INTEGER AS length FROM best")
 def provenance_reachable(spark, sf_dir):
-    return g.reachable_pairs(*_graph(spark, sf_dir))
+    return g.reachable_pairs(*_graph_with_sources(spark, sf_dir))
 
 
 @query(
@@ -206,7 +223,7 @@ def provenance_reachable(spark, sf_dir):
          FROM best""",
 )
 def provenance_paths(spark, sf_dir):
-    paths = g.flow_paths(*_graph(spark, sf_dir))
+    paths = g.flow_paths(*_graph_with_sources(spark, sf_dir))
     return paths.withColumn("path", F.array_join("path", " > "))
 
 
@@ -219,7 +236,7 @@ def provenance_paths(spark, sf_dir):
          JOIN node ON name = p.node""",
 )
 def provenance_path_positions(spark, sf_dir):
-    nodes, edges = _graph(spark, sf_dir)
+    nodes, edges = _graph_with_sources(spark, sf_dir)
     return g.path_positions(g.flow_paths(nodes, edges), nodes)
 
 
@@ -241,7 +258,7 @@ def provenance_path_positions(spark, sf_dir):
 )
 def provenance_stats(spark, sf_dir):
     counted = F.transform("transformation_types", lambda t: F.concat_ws(":", t["name"], t["uses"].cast("string")))
-    return g.graph_statistics(*_graph(spark, sf_dir)).withColumn(
+    return g.graph_statistics(*_graph_with_sources(spark, sf_dir)).withColumn(
         "transformation_types", F.array_join(counted, ", ")
     )
 

@@ -3,7 +3,11 @@
 Reachability walks the graph in rounds. A round joins the newest nodes to the
 edges and writes what it found next to the earlier rounds, so a round reads
 plain files, never the plans of the rounds before, and a lost executor costs
-that round only.
+that round only. Files of many rounds are merged, eight of a size at a time.
+
+Which sinks a node leads to is kept as bits, 64 sinks to a row, and only for
+nodes that a source leads to. Pairs of source and sink appear in the result
+alone; their paths follow the distances from node to node.
 """
 
 from __future__ import annotations
@@ -154,50 +158,91 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
+MERGED = 8
+"""Files of rounds that are merged into one folder."""
+
+
+def _rounds(first: DataFrame, step, label: str) -> DataFrame:
+    """All rows of ``first`` and of the rounds after it, up to one that finds nothing.
+
+    ``step(newest, seen, depth)`` makes round ``depth`` of the newest round and of
+    all rounds before. Eight folders of one size become one, so there are few of
+    them, and a row is copied as often as the number of rounds has octal digits.
+    """
+    spark, schema, folder = first.sparkSession, first.schema, new_folder(first.sparkSession, label)
+    parts: list[tuple[int, str]] = []
+
+    def read(paths: list[str]) -> DataFrame:
+        return spark.read.schema(schema).parquet(*paths)
+
+    depth, found = 0, first
+    while True:
+        newest = f"{folder}/round={depth}"
+        found.write.parquet(newest)
+        if read([newest]).isEmpty():
+            return read([*(path for _, path in parts), newest])
+        parts.append((0, newest))
+        depth += 1
+        found = step(read([newest]), read([path for _, path in parts]), depth)
+        size = parts[-1][0]
+        while [level for level, _ in parts[-MERGED:]] == [size] * MERGED:
+            merged = f"{folder}/merged={depth}-{size}"
+            # The newest round stays on its own until the next one is made of it.
+            read([path for _, path in parts[-MERGED:]]).write.parquet(merged)
+            parts[-MERGED:] = [(size + 1, merged)]
+            size += 1
+
+
 def walk(edges: DataFrame, seeds: DataFrame, with_path: bool = False) -> DataFrame:
     """Everything reachable from each root: (root, node, distance[, path]).
 
     ``seeds`` has one column ``root``. Paths are shortest, and among those the
     first in dictionary order. A root reaches itself at distance 0. Every round
-    reads ``edges``: pass written tables, as ``build_graph`` returns them.
+    reads ``edges``: pass written tables, as ``build_graph`` returns them. There
+    is a row for every root and node it reaches; for the pairs of sources and
+    sinks alone take ``reachable_pairs`` or ``flow_paths``.
     """
-    spark = edges.sparkSession
     steps = edges.select("src", "dst")
-    folder = new_folder(spark, "graph-walk")
     path = F.array("root") if with_path else F.lit(None).cast("array<string>")
-    newest = seeds.select("root").distinct().select(
+    first = seeds.select("root").distinct().select(
         "root", F.col("root").alias("node"), F.lit(0).alias("distance"), path.alias("path")
     )
-    schema = newest.schema
-    newest.write.parquet(f"{folder}/round=0")
-    depth = 0
-    while True:
-        newest = spark.read.schema(schema).parquet(f"{folder}/round={depth}")
-        if newest.isEmpty():
-            break
-        # Rounds 0..depth, as plain files below one folder.
-        seen = spark.read.schema(schema).parquet(
-            *[f"{folder}/round={i}" for i in range(depth + 1)]
-        )
-        extended = (
-            F.concat("path", F.array("dst")) if with_path else F.col("path")
-        )
-        found = (
+    extended = F.concat("path", F.array("dst")) if with_path else F.col("path")
+
+    def step(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
+        return (
             newest.join(steps, newest["node"] == steps["src"])
             .select("root", F.col("dst").alias("node"), extended.alias("path"))
             .groupBy("root", "node")
             .agg(F.min("path").alias("path"))
             .join(seen.select("root", "node"), ["root", "node"], "left_anti")
-            .select("root", "node", F.lit(depth + 1).alias("distance"), "path")
+            .select("root", "node", F.lit(depth).alias("distance"), "path")
         )
-        depth += 1
-        found.write.parquet(f"{folder}/round={depth}")
-    reached = spark.read.schema(schema).parquet(
-        *[f"{folder}/round={i}" for i in range(depth + 1)]
-    )
+
+    reached = _rounds(first, step, "graph-walk")
     return reached if with_path else reached.drop("path")
 
 
+def reached(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(node, distance) of every node that any of ``seeds`` (column ``node``) leads to.
+
+    One row per node, however many seeds lead to it; seeds have distance 0.
+    """
+    steps = edges.select("src", "dst")
+
+    def step(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
+        return (
+            newest.join(steps, newest["node"] == steps["src"])
+            .select(F.col("dst").alias("node"))
+            .distinct()
+            .join(seen.select("node"), "node", "left_anti")
+            .select("node", F.lit(depth).alias("distance"))
+        )
+
+    first = seeds.select("node").distinct().withColumn("distance", F.lit(0))
+    return _rounds(first, step, "graph-reached")
+
+
 def reversed_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 
@@ -213,8 +258,8 @@ def upstream(edges: DataFrame, name: str) -> DataFrame:
 
 
 def _around(edges: DataFrame, name: str) -> DataFrame:
-    seed = edges.sparkSession.createDataFrame([(name,)], "root string")
-    return walk(edges, seed).filter(F.col("node") != name).select("node", "distance")
+    seed = edges.sparkSession.createDataFrame([(name,)], "node string")
+    return reached(edges, seed).filter(F.col("node") != name)
 
 
 def impact(
@@ -249,26 +294,90 @@ def _of_type(nodes: DataFrame, kind: str, name: str) -> DataFrame:
     return nodes.filter(F.col("node_type") == kind).select(F.col("name").alias(name))
 
 
+class _Distances:
+    """How far nodes that a source leads to are from the sinks they lead to.
+
+    ``sinks``: (sink, block, bit). ``rows``: (node, block, distance, bits), where
+    bit ``i`` says that the sink of that block and bit is at that distance.
+    ``steps``: (src, dst) among nodes that a source leads to.
+    """
+
+    def __init__(self, nodes: DataFrame, edges: DataFrame):
+        ahead = reached(edges, _of_type(nodes, "source", "node")).select(F.col("node").alias("src"))
+        self.steps = store(edges.select("src", "dst").distinct().join(ahead, "src", "left_semi"), "graph-steps")
+        # Neighbours by name often follow the same nodes, so their bits share rows.
+        ordered = _of_type(nodes, "sink", "sink").repartitionByRange("sink").sortWithinPartitions("sink")
+        number = F.monotonically_increasing_id()
+        self.sinks = store(
+            ordered.select("sink", F.shiftright(number, 6).alias("block"), (number % 64).cast("int").alias("bit")),
+            "graph-sinks",
+        )
+        first = self.sinks.groupBy(F.col("sink").alias("node"), "block").agg(
+            F.lit(0).alias("distance"), F.expr("bit_or(shiftleft(1L, bit))").alias("bits")
+        )
+
+        def step(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
+            known = seen.groupBy("node", "block").agg(F.bit_or("bits").alias("known"))
+            fresh = F.expr("bits & ~coalesce(known, 0L)")
+            return (
+                newest.join(self.steps, newest["node"] == self.steps["dst"])
+                .groupBy(F.col("src").alias("node"), "block")
+                .agg(F.bit_or("bits").alias("bits"))
+                .join(known, ["node", "block"], "left")
+                .select("node", "block", F.lit(depth).alias("distance"), fresh.alias("bits"))
+                .filter("bits != 0")
+            )
+
+        self.rows = _rounds(first, step, "graph-distances")
+
+    def of_sources(self, nodes: DataFrame) -> DataFrame:
+        return self.rows.join(_of_type(nodes, "source", "node"), "node", "left_semi")
+
+    def pairs(self, nodes: DataFrame) -> DataFrame:
+        """(source, sink, block, bit, length)."""
+        bits = F.expr("filter(sequence(0, 63), i -> bits & shiftleft(1L, i) != 0)")
+        single = self.of_sources(nodes).select(
+            F.col("node").alias("source"), "block", F.explode(bits).alias("bit"), F.col("distance").alias("length")
+        )
+        return single.join(self.sinks, ["block", "bit"]).select("source", "sink", "block", "bit", "length")
+
+
 def reachable_pairs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(source, sink, length) for every sink a source leads to."""
-    return (
-        walk(edges, _of_type(nodes, "source", "root"))
-        .join(_of_type(nodes, "sink", "node"), "node", "left_semi")
-        .select(F.col("root").alias("source"), F.col("node").alias("sink"), F.col("distance").alias("length"))
-    )
+    return _Distances(nodes, edges).pairs(nodes).select("source", "sink", "length")
 
 
 def flow_paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(source, sink, path, length): one shortest path per connected pair."""
-    return (
-        walk(edges, _of_type(nodes, "source", "root"), with_path=True)
-        .join(_of_type(nodes, "sink", "node"), "node", "left_semi")
-        .select(
-            F.col("root").alias("source"),
-            F.col("node").alias("sink"),
-            "path",
-            F.col("distance").alias("length"),
+    """(source, sink, path, length): one shortest path per connected pair.
+
+    Among shortest paths it is the first in dictionary order: from each node the
+    path goes on to the first neighbour by name that is one step nearer.
+    """
+    distances = _Distances(nodes, edges)
+    pairs = store(distances.pairs(nodes), "graph-pairs")
+    nearer = distances.rows.select(
+        F.col("node").alias("dst"), F.col("block").alias("b"), F.col("distance").alias("d"), "bits"
+    )
+    first = pairs.select("*", F.col("source").alias("node"), F.lit(0).alias("position"))
+
+    def step(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
+        return (
+            newest.filter(F.col("position") < F.col("length"))
+            .join(distances.steps, F.col("node") == F.col("src"))
+            .join(nearer.withColumnRenamed("dst", "next"), (F.col("dst") == F.col("next")) & (F.col("block") == F.col("b"))
+                  & (F.col("d") == F.col("length") - depth))
+            .filter(F.expr("bits & shiftleft(1L, bit) != 0"))
+            .groupBy("source", "sink", "block", "bit", "length")
+            .agg(F.min("dst").alias("node"))
+            .select("source", "sink", "block", "bit", "length", "node", F.lit(depth).alias("position"))
         )
+
+    places = _rounds(first, step, "graph-paths")
+    ordered = F.array_sort(F.collect_list(F.struct("position", "node")))  # a path's nodes
+    return (
+        places.groupBy("source", "sink", "length")
+        .agg(ordered.alias("places"))
+        .select("source", "sink", F.col("places.node").alias("path"), "length")
     )
 
 
@@ -312,9 +421,10 @@ def graph_statistics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         of_type("intermediate").alias("intermediate_datasets"),
         of_type("transformation").alias("transformations"),
     )
-    pairs = reachable_pairs(nodes, edges).agg(
-        F.count(F.lit(1)).alias("flow_paths"),
-        F.coalesce(F.max("length"), F.lit(0)).alias("max_shortest_path"),
+    # Pairs are counted by their bits, never listed.
+    pairs = _Distances(nodes, edges).of_sources(nodes).agg(
+        F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("flow_paths"),
+        F.coalesce(F.max("distance"), F.lit(0)).alias("max_shortest_path"),
     )
     pair = pairs.select(F.struct(*pairs.columns)).scalar()
     uses = (

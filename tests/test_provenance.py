@@ -135,6 +135,40 @@ def test_walk_with_cycles_and_hubs(spark):
     assert near == {(n, d) for root, n, d, _ in expected if root == "a" and n != "a"}
 
 
+def test_pairs_and_paths_against_breadth_first_search(spark, monkeypatch):
+    """More than 64 sinks, cycles, a hub, sources that lead nowhere, rounds that are merged."""
+    monkeypatch.setattr(g, "MERGED", 2)
+    edges = [(f"s{i}", f"n{i * 3 % 50}") for i in range(20)] + [("s1", "hub"), ("s2", "s2"), ("lost", "gone")]
+    edges += [(f"n{i}", f"n{(i * 7 + 1) % 50}") for i in range(50)] + [(f"n{i}", f"n{i + 1}") for i in range(49)]
+    edges += [("hub", f"k{i}") for i in range(90)] + [(f"n{i}", f"k{i % 7}") for i in range(0, 50, 5)]
+    sources, sinks = {f"s{i}" for i in range(20)} | {"lost"}, {f"k{i}" for i in range(95)}
+    names = {x for e in edges for x in e} | sinks
+    kinds = [(n, "source" if n in sources else "sink" if n in sinks else "intermediate") for n in names]
+    nodes = g.degrees(spark.createDataFrame(edges, "src string, dst string")).join(
+        spark.createDataFrame(kinds, "name string, node_type string"), "name", "right"
+    ).na.fill(0).withColumn("label", F.col("name"))
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    after = {}
+    for s, d in edges:
+        after.setdefault(s, set()).add(d)
+    want = {}
+    for root in sources:
+        best, newest = {root: (root,)}, [root]
+        while newest:
+            found = {}
+            for node in newest:
+                for d in after.get(node, set()) - set(best):
+                    found[d] = min(found.get(d, (*best[node], d)), (*best[node], d))
+            best |= found
+            newest = list(found)
+        want |= {(root, n): p for n, p in best.items() if n in sinks}
+    got = {(r.source, r.sink): tuple(r.path) for r in g.flow_paths(nodes, frame).collect()}
+    assert got == want and len(want) > 200
+    assert pairs(g.reachable_pairs(nodes, frame)) == sorted((*k, len(p) - 1) for k, p in want.items())
+    row = g.graph_statistics(nodes, frame).first()
+    assert (row.flow_paths, row.max_shortest_path) == (len(want), max(len(p) - 1 for p in want.values()))
+
+
 def test_role_priority(spark):
     log = ProvenanceLog("r")
     log.add_source("t", "csv", "x")
