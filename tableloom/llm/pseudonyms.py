@@ -19,13 +19,11 @@ from pyspark.sql import functions as F
 from .common import let, packed, table
 from .registry import query
 
-KEY = "change-this-key"
-"""Whoever has the key can link values to pseudonyms: production runs pass their own."""
 ROUNDS = 8
 
 _EDGE, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "date": _EDGE
     + r"(?:(?:19|20)\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)"
     + _END,
@@ -249,7 +247,7 @@ def _email(value: Column, key: str) -> Column:
 _CHANGES = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
-def pseudonymised(text: Column, key: str = KEY) -> Column:
+def pseudonymised(text: Column, key: str) -> Column:
     """Struct of ``text`` with pseudonyms and ``found``, the kinds found, in order.
 
     What a pattern finds but validation refuses (a card with a wrong check digit,
@@ -287,9 +285,11 @@ def pseudonymised(text: Column, key: str = KEY) -> Column:
     return F.when(F.coalesce(text.rlike(ANY), F.lit(False)), let(both, rebuilt)).otherwise(unchanged)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``found`` beside them.
 
+    Whoever has the ``key`` can link values to pseudonyms; there is no default.
+
     The result's columns are ``row`` (all columns of ``docs``, the text replaced)
     and ``found``, so that no name can clash. Null and empty texts stay; repeated
     rows stay and change alike.
@@ -301,9 +301,13 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
     return rows.select(F.struct(*fields).alias("row"), F.col("changed.found").alias("found"))
 
 
+QUERY_KEY = "key of the registered query"
+"""Public, as its results are: other calls pass a secret."""
+
+
 @query("op10_pii_pseudonyms")
 def op10_pii_pseudonyms(spark, sf_dir):
-    changed = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    changed = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), QUERY_KEY)
     counts = [
         F.size(F.filter("found", lambda k: k == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS
     ]
