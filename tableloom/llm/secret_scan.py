@@ -44,11 +44,13 @@ ALLOWED = (
     r"^[0-9]+$",
     r"^[A-Z]?[a-z]+$",
     r"^[A-Z]+$",
-    r"(?i)example|sample|placeholder|changeme|your[_-]",
+    r"(?i)^(?=.{20,64}$).*(?:example|sample|placeholder|changeme|your[_-])",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(.)\1{7}",
+    r"^(?=.{20,64}$).*(.)\1{7}",
 )
-"""Candidates that match one of these are no secrets: numbers, words, stand-ins, UUIDs, filler."""
+"""Candidates that match one of these are no secrets: numbers, words, stand-ins, UUIDs, filler.
+Stand-ins and filler speak for a candidate of up to 64 characters only; in a longer one the
+windows beside them are judged like any others."""
 PIECE = 4096
 """Characters of a candidate that are taken apart at a time; pieces overlap by a window."""
 MASK = "[SECRET]"
