@@ -34,6 +34,8 @@ BLOCK_WORDS = 1_000_000
 """Benchmark words that a task holds at a time (about 100 MB with their seeds)."""
 GROUP_BYTES = 1 << 21
 """Text hashed at a time."""
+COMPARED = 1 << 20
+"""Pairs of words held against one another at a time."""
 
 _U = np.uint64
 _FACTORS = np.array(
@@ -135,10 +137,15 @@ def block_of(items: list[tuple[int | None, str]]) -> tuple:
         seeds = np.concatenate(found)
         item = np.repeat(np.array(used), [len(f) for f in found])
         place = np.concatenate([np.arange(len(f)) for f in found])
-        order = np.argsort(seeds, kind="stable")
+        order = np.lexsort((place, item, seeds))
+        seeds, item, place = seeds[order], item[order], place[order]
+        # One entry per seed and item, however often the item repeats the seed.
+        new = np.ones(len(seeds), bool)
+        new[1:] = (seeds[1:] != seeds[:-1]) | (item[1:] != item[:-1])
+        first = np.flatnonzero(new)
         present = np.zeros(1 << _BITS, bool)
         present[(seeds >> _U(64 - _BITS)).astype(np.int64)] = True
-        tables.append((mask, seeds[order], item[order], place[order], present))
+        tables.append((mask, seeds[first], item[first], first, np.diff(first, append=len(seeds)), place, present))
     return [i for i, _ in items], words, starts, tables
 
 
@@ -148,47 +155,80 @@ class Block:
     def __init__(self, ids: list, words: np.ndarray, starts: np.ndarray, tables: list):
         self.ids, self.words, self.starts, self.tables = ids, words, starts, tables
 
-    def alignments(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Rows (text, item, shift) where a seed of the item occurs in the text."""
-        rows = [np.zeros((0, 3), np.int64)]
-        for mask, seeds, item, place, present in self.tables:
+    def alignments(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Text, item, and the shifts at which a seed of the item occurs in the text.
+
+        A text and an item that repeat the same seeds meet in very many pairs of
+        places, but in no more shifts than they have words: then all shifts are given.
+        """
+        hits = []
+        for mask, seeds, item, first, count, place, present in self.tables:
             own = _seeds(words, mask)
             at = np.flatnonzero(present[(own >> _U(64 - _BITS)).astype(np.int64)])
             low = np.searchsorted(seeds, own[at], "left")
-            count = np.searchsorted(seeds, own[at], "right") - low
-            at, low, count = at[count > 0], low[count > 0], count[count > 0]
+            found = np.searchsorted(seeds, own[at], "right") - low
+            at, low, found = at[found > 0], low[found > 0], found[found > 0]
             text = np.searchsorted(starts, at, "right") - 1
             whole = at + mask[-1] < starts[text + 1]
-            at, low, count, text = at[whole], low[whole], count[whole], text[whole]
-            each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            seed = np.repeat(low, count) + each
-            shift = np.repeat(at - starts[text], count) - place[seed]
-            rows.append(np.stack([np.repeat(text, count), item[seed], shift], axis=1))
-        return np.unique(np.concatenate(rows), axis=0)
-
-    def overlap(self, item: int, words: np.ndarray, shift: int) -> tuple[int, int, int]:
-        """(agreeing words, window, first word in the text) of the best window."""
+            at, low, found, text = at[whole], low[whole], found[whole], text[whole]
+            entry = np.repeat(low, found) + _counted_up(found)
+            hits.append(
+                (np.repeat(text, found) * len(self.ids) + item[entry], np.repeat(at - starts[text], found),
+                 first[entry], count[entry], place)
+            )
+        if not any(len(h[0]) for h in hits):
+            return
+        pairs, inverse = np.unique(np.concatenate([h[0] for h in hits]), return_inverse=True)
+        total = np.bincount(inverse, np.concatenate([h[3] for h in hits]))
+        texts, items = pairs // len(self.ids), pairs % len(self.ids)
+        sizes = np.diff(starts)[texts] + np.diff(self.starts)[items]
+        rows, done = [], 0
+        for pair, at, first, count, place in hits:
+            own = inverse[done : done + len(pair)]
+            done += len(pair)
+            few = total[own] <= 4 * sizes[own]
+            own, at, first, count = own[few], at[few], first[few], count[few]
+            shift = np.repeat(at, count) - place[np.repeat(first, count) + _counted_up(count)]
+            rows.append(np.stack([np.repeat(own, count), shift], axis=1))
+        rows = np.unique(np.concatenate(rows), axis=0)
+        edges = np.searchsorted(rows[:, 0], np.arange(len(pairs) + 1))
+        for k, (text, item) in enumerate(zip(texts.tolist(), items.tolist())):
+            shifts = rows[edges[k] : edges[k + 1], 1]
+            if len(shifts) == 0:
+                shifts = np.arange(1 - int(np.diff(self.starts)[item]), int(np.diff(starts)[text]))
+            yield text, item, shifts
+
+    def overlap(self, item: int, words: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int]:
+        """(agreeing words, window, first word in the text) of the best window at any of the shifts."""
         own = self.words[self.starts[item] : self.starts[item + 1]]
-        window = min(WINDOW, len(own))
-        agree = np.zeros(len(own) + 1, np.int64)
-        low, high = max(0, -shift), min(len(own), len(words) - shift)
-        agree[low + 1 : high + 1] = own[low:high] == words[low + shift : high + shift]
-        total = np.cumsum(agree)
-        sums = total[window:] - total[:-window]
-        best = int(np.argmax(sums))
-        return int(sums[best]), window, best + shift
+        window, best = min(WINDOW, len(own)), (0, 0)
+        step = max(1, COMPARED // len(own))
+        for start in range(0, len(shifts), step):
+            some = shifts[start : start + step]
+            place = some[:, None] + np.arange(len(own))
+            agree = (words[np.clip(place, 0, len(words) - 1)] == own) & (place >= 0) & (place < len(words))
+            total = np.zeros((len(some), len(own) + 1), np.int32)
+            np.cumsum(agree, axis=1, out=total[:, 1:])
+            sums = total[:, window:] - total[:, :-window]
+            at = sums.argmax(axis=1)
+            first = np.maximum(at + some, 0)
+            found = sums[np.arange(len(some)), at]
+            k = np.lexsort((first, -found))[0]
+            best = max(best, (int(found[k]), -int(first[k])))
+        return best[0], window, -best[1]
 
     def find(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, agreeing words, window, first word), the best for each text and item."""
         words, starts = hashed_words(texts)
-        best: dict = {}
-        for text, item, shift in self.alignments(words, starts).tolist():
-            agree, window, first = self.overlap(item, words[starts[text] : starts[text + 1]], shift)
+        for text, item, shifts in self.alignments(words, starts):
+            agree, window, first = self.overlap(item, words[starts[text] : starts[text + 1]], shifts)
             if window - agree <= allowed(window):
-                found = (agree, -max(first, 0), window)
-                best[text, item] = max(best.get((text, item), found), found)
-        for (text, item), (agree, first, window) in sorted(best.items()):
-            yield text, item, agree, window, -first
+                yield text, item, agree, window, first
+
+
+def _counted_up(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of ``counts``, one after another."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def _groups(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
