@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tableloom.functions.sizing import partitions_for
 from tableloom.functions.storage import store
 
 __all__ = ["WORD_BREAK", "let", "numbered", "packed", "pieces", "slices", "store", "table"]
@@ -62,7 +63,7 @@ def numbered(df: DataFrame, keys: list[str], label: str, name: str = "place") ->
     Rows equal in all keys get places of their own in an arbitrary order, which
     the written table fixes.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(df)
     order = [F.col(k).asc_nulls_first() for k in keys]
     ranged = (
         df.repartitionByRange(partitions, *order)

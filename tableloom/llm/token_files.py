@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tableloom.functions.sizing import partitions_for
 from tableloom.functions.storage import new_folder
 
 from .common import pieces, slices, store, table
@@ -79,8 +80,16 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.kind, self.known = f"<u{width}", {}
+        # Special strings are found here, in the text as it is; in lower-cased words they are ordinary text.
+        self.tokenizer.encode_special_tokens = True
+        self.kind = f"<u{width}"
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {
+            b" " + t.content.encode(): np.array([i], self.kind).tobytes() for i, t in added.items() if t.special
+        }
+        names = sorted((re.escape(t.strip()) for t in self.special), key=len, reverse=True)
+        self.cut = re.compile(b"(%b)" % b"|".join(names)).split if names else lambda data: [data]
+        self.known = dict(self.special)
         # Small letters of the Latin alphabets as the byte-level vocabulary spells them.
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         letters = (chr(c) for c in range(0xDF, 0x180))
@@ -130,12 +139,19 @@ class WordEncoder:
         else:
             yield from self._texts([(t or "").encode() for t in texts])
 
+    def _words(self, data: bytes) -> list[bytes]:
+        """Lower-case words; a special string is an entry of its own, behind a space."""
+        parts = self.cut(data)
+        if len(parts) == 1:
+            return data.lower().split()
+        return [w for i, p in enumerate(parts) for w in ([b" " + p] if i % 2 else p.lower().split())]
+
     def _texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.lower().split() for t in texts]
+        split = [self._words(t) for t in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = set().union(*split)
+            self.known = dict(self.special)
+            new = set().union(*split).difference(self.known)
         self._learn(new)
         for words in split:
             yield b"".join(map(self.known.__getitem__, words))
@@ -168,25 +184,25 @@ def _writer(folder: str, vocabulary, width: int, end_id: int):
         system, root = pyarrow.fs.FileSystem.from_uri(folder)
         name = f"{root}/part-{context.partitionId():08d}"
         own = f"{name}.attempt-{context.taskAttemptId()}"
-        entries, offset, tokens = [], len(MAGIC) + 1, 0
+        entries, offset, tokens = bytearray(), len(MAGIC) + 1, 0
         with system.open_output_stream(f"{own}.tokens") as data:
             data.write(MAGIC + bytes([width]))
             for rows in groups(batches):
                 for (number, _), ids in zip(rows, encoder.texts([t for _, t in rows])):
                     record = frame(ids + end)
                     data.write(record)
-                    entries.append((number or 0, number is not None, offset, len(ids) + width))
+                    entries += struct.pack("<qBQQ", number or 0, number is not None, offset, len(ids) + width)
                     offset += len(record)
                     tokens += len(ids) // width + 1
         with system.open_output_stream(f"{own}.index") as index:
-            index.write(np.array(entries, INDEX).tobytes())
+            index.write(bytes(entries))
         for kind in ("tokens", "index"):
             system.move(f"{own}.{kind}", f"{name}.{kind}")
         yield pa.record_batch(
             {
                 "part": pa.array([context.partitionId()], pa.int64()),
                 "file": pa.array([f"{folder}/part-{context.partitionId():08d}"]),
-                "records": pa.array([len(entries)], pa.int64()),
+                "records": pa.array([len(entries) // INDEX.itemsize], pa.int64()),
                 "tokens": pa.array([tokens], pa.int64()),
             }
         )
@@ -210,7 +226,7 @@ def write_tokens(
     text, null and empty ones too, gets a record that ends with ``end_id``. Rows
     without id come first; rows of equal ids follow one another, in the order of
     their texts' hashes. ``files``: how many; by default the session's number of
-    shuffle partitions.
+    shuffle partitions, more for a large table.
     """
     spark = docs.sparkSession
     with open(vocabulary_path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
@@ -222,7 +238,7 @@ def write_tokens(
     system, root = pyarrow.fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = files or partitions_for(docs)
     written = store(
         rows.repartitionByRange(files, F.col("id").asc_nulls_first())
         .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"))
@@ -304,8 +320,8 @@ def read_tokens(files: DataFrame, shuffle_seed: int | None = None) -> DataFrame:
     ids, four bytes each, little-endian). With a seed, a file's records come in
     an order shuffled by its index. A damaged file is an error.
     """
-    # A task reads one file or a few, whatever the size of the list's own file.
-    spread = files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
+    # A task reads one file, whatever the size of the list's own file.
+    spread = files.repartitionByRange(max(1, files.count()), "part")
     return spread.mapInArrow(
         _reader(shuffle_seed), "id long, start long, n_tokens long, data binary"
     )
