@@ -45,3 +45,12 @@ def partitions_for(df: DataFrame, bytes_each: int = PARTITION_BYTES) -> int:
     """Partitions for a shuffle of ``df``: the session's number, more for large input."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(MOST_PARTITIONS, -(-input_bytes(df) // bytes_each)))
+
+
+def would_broadcast(df: DataFrame) -> bool:
+    """Whether Spark would send ``df`` whole to every task of a join, by its own estimate."""
+    size = plan_bytes(df)
+    if size is None:
+        return False
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return size <= conf.autoBroadcastJoinThreshold()

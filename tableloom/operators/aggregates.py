@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import known, quoted, require
-from .quantiles import exact_quantiles, sketch_input, sketch_quantiles
+from .quantiles import exact_quantiles, sketched
 
 # Function name -> (Spark function, suffix of the result column).
 AGGREGATES = {
@@ -147,15 +147,14 @@ def statistics(
 
 
 def _sketched_quartiles(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    def row(column: str) -> Column:
-        sketch = sketch_quantiles(column, [0.25, 0.5, 0.75])
-        return F.struct(
+    rows = [
+        F.struct(
             F.lit(column).alias("column"),
-            *[sketch[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
+            *[F.col(f"q{k}")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
         )
-
-    rows = sketch_input(df, names).agg(F.array(*[row(c) for c in names]).alias("rows"))
-    return rows.select(F.inline("rows"))
+        for k, column in enumerate(names)
+    ]
+    return sketched(df, names, [0.25, 0.5, 0.75]).select(F.inline(F.array(*rows)))
 
 
 def _exact_quartiles(df: DataFrame, names: Sequence[str]) -> DataFrame:

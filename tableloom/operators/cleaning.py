@@ -16,7 +16,7 @@ from ..functions.expressions import (
     sort_columns,
     tidy_text,
 )
-from .quantiles import exact_quantiles, sketch_input, sketch_quantiles
+from .quantiles import exact_quantiles, sketched
 
 
 def remove_nulls(
@@ -115,10 +115,10 @@ def outlier_bounds(
             ]
         )
     else:
-        ends = sketch_input(df, columns).agg(
+        ends = sketched(df, columns, [0.25, 0.75]).select(
             *[
-                sketch_quantiles(c, [0.25, 0.75])[i].alias(f"{c}_{name}")
-                for c in columns
+                F.col(f"q{k}")[i].alias(f"{c}_{name}")
+                for k, c in enumerate(columns)
                 for i, name in enumerate(("q1", "q3"))
             ]
         )
