@@ -11,6 +11,8 @@ would sort in one task, so it is numbered and cut into equal blocks instead:
 3. cut the numbering into blocks; running results are computed per block and
    the totals of the earlier blocks are added, frames that look back or ahead
    get copies of the neighbouring rows.
+
+Ranks alone need no numbering of rows: they come from counts per order value.
 """
 
 from __future__ import annotations
@@ -34,8 +36,6 @@ _CALL = re.compile(r"\s*(?P<fn>\w+)\s*(\(\s*(?P<arg>\w+)\s*(,\s*(?P<n>\d+)\s*)?\
 
 SUM_ROWS = 256
 """Rows of a group whose running sum is taken by itself. Part of the arithmetic."""
-GLOBAL_ROWS = 100_000
-"""Rows of a table up to which one task sorts it whole."""
 
 _SLICE, _PLACE, _BLOCK, _HALO, _RUN = "__slice", "__place", "__block", "__halo", "__run"
 
@@ -170,7 +170,6 @@ def _apply(
             _blocked(big, keys, orders, calls, rows, group_rows)
         )
     rows = df.count()
-    group_rows = min(group_rows, GLOBAL_ROWS)
     if rows <= group_rows:
         return _plain(df, keys, orders, calls)
     return _blocked(df, keys, orders, calls, rows, group_rows)
@@ -265,7 +264,61 @@ def _numbered(df, keys, orders, rows, group_rows) -> DataFrame:
     )
 
 
+def _by_values(df, keys, orders, calls, group_rows) -> DataFrame:
+    """Ranks from a histogram of the order values: only these are sorted, not the rows.
+
+    Counts per distinct value are cut into slices by value, the slices' sums are
+    added up, and every row finds its value's rank by a join.
+    """
+    names = list(dict.fromkeys([*keys, *(o if isinstance(o, str) else o[0] for o in orders)]))
+    sort = [*[quoted(k).asc() for k in keys], *sort_columns(orders)]
+    counted = store(df.groupBy(*map(quoted, names)).agg(F.count(F.lit(1)).alias("__rows")), "window-values")
+    slices = max(1, -(-counted.count() // group_rows))
+    sliced = store(
+        counted.repartitionByRange(slices, *sort).withColumn(_SLICE, F.spark_partition_id()), "window-slices"
+    )
+    columns = [quoted(k) for k in keys]
+    here = Window.partitionBy(_SLICE, *columns).orderBy(*sort_columns(orders))
+    sums = sliced.groupBy(_SLICE, *columns).agg(F.sum("__rows").alias("__n"), F.count(F.lit(1)).alias("__d"))
+    # One row per slice, and per group in it.
+    before = _before(*columns).orderBy(_SLICE)
+    starts = sums.select(
+        _SLICE,
+        *columns,
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__earlier_rows"),
+        F.coalesce(F.sum("__d").over(before), F.lit(0)).alias("__earlier_values"),
+    )
+    ranked = attach(
+        sliced.withColumns(
+            {
+                "__below": F.coalesce(
+                    F.sum("__rows").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+                ),
+                "__turn": F.row_number().over(here),
+            }
+        ),
+        starts,
+        [_SLICE, *keys],
+    ).select(
+        *map(quoted, names),
+        (F.col("__below") + F.col("__earlier_rows") + 1).alias("__rank"),
+        (F.col("__turn") + F.col("__earlier_values")).alias("__dense"),
+    )
+    return attach(df, ranked, names).select(
+        *[quoted(c) for c in df.columns],
+        *[
+            F.col("__rank" if c.kind == "rank" else "__dense")
+            .cast(_plain_type(df, keys, orders, c))
+            .alias(a)
+            for a, c in calls.items()
+        ],
+    )
+
+
 def _blocked(df, keys, orders, calls, rows, group_rows) -> DataFrame:
+    named = all(isinstance(o, str) or is_order(o) for o in orders)
+    if named and all(c.kind in ("rank", "dense_rank") for c in calls.values()):
+        return _by_values(df, keys, orders, calls, group_rows)
     numbered = _numbered(df, keys, orders, rows, group_rows)
     back = max(c.rows_before for c in calls.values())
     ahead = max(c.rows_after for c in calls.values())
