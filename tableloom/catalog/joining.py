@@ -90,21 +90,34 @@ def join_composite_key(spark, sf_dir):
     return join_tables(moved, returned, keys)
 
 
-@query(
-    "join_condition",
-    f"""SELECT p.c_custkey, c_name, p.amount AS amount_left, o_orderkey,
-               s.amount AS amount_right
-        FROM {_PEOPLE} p LEFT JOIN {_SALES} s
-        ON p.c_custkey = s.c_custkey AND s.amount > 50 * p.amount""",
-)
-def join_condition(spark, sf_dir):
-    return join_tables(
-        _people(spark, sf_dir),
-        _sales(spark, sf_dir),
-        ["c_custkey"],
-        "left",
-        condition="amount_right > 50 * amount_left",
-    )
+_CONDITION_TYPES = {"left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL JOIN"}
+
+
+def _register_condition(name, how, group_rows=None):
+    if how in _CONDITION_TYPES:
+        sql = f"""SELECT coalesce(p.c_custkey, s.c_custkey) AS c_custkey, c_name, p.amount AS amount_left,
+                         o_orderkey, s.amount AS amount_right
+                  FROM {_PEOPLE} p {_CONDITION_TYPES[how]} {_SALES} s
+                  ON p.c_custkey = s.c_custkey AND s.amount > 50 * p.amount"""
+    else:
+        sql = f"""SELECT * FROM {_PEOPLE} p WHERE {"NOT " if how == "left_anti" else ""}EXISTS (
+                  SELECT 1 FROM {_SALES} s WHERE p.c_custkey = s.c_custkey AND s.amount > 50 * p.amount)"""
+
+    @query(name, sql)
+    def run(spark, sf_dir):
+        return join_tables(
+            _people(spark, sf_dir),
+            _sales(spark, sf_dir),
+            ["c_custkey"],
+            how,
+            condition="amount_right > 50 * amount_left",
+            group_rows=group_rows,
+        )
+
+
+_register_condition("join_condition", "left")
+for _how in ("left", "right", "full", "left_semi", "left_anti"):
+    _register_condition(f"join_condition_{_how}_hot_keys", _how, 3)
 
 
 @query(

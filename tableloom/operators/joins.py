@@ -4,7 +4,11 @@ Spark chooses the join strategy from sizes it knows or measures: no side is
 broadcast by a hint. Adaptive execution splits a hot key of an inner join on
 both sides, but of an outer, semi or anti join only on the side it preserves.
 For the other side the operators measure the largest key; a key too large is
-known to have a match there, so its rows can take an inner join instead.
+known to have a match there, so its rows can take an inner join instead. Nothing is
+measured where Spark's own estimate lets it broadcast that side.
+
+With a further condition a hot key need not have a match. Its rows are numbered,
+their pairs take an inner join, and rows that no pair names are added.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import OrderSpec, require
 from ..functions.groups import GROUP_ROWS, large_groups
+from ..functions.sizing import would_broadcast
+from ..functions.storage import store
 from .cleaning import remove_duplicates
 
 JOIN_TYPES = {
@@ -45,8 +51,8 @@ def join_tables(
     Every join type returns one (coalesced) column per key, then the left and
     the right columns; names on both sides get the suffixes. Semi and anti
     joins keep the left names. ``condition`` is an extra SQL predicate, over
-    the suffixed names, that a pair must satisfy to match; Spark cannot split a
-    hot key of the optional side then, so ``group_rows`` is refused with it.
+    the suffixed names, that a pair must satisfy to match. ``group_rows``: rows of
+    one key that a task is trusted with; 1 million, unless the side is small.
     """
     if join_type not in JOIN_TYPES:
         raise ValueError(f"unsupported join type: {join_type}")
@@ -58,12 +64,11 @@ def join_tables(
     require(right, keys)
     shared = [c for c in left.columns if c in right.columns and c not in keys]
     if condition is not None:
-        if group_rows is not None:
-            raise ValueError("a join with a condition cannot split hot keys by group_rows")
-        return _conditional(
-            left, right, keys, how, shared, left_suffix, right_suffix, condition
-        )
-    group_rows = group_rows or GROUP_ROWS
+        names = (keys, how, shared, left_suffix, right_suffix, condition)
+        hot = None if how == "inner" else _hot_keys(left, right, keys, how, group_rows)
+        if hot is None:
+            return _conditional(left, right, *names)
+        return _conditional_split(left, right, hot, *names)
     if how in ("left_semi", "left_anti"):
         return left.join(_key_set(right, keys, group_rows), keys, how)
     left = left.withColumnsRenamed({c: c + left_suffix for c in shared})
@@ -75,10 +80,27 @@ def join_tables(
     return _one_sided(left, right, keys, how, group_rows)
 
 
-def _key_set(right: DataFrame, keys: list[str], group_rows: int) -> DataFrame:
+def _large(side: DataFrame, keys: list[str], group_rows: int | None) -> DataFrame | None:
+    """Large groups of a side that can be broadcast; a small one is not measured unasked."""
+    if group_rows is None and would_broadcast(side):
+        return None
+    return large_groups(side, keys, group_rows or GROUP_ROWS)
+
+
+def _hot_keys(left, right, keys, how, group_rows) -> DataFrame | None:
+    """Keys with too many rows on a side that adaptive execution cannot split."""
+    if how == "full":
+        found = [large_groups(side, keys, group_rows or GROUP_ROWS) for side in (left, right)]
+    else:
+        found = [_large(left if how == "right" else right, keys, group_rows)]
+    hot = [large.select(*keys).na.drop() for large in found if large is not None]
+    return reduce(DataFrame.unionByName, hot).distinct() if hot else None
+
+
+def _key_set(right: DataFrame, keys: list[str], group_rows: int | None) -> DataFrame:
     """The right keys for a semi or anti join, hot ones only once."""
     narrow = right.select(*keys)
-    large = large_groups(narrow, keys, group_rows)
+    large = _large(narrow, keys, group_rows)
     if large is None:
         return narrow
     hot = large.select(*keys)
@@ -87,7 +109,7 @@ def _key_set(right: DataFrame, keys: list[str], group_rows: int) -> DataFrame:
 
 def _one_sided(left, right, keys, how, group_rows) -> DataFrame:
     """Left or right outer join, safe against hot keys on the optional side."""
-    large = large_groups(right if how == "left" else left, keys, group_rows)
+    large = _large(right if how == "left" else left, keys, group_rows)
     if large is None:
         return left.join(right, keys, how)
     hot = large.select(*keys)
@@ -106,8 +128,8 @@ def _full(left, right, keys, group_rows) -> DataFrame:
     hot_sides = [
         large.select(*keys)
         for large in (
-            large_groups(left, keys, group_rows),
-            large_groups(right, keys, group_rows),
+            large_groups(left, keys, group_rows or GROUP_ROWS),
+            large_groups(right, keys, group_rows or GROUP_ROWS),
         )
         if large is not None
     ]
@@ -143,24 +165,58 @@ def _full(left, right, keys, group_rows) -> DataFrame:
 
 
 def _conditional(left, right, keys, how, shared, left_suffix, right_suffix, condition):
-    other = {k: f"__right_{k}" for k in keys}
-    renamed_left = left.withColumnsRenamed({c: c + left_suffix for c in shared})
-    renamed_right = right.withColumnsRenamed(
-        {**{c: c + right_suffix for c in shared}, **other}
-    )
-    match = reduce(
-        lambda a, b: a & b, [F.col(k) == F.col(other[k]) for k in keys]
-    ) & F.expr(condition)
-    joined = renamed_left.join(renamed_right, match, how)
+    left, right, match = _matched(left, right, keys, shared, left_suffix, right_suffix, condition)
+    joined = left.join(right, match, how)
     if how in ("left_semi", "left_anti"):
         return joined.withColumnsRenamed({c + left_suffix: c for c in shared})
+    return _one_key(joined, left, right, keys)
+
+
+def _matched(left, right, keys, shared, left_suffix, right_suffix, condition):
+    """Both sides with names of their own, and what a pair must satisfy."""
+    other = {k: f"__right_{k}" for k in keys}
+    left = left.withColumnsRenamed({c: c + left_suffix for c in shared})
+    right = right.withColumnsRenamed({**{c: c + right_suffix for c in shared}, **other})
+    match = reduce(lambda a, b: a & b, [F.col(k) == F.col(other[k]) for k in keys])
+    return left, right, match & F.expr(condition)
+
+
+def _one_key(joined, left, right, keys) -> DataFrame:
     return joined.select(
-        *[F.coalesce(F.col(k), F.col(other[k])).alias(k) for k in keys],
-        *[c for c in renamed_left.columns if c not in keys],
-        *[c for c in renamed_right.columns if c not in other.values()],
+        *[F.coalesce(F.col(k), F.col(f"__right_{k}")).alias(k) for k in keys],
+        *[c for c in left.columns if c not in keys and c != _LEFT_ROW],
+        *[c for c in right.columns if not c.startswith("__right_")],
     )
 
 
+_LEFT_ROW, _RIGHT_ROW = "__left_row", "__right_row"
+
+
+def _conditional_split(
+    left, right, hot, keys, how, shared, left_suffix, right_suffix, condition
+) -> DataFrame:
+    """A conditional outer, semi or anti join whose ``hot`` keys take inner joins."""
+    cold = [side.join(hot, keys, "left_anti") for side in (left, right)]
+    usual = _conditional(*cold, keys, how, shared, left_suffix, right_suffix, condition)
+    numbered = [
+        store(side.join(hot, keys, "left_semi").withColumn(name, F.monotonically_increasing_id()), "join-hot")
+        for side, name in ((left, _LEFT_ROW), (right, _RIGHT_ROW))
+    ]
+    # Row numbers have names of their own, so the suffixes stay as they were.
+    a, b, match = _matched(*numbered, keys, shared, left_suffix, right_suffix, condition)
+    pairs = a.join(b, match, "inner")
+    if how in ("left_semi", "left_anti"):
+        found = pairs.select(_LEFT_ROW).distinct()
+        return usual.unionByName(numbered[0].join(found, _LEFT_ROW, how).drop(_LEFT_ROW)).select(*left.columns)
+    pairs = store(pairs, "join-pairs")
+    parts = [pairs]
+    for side, name, kept in ((a, _LEFT_ROW, ("left", "full")), (b, _RIGHT_ROW, ("right", "full"))):
+        if how in kept:
+            parts.append(side.join(pairs.select(name).distinct(), name, "left_anti"))
+    whole = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return usual.unionByName(_one_key(whole, a, b, keys))
+
+
 def lookup(
     main: DataFrame,
     lookup_table: DataFrame,
@@ -169,7 +225,7 @@ def lookup(
     lookup_columns: Sequence[str] | None = None,
     suffix: str = "_lookup",
     unique_by: Sequence[OrderSpec] | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Left-join chosen columns of a lookup table to the main table.
 

@@ -63,6 +63,26 @@ def test_hot_keys_give_the_same_rows(spark, how):
         assert rows(swapped) == rows(join_tables(other, left, keys, how))
 
 
+@pytest.mark.parametrize("how", TYPES)
+def test_condition_with_hot_keys(spark, how):
+    """A third of all rows under one key; some rows of a hot key match nothing."""
+
+    def side(n, name, modulo):
+        key = (
+            F.when(F.col("id") % 3 == 0, 5)
+            .when(F.col("id") % 11 == 0, F.lit(None))
+            .otherwise(F.col("id") % modulo)
+        )
+        return spark.range(n).select(F.col("id").alias(name), key.alias("k"), (F.col("id") % 7).alias("v"))
+
+    left, right = side(200, "l", 40), side(80, "r", 60)
+    for condition in ("v_left > v_right + 3", "l + r < 100", "v_left + v_right > 1000"):
+        plain = join_tables(left, right, ["k"], how, condition=condition)
+        split = join_tables(left, right, ["k"], how, condition=condition, group_rows=10)
+        assert split.columns == plain.columns
+        assert rows(split) == rows(plain)
+
+
 @pytest.mark.parametrize("how", TYPES)
 def test_condition(spark, people, sales, how):
     joined = join_tables(people, sales, ["k"], how, condition="sale > 100")
