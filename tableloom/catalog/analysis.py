@@ -408,6 +408,20 @@ def profile_table(spark, sf_dir):
         6, "completeness", "null_percentage", "estimated_mb",
     )
 
+@query(
+    "profile_plan_size",
+    """SELECT count(*) AS total_rows, round(count(*) * 6 * 8 / 1048576.0, 6) AS estimated_mb, true AS planned
+       FROM orders""",
+)
+def profile_plan_size(spark, sf_dir):
+    """The formula beside the optimizer's estimate, which is the size of the table's files."""
+    orders = table(spark, sf_dir, "orders")
+    profile = q.table_profile(orders, plan_size=True)
+    return _rounded(profile, 6, "estimated_mb").select(
+        "total_rows", "estimated_mb", F.col("plan_mb").between(0.001, F.col("total_rows")).alias("planned")
+    )
+
+
 
 @query(
     "duplicate_rows",

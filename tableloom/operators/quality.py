@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import quoted, value_text, values_long
+from ..functions.sizing import plan_bytes
 from .sorting import head
 
 TOP_NULL_COLUMNS = 5
@@ -127,8 +128,12 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def table_profile(df: DataFrame) -> DataFrame:
-    """Shape, nulls, completeness and estimated size, in one pass."""
+def table_profile(df: DataFrame, plan_size: bool = False) -> DataFrame:
+    """Shape, nulls, completeness and estimated size, in one pass.
+
+    ``plan_size`` adds ``plan_mb``, the optimizer's own estimate of the result,
+    NULL where it has none (see ``functions.sizing``); it costs no job.
+    """
     columns = len(df.columns)
     nulls = F.aggregate(
         "nulls", F.lit(0).cast("bigint"), lambda total, c: total + c["null_count"]
@@ -139,6 +144,8 @@ def table_profile(df: DataFrame) -> DataFrame:
         nulls.alias("total_nulls"),
     )
     cells = F.col("total_rows") * columns
+    size = plan_bytes(df) if plan_size else None
+    planned = F.lit(None if size is None else size / (1024 * 1024)).cast("double").alias("plan_mb")
     return shape.select(
         "*",
         _share(cells - F.col("total_nulls"), cells).alias("completeness"),
@@ -146,6 +153,7 @@ def table_profile(df: DataFrame) -> DataFrame:
             "null_percentage"
         ),
         (cells * CELL_BYTES / (1024 * 1024)).alias("estimated_mb"),
+        *([planned] if plan_size else []),
     )
 
 
