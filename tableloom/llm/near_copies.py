@@ -7,11 +7,15 @@ Every such link is then verified on the whole shingle sets.
 
 A key that many texts share would make a quadratic number of pairs. Its texts are
 first compared along a chain, each with the next in an order of the key's own; what
-the verified links of all chains connect needs no more comparing. Then all pairs
-that share a key and are still in different groups are compared, so that the groups
-are those of comparing all pairs that share a key.
-
-Only different shingle sets are compared; equal ones are one point.
+the verified links of all chains connect needs no more comparing. What is left are
+the texts of a key outside its largest group. In a key of up to ``BUCKET`` texts
+their pairs are listed; in a larger one they are queries against blocks of the key's
+texts, and only the links they find come back. So the groups are those of comparing
+all pairs that share a key.
+
+Only different shingle sets are compared; equal ones are one point. Before two sets
+are brought together, sketches of ``BANDS * ROWS`` bytes are: a pair at 0.8 agrees in
+fewer than ``SKETCH`` of them with a chance of 1 in a thousand million.
 """
 
 from __future__ import annotations
@@ -33,6 +37,11 @@ CHUNK = 512
 """Shingles hashed at a time."""
 CACHED_WORDS = 400_000
 """Words whose hashes a task remembers; when there are more, it starts anew."""
+BUCKET = 64
+"""Texts in a key up to which all pairs of different groups are listed."""
+BLOCK = 1024
+"""Texts of a larger key held against one another at a time."""
+SKETCH = 0.62
 FILTER_BITS = 24
 """Size (as a power of two) of the bit map of the points whose sets are needed."""
 
@@ -72,14 +81,20 @@ class Shingles:
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     """A key of each band; no shingles, no keys."""
+    return described(shingles)[0]
+
+
+def described(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The bands' keys, and the last byte of every least hash."""
     if len(shingles) == 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), b""
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), CHUNK):
         hashes = np.multiply.outer(_FACTORS, shingles[start : start + CHUNK])
         np.minimum(least, hashes.min(axis=1), out=least)
     data = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(data)], np.uint64).view(np.int64)
+    keys = [xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(data)]
+    return np.array(keys, np.uint64).view(np.int64), least.astype(np.uint8).tobytes()
 
 
 def _point(shingles: np.ndarray) -> int:
@@ -93,20 +108,22 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _described(batches):
-    """``id``, ``mark``, ``text`` become ``id``, ``mark``, ``fp``, ``point``, ``keys``."""
+    """``id``, ``mark``, ``text`` become ``id``, ``mark``, ``fp``, ``point``, ``keys``, ``sketch``."""
     shingles = Shingles()
     for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         sets = [shingles.of(t) for t in texts]
+        hashed = [described(s) for s in sets]
         yield pa.record_batch(
             [
                 batch.column("id"),
                 batch.column("mark"),
                 pa.array([_signed(fingerprint(t)) for t in texts], pa.int64()),
                 pa.array([_point(s) for s in sets], pa.int64()),
-                _lists([band_keys(s) for s in sets]),
+                _lists([k for k, _ in hashed]),
+                pa.array([b for _, b in hashed], pa.binary()),
             ],
-            names=["id", "mark", "fp", "point", "keys"],
+            names=["id", "mark", "fp", "point", "keys", "sketch"],
         )
 
 
@@ -171,6 +188,75 @@ def verified(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
     return both.filter(near).filter(shared >= (total - shared) * jaccard).select("a", "b")
 
 
+def _agreeing(batches):
+    """The pairs ``a``, ``b`` whose sketches agree often enough."""
+    size = BANDS * ROWS
+    for batch in batches:
+        x, y = (
+            np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint8).reshape(-1, size) for n in ("x", "y")
+        )
+        near = pa.array((x == y).sum(axis=1) >= SKETCH * size)
+        yield batch.select(["a", "b"]).filter(near)
+
+
+def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The ``pairs`` of points whose sketches (``point``, ``sketch``) agree often enough."""
+    both = pairs.join(sketches.select(F.col("point").alias("a"), F.col("sketch").alias("x")), "a").join(
+        sketches.select(F.col("point").alias("b"), F.col("sketch").alias("y")), "b"
+    )
+    return both.mapInArrow(_agreeing, "a long, b long")
+
+
+def _links_to(jaccard: float):
+    """Batch function of one block of queries and one of texts: a link from each query to each group."""
+
+    def run(keys, queries, texts):
+        a, b = [], []
+        if queries.num_rows and texts.num_rows:
+            points, groups = texts.column("point").to_numpy(), texts.column("root").to_numpy()
+            lists = texts.column("shingles").combine_chunks()
+            sizes = np.diff(lists.offsets.to_numpy())
+            tokens, at = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+            owners = np.repeat(np.arange(len(points)), sizes)[np.argsort(at, kind="stable")]
+            edges = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(tokens)))])
+            rows = zip(*(queries.column(n).to_pylist() for n in ("point", "root")), queries.column("shingles"))
+            for point, root, own in rows:
+                own = own.values.to_numpy()
+                found = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
+                found = found[tokens[found] == own]
+                shared = np.bincount(
+                    np.concatenate([owners[edges[f] : edges[f + 1]] for f in found] or [np.zeros(0, np.int64)]),
+                    minlength=len(points),
+                )
+                near = (shared >= (len(own) + sizes - shared) * jaccard) & (groups != root)
+                _, first = np.unique(groups[near], return_index=True)
+                others = points[near][first].tolist()
+                a += [min(point, o) for o in others]
+                b += [max(point, o) for o in others]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _links_of_large_keys(rooted: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
+    """Links between groups of ``rooted`` (``key``, ``point``, ``root``, ``n`` of the key)."""
+    groups = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = groups.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("most"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = (
+        rooted.join(largest, "key")
+        .join(sets, "point")
+        .withColumn("blocks", blocks)
+        .withColumn("own", F.pmod(F.xxhash64("point"), F.col("blocks").cast("long")).cast("int"))
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["key", "i", "j", "point", "root", "shingles"]
+    queries = rows.filter("root != most").withColumn("i", F.col("own")).withColumn("j", every).select(*columns)
+    texts = rows.withColumn("j", F.col("own")).withColumn("i", every).select(*[F.col(c).alias(c) for c in columns])
+    found = queries.groupBy("key", "i", "j").cogroup(texts.groupBy("key", "i", "j"))
+    return found.applyInArrow(_links_to(jaccard), "a long, b long").distinct()
+
+
 def _pair(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -204,27 +290,34 @@ def copies(
         F.col(f"`{text}`").alias("text"),
     )
     found = store(
-        texts.mapInArrow(_described, "id long, mark long, fp long, point long, keys array<long>"), "copies-points"
+        texts.mapInArrow(
+            _described, "id long, mark long, fp long, point long, keys array<long>, sketch binary"
+        ),
+        "copies-points",
     )
-    keyed = found.groupBy("point").agg(F.first("keys").alias("keys")).select("point", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    points = found.groupBy("point").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    points = store(points.filter(F.size("keys") > 0), "copies-sketches")
+    keyed = points.select("point", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = keyed.join(shared, "key").withColumn("turn", F.xxhash64("point", "key"))
     members = store(numbered(members, ["key", "turn", "point"], "copies-keys"), "copies-places")
     after = members.select((F.col("place") - 1).alias("place"), F.col("key").alias("k"), F.col("point").alias("next"))
     chained = members.join(after, "place").filter("key = k AND point != next").select(*_pair("point", "next"))
-    chained = store(chained.distinct(), "copies-pairs")
-    sets = _sets(texts, chained)
+    chained = store(likely(chained.distinct(), points), "copies-pairs")
+    sets = _sets(texts, members.select(F.col("point").alias("a"), F.col("point").alias("b")).distinct())
     near = store(verified(chained, sets, jaccard).union(_simhash_links(found)), "copies-links")
     roots = store(components(near), "copies-roots")
-    rooted = members.select("key", "point").join(roots, F.col("point") == F.col("node"), "left").select(
-        "key", "point", F.coalesce("root", "point").alias("root")
+    rooted = members.select("key", "n", "point").join(roots, F.col("point") == F.col("node"), "left").select(
+        "key", "n", "point", F.coalesce("root", "point").alias("root")
     )
     apart = rooted.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("x")).filter("m != x")
     rooted = store(rooted.join(apart.select("key"), "key"), "copies-apart")
-    other = rooted.select("key", F.col("point").alias("next"), F.col("root").alias("r"))
-    crossed = rooted.join(other, "key").filter("root < r").select(*_pair("point", "next")).distinct()
-    more = verified(crossed.join(chained, ["a", "b"], "left_anti"), sets, jaccard)
-    roots = components(near.union(more))
+    small = rooted.filter(F.col("n") <= BUCKET)
+    other = small.select("key", F.col("point").alias("next"), F.col("root").alias("r"))
+    crossed = small.join(other, "key").filter("root < r").select(*_pair("point", "next")).distinct()
+    more = verified(store(likely(crossed, points), "copies-pairs"), sets, jaccard)
+    most = _links_of_large_keys(rooted.filter(F.col("n") > BUCKET), sets, jaccard)
+    roots = components(near.union(more).union(most))
     return found.select("id", "mark", "point").join(roots, F.col("point") == F.col("node"), "left").select(
         "id", "mark", "point", F.coalesce("root", "point").alias("root")
     )

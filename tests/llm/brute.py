@@ -141,3 +141,19 @@ def overlaps(text, item):
         ]
         best = max(best, max(sum(agree[i : i + window]) for i in range(len(wanted) - window + 1)))
     return best if best >= math.ceil(0.8 * window - 1e-9) else None
+
+
+def copies(texts):
+    """Least id linked to each by SimHashes within two bits, or a five-word Jaccard of 0.8."""
+    prints, sets = {i: fingerprint(t) for i, t in texts.items()}, {}
+    for i, t in texts.items():
+        words = split(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+    def linked(a, b):
+        x, y = sets[a], sets[b]
+        if x and 0.8 * max(len(x), len(y)) <= min(len(x), len(y)) and len(x & y) >= 0.8 * len(x | y) - 1e-9:
+            return True
+        return bin(prints[a] ^ prints[b]).count("1") <= 2
+
+    return connected(sorted(texts), linked)
