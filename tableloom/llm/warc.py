@@ -118,7 +118,7 @@ def _writer(folder: str, date: str):
         size = captures = 0
         with system.open_output_stream(own, compression=None) as file:
             about = record_id("warcinfo", context.partitionId(), "", 0)
-            start = record("warcinfo", about, date, _fields([("format", VERSION)]), Content_Type=FIELDS)
+            start = record("warcinfo", about, date, _fields([("format", "WARC File Format 1.1")]), Content_Type=FIELDS)
             file.write(start)
             size += len(start)
             for batch in slices(batches, 64):

@@ -8,6 +8,7 @@ import brute
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -68,6 +69,14 @@ def test_secret_spans_and_masks(spark):
         assert r["n_chars"] == (None if text is None else len(r["text"]))
 
 
+def test_filler_clears_no_long_blob(spark):
+    chance = random.Random(5)
+    blob = "".join(chance.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(200))
+    rows = [(1, blob), (2, blob + "A" * 8), (3, blob + "sample"), (4, "EXAMPLE" + blob[:40]), (5, "A" * 8 + blob[:40])]
+    found = {r["id"]: len(r["spans"]) for r in secret_scan.scan(brute.table(spark, rows)).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 0, 5: 0}
+
+
 def test_secret_blob_longer_than_a_piece(spark):
     quiet = "ab" * 4000
     loud = quiet[:-30] + "q7Wn3Zk9Lm2Xv8Bt5Rj1Hc6"
@@ -138,9 +147,7 @@ def test_without_labels_only_the_base_rule_rejects(spark, docs):
 
 @pytest.fixture(scope="module")
 def word_tokenizer():
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
 
 
 def word_ids(tokenizer, text):
@@ -150,7 +157,7 @@ def word_ids(tokenizer, text):
 def test_token_files_round_trip(spark, docs, word_tokenizer):
     chance = random.Random(3)
     bits = ["a", "B", "é", " ", "\n", "1", "22", "!", "'s", "'S", "don't", "rock',", "ñandú", "é",
-            " ́", "<|endoftext|>", "\x1c", "中", " ", "İ", "ẞ", "\x85", "word,!!", "“x”,", "K"]
+            " ́", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "\x1c", "中", " ", "İ", "ẞ", "\x85", "word,!!", "“x”,", "K"]
     rows = [(i, "".join(chance.choice(bits) for _ in range(chance.randint(0, 60)))) for i in range(200)]
     rows += [(1000 + i, t) for i, t in enumerate(TEXTS)] + [(1007, TEXTS[7])]
     frame = brute.table(spark, rows).repartition(6)
@@ -167,6 +174,15 @@ def test_token_files_round_trip(spark, docs, word_tokenizer):
             start += len(want)
 
 
+def test_special_strings_are_the_libraries_own(word_tokenizer):
+    with open(public_tokenizers.path(token_files.VOCABULARY), encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read(), 2)
+    texts = ["one <|endoftext|> two", "A<|endoftext|>b<|EndOfText|>", "<|startoftext|><|endoftext|>", "<|end oftext|>"]
+    found = [np.frombuffer(d, "<u2").tolist() for d in encoder.texts(texts)]
+    assert found == [word_ids(word_tokenizer, x)[:-1] for x in texts]
+    assert found[0] == [637, 49407, 1237]
+
+
 def test_damaged_token_file_is_an_error(spark):
     frame = brute.table(spark, [(1, "some words here"), (2, "and more")])
     files = token_files.write_tokens(frame, new_folder(spark, "token-files"), files=1)
@@ -195,6 +211,17 @@ def test_masks_miss_nothing():
         assert decontaminate.lossless(decontaminate.masks_for(words), words), words
 
 
+def test_repetitive_texts_and_items():
+    chance, few = random.Random(1), "a b c d e".split()
+    items = [(i, " ".join(chance.choice(few) if i % 2 else "a" for _ in range(chance.randint(5, 50)))) for i in range(10)]
+    texts = [" ".join(chance.choice(few) for _ in range(chance.randint(0, 120))) for _ in range(20)] + ["a " * 90, "a b " * 40]
+    block = decontaminate.Block(*decontaminate.block_of(items))
+    got = {(t, block.ids[i]): n for t, i, n, _, _ in block.find(pa.array(texts))}
+    assert got == {(t, i): n for t, x in enumerate(texts) for i, y in items if (n := brute.overlaps(x, y)) is not None}
+    block = decontaminate.Block(*decontaminate.block_of([(1, "word " * 1000)]))
+    assert list(block.find(pa.array(["word " * 100_000, "other " * 50]))) == [(0, 0, 20, 20, 0)]
+
+
 @pytest.mark.parametrize("block_words", [30, 1_000_000])
 def test_overlaps(spark, block_words):
     items = [(i, brute.prose(n, 100 + i)) for i, n in enumerate([5, 6, 9, 12, 17, 19, 20, 33, 60])]
@@ -266,7 +293,7 @@ def test_fitting_rows_drop_only_near_copies_of_their_label(spark):
     gone = {100 + i for i in range(3) if {i, 100 + i} <= learnt}
     assert gone
     label = {i: t for i, _, t in marks}
-    assert Counter((r["text"], r["toxic"]) for r in fit.collect()) == Counter(
+    assert Counter((bytes(r["text"]).decode(), r["toxic"]) for r in fit.collect()) == Counter(
         (t, label[i]) for i, t in rows if i in learnt - gone
     )
 
@@ -287,7 +314,7 @@ def bpe():
 
 def test_chunks_are_encoded_as_whole_texts(spark, bpe):
     chance = random.Random(3)
-    bits = ["a", "B", "é", " ", "  ", "\n", " \n", "1", "22", "!", "'s", "\t", "ñandú", "<|endoftext|>", "\x1c", "中", " "]
+    bits = ["a", "B", "é", " ", "  ", "\n", " \n", "1", "22", "!", "'s", "\t", "ñandú", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "\x1c", "中", " "]
     made = ["".join(chance.choice(bits) for _ in range(chance.randint(0, 500))) for _ in range(150)]
     rows = list(enumerate(made + TEXTS + [" " * 300 + "b", "word " * 200 + "z" * 200 + " end", "\n \n" * 90]))
     frame = brute.table(spark, rows + [(3, rows[3][1]), (None, "z" * 500)]).repartition(4)
@@ -357,15 +384,6 @@ def test_components_of_a_long_chain(spark):
     )
 
 
-def test_one_document_of_each_group_stays(docs):
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    groups = simhash.near_duplicates(docs).filter("id IS NOT NULL").collect()
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({r["component"] for r in groups})
-    assert ids.count(None) == 2
-
-
 def shingle_set(text):
     words = brute.split(text)
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
@@ -407,6 +425,30 @@ def test_stage_keeps_one_of_near_copies(spark):
     assert len({r["component"] for r in simhash.near_duplicates(docs).collect()}) > len(set(want.values())) + 10
 
 
+@pytest.mark.parametrize("bucket, block", [(near_copies.BUCKET, near_copies.BLOCK), (4, 16)])
+def test_family_of_near_copies(spark, monkeypatch, bucket, block):
+    """Edited copies of one text, many of them less than 0.8 alike, in keys of all sizes."""
+    monkeypatch.setattr(near_copies, "BUCKET", bucket)
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    chance = random.Random(3)
+    base = [f"{chance.choice(brute.WORDS)}{chance.randint(0, 99)}" for _ in range(150)]
+    made = {}
+    for i in range(160):
+        words = list(base)
+        for _ in range(chance.randint(0, 9)):
+            words[chance.randrange(len(words))] = f"x{chance.randint(0, 10**6)}"
+        made[i] = " ".join(words)
+    made |= {i: brute.prose(60, i) for i in range(160, 180)}
+    found = near_copies.copies(brute.table(spark, list(made.items())).repartition(6)).collect()
+    groups, want = {}, {}
+    for r in found:
+        groups.setdefault(r["root"], set()).add(r["id"])
+    for i, root in brute.copies(made).items():
+        want.setdefault(root, set()).add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert 10 < max(map(len, want.values())) < 160
+
+
 def test_stage_does_not_mix_up_texts_that_share_an_id(spark):
     first, second = brute.prose(40, 1), brute.prose(40, 2)
     rows = [(5, second), (5, first), (5, first), (3, first)]
@@ -474,6 +516,16 @@ def test_pseudonyms_keep_forms_and_links(spark):
     assert other[5]["text"] != text[6]
 
 
+def test_long_addresses(spark):
+    """Names and domains of any length, in texts without end."""
+    long = ["x a@" + "b." * 200_000 + "com y", "a@b." * 50_000, "b." * 200_000 + "@c.de", "x@" + "y" * 300_000 + ".org z"]
+    changed = pseudonyms.pseudonymise(brute.table(spark, list(enumerate(long))), "k").collect()
+    text = {r["row"]["doc_id"]: r["row"]["text"] for r in changed}
+    assert [len(text[i]) for i in range(4)] == list(map(len, long))
+    assert text[0].endswith(long[0][3:]) and text[0][:3] != long[0][:3]
+    assert text[3].endswith(long[3][1:]) and text[1] == long[1]
+
+
 def test_networks_are_permutations(spark):
     numbers = spark.range(97 * 11)
     pairs = numbers.select(
@@ -490,7 +542,7 @@ def test_networks_are_permutations(spark):
 
 
 def test_unpersonal_texts_stay(docs):
-    changed = pseudonyms.pseudonymise(docs)
+    changed = pseudonyms.pseudonymise(docs, "k")
     assert Counter(r["row"]["text"] for r in changed.collect()) == Counter(t for _, t in ROWS)
 
 
@@ -504,8 +556,8 @@ def test_empty_tables(spark, empty):
         quality.quality(empty, none), quality.keep_good(empty, none),
         decontaminate.contaminated(empty, benchmark), decontaminate.keep_clean(empty, benchmark),
         toxicity.toxicity(empty, none), byte_bpe.decode(byte_bpe.encode(empty)),
-        simhash.near_duplicates(empty), simhash.keep_one(empty), sharding.shard(empty),
-        pseudonyms.pseudonymise(empty),
+        simhash.near_duplicates(empty), near_copies.keep_one(empty), sharding.shard(empty),
+        pseudonyms.pseudonymise(empty, "k"),
     ]
     assert [r.count() for r in results] == [0] * len(results)
     files = token_files.write_tokens(empty, new_folder(spark, "token-files"), files=2)
