@@ -322,6 +322,13 @@ for _function in ("avg", "sum", "min", "max", "count"):
     )
 
 
+for _function in ("min", "max"):  # frames longer than most groups, and than the parts of split ones
+    _register_rolling(f"rolling_{_function}_long", _function, ["event_type"], 10_000)
+    _register_rolling(
+        f"rolling_{_function}_long_split", _function, ["event_type"], 700, group_rows=SMALL_GROUP
+    )
+
+
 # --- sorting --------------------------------------------------------------------
 
 

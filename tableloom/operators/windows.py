@@ -37,6 +37,9 @@ _CALL = re.compile(r"\s*(?P<fn>\w+)\s*(\(\s*(?P<arg>\w+)\s*(,\s*(?P<n>\d+)\s*)?\
 SUM_ROWS = 256
 """Rows of a group whose running sum is taken by itself. Part of the arithmetic."""
 
+LONG_FRAME = 64
+"""Rows of a frame up to which its least and greatest value are searched row by row."""
+
 _SLICE, _PLACE, _BLOCK, _HALO, _RUN = "__slice", "__place", "__block", "__halo", "__run"
 
 
@@ -64,6 +67,10 @@ class Call:
     def running(self) -> bool:
         return self.kind in ("rank", "dense_rank", "sum")
 
+    @property
+    def long_extreme(self) -> bool:
+        return self.kind in ("rolling_min", "rolling_max") and self.size > LONG_FRAME
+
     def over(self, window) -> Column:
         """The plain Spark form."""
         if self.kind in RANKINGS:
@@ -199,6 +206,12 @@ def _added(here: Column, earlier: Column) -> Column:
 
 
 def _plain(df, keys, orders, calls) -> DataFrame:
+    long = {a: c for a, c in calls.items() if c.long_extreme}
+    if long:
+        others = {a: c for a, c in calls.items() if a not in long}
+        base = _plain(df, keys, orders, others) if others else df
+        found = _with_extremes(base, [quoted(k) for k in keys], sort_columns(orders), long)
+        return found.select(*[quoted(c) for c in df.columns], *map(quoted, calls))
     window = Window.partitionBy(*map(quoted, keys)).orderBy(*sort_columns(orders))
     sums = {a: c for a, c in calls.items() if _inexact(df, c)}
     rest = {a: c.over(window) for a, c in calls.items() if a not in sums}
@@ -229,6 +242,32 @@ def _plain(df, keys, orders, calls) -> DataFrame:
     )
 
 
+def _with_extremes(df, columns: list[Column], order: list[Column], calls) -> DataFrame:
+    """``df`` plus rolling least and greatest values, whose cost does not grow with the frame.
+
+    Rows are cut into pieces as long as the frame. A frame is then the end of one
+    piece and the start of the next: the least value from its first row to the end
+    of that piece, and from the start of the next piece to its last row.
+    """
+    placed = df.withColumn("__row", F.row_number().over(Window.partitionBy(*columns).orderBy(*order)) - 1)
+    by_row = Window.partitionBy(*columns).orderBy("__row")
+    for alias, call in calls.items():
+        least = call.kind == "rolling_min"
+        aggregate, either = (F.min, F.least) if least else (F.max, F.greatest)
+        piece = F.floor(F.col("__row") / call.size)
+        inside = Window.partitionBy(*columns, piece)
+        ahead, back = (
+            aggregate(quoted(call.column)).over(inside.orderBy(o).rowsBetween(Window.unboundedPreceding, 0))
+            for o in (F.asc("__row"), F.desc("__row"))
+        )
+        placed = (
+            placed.withColumns({"__ahead": ahead, "__back": back})
+            .withColumn(alias, either("__ahead", F.lag("__back", call.size - 1).over(by_row)))
+            .drop("__ahead", "__back")
+        )
+    return placed.drop("__row")
+
+
 def _numbered(df, keys, orders, rows, group_rows) -> DataFrame:
     """``df`` plus each row's place (1, 2, ...) in its group, over many tasks."""
     hashable = [
@@ -363,9 +402,14 @@ def _blocked(df, keys, orders, calls, rows, group_rows) -> DataFrame:
         )
     so_far = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     real = ~F.col(_HALO)
+    long = {a: c for a, c in calls.items() if c.long_extreme}
+    if long:
+        spread = _with_extremes(spread, [*names, F.col(_BLOCK)], [F.asc(_PLACE)], long)
     columns = {}
     for alias, call in calls.items():
-        if call.kind == "row_number":
+        if alias in long:
+            columns[alias] = quoted(alias)
+        elif call.kind == "row_number":
             columns[alias] = F.col(_PLACE)
         elif call.kind == "rank":
             columns[alias] = F.max(F.when(real & F.col("__new"), F.col(_PLACE))).over(so_far)

@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tableloom.operators import windows
 from tableloom.operators.windows import as_call, rolling_aggregation, window_functions
 
 ALL = {
@@ -132,3 +133,24 @@ def test_lists_are_read_like_tuples(spark):
     assert {r["t"]: r["x"] for r in listed.collect()} == {2: None, 1: 7}
     rolled = rolling_aggregation(frame, ["a.b"], ["t", "desc"], 2, "v", "sum")
     assert {r["t"]: r["rolling_sum_2"] for r in rolled.collect()} == {2: 7, 1: 12}
+
+
+@pytest.mark.parametrize("group_rows", [1_000_000, 100])
+def test_long_frames_against_short_ones(spark, monkeypatch, group_rows):
+    """Frames longer than groups and pieces; NULL, NaN and text among the values."""
+    df = spark.range(900).select(
+        "id",
+        (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 7 == 0, None)
+        .when(F.col("id") % 101 == 0, float("nan"))
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double"))
+        .alias("x"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.hex(F.xxhash64("id"))).alias("t"),
+    )
+    for column, function, size in (("x", "min", 65), ("x", "max", 130), ("t", "min", 500), ("t", "max", 70)):
+        def rolled(limit):
+            monkeypatch.setattr(windows, "LONG_FRAME", limit)
+            found = windows.rolling_aggregation(df, ["g"], "id", size, column, function, group_rows=group_rows)
+            return sorted(map(repr, found.collect()))
+
+        assert rolled(64) == rolled(10_000)
