@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import known, quoted, require
+from ..functions.expressions import cell_digests, known, quoted, require
 from .quantiles import exact_quantiles, sketched
 
 # Function name -> (Spark function, suffix of the result column).
@@ -172,8 +172,18 @@ def distinct_counts(
 ) -> DataFrame:
     """One row with ``<column>_distinct`` per column; NULL is not counted."""
     require(df, columns)
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(quoted(c)).alias(f"{c}_distinct") for c in columns])
+    names = list(columns)
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(quoted(c)).alias(f"{c}_distinct") for c in names])
+    # Grouped digests of the cells, counted per column: no row is repeated per aggregate.
+    values = cell_digests(df, names).filter("a IS NOT NULL").distinct()
+    counted = values.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("cell") == i, F.col("n"))), F.lit(0)).alias(f"{c}_distinct")
+            for i, c in enumerate(names)
+        ]
+    )
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import quoted, value_text, values_long
+from ..functions.expressions import cell_digests, quoted, value_digest
 from ..functions.sizing import plan_bytes
 from .sorting import head
 
@@ -54,22 +54,37 @@ def null_profile(df: DataFrame, only_nulls: bool = True) -> DataFrame:
     return profile.orderBy(F.desc("null_percentage"), "column")
 
 
-def _digest(df: DataFrame) -> Column:
-    """256 bits that are equal exactly when two rows are."""
-    parts = []
-    for f in df.schema.fields:
-        text = value_text(quoted(f.name), f.dataType)
-        # The length tells where a value ends, a dash that there is none.
-        parts.append(F.coalesce(F.concat(F.octet_length(text), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+MASK_COLUMNS = 60
+"""Columns whose NULLs are noted in one number."""
+
+
+def _row_groups(df: DataFrame) -> DataFrame:
+    """Equal rows as one: how often they occur (``copies``), and their NULLs as bits (``nulls0``, ...).
+
+    Rows are told apart by 128 bits of the columns' digests and their NULLs; these
+    numbers alone are shuffled.
+    """
+    digests = [value_digest(quoted(f.name), f.dataType) for f in df.schema.fields]
+    masks = []
+    for start in range(0, len(df.columns), MASK_COLUMNS):
+        bits = [
+            F.when(quoted(c).isNull(), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            for i, c in enumerate(df.columns[start : start + MASK_COLUMNS])
+        ]
+        masks.append(reduce(lambda x, y: x.bitwiseOR(y), bits).alias(f"nulls{len(masks)}"))
+    narrow = df.select(
+        F.xxhash64(*[a for a, _ in digests]).alias("a"), F.xxhash64(F.lit(3), *[b for _, b in digests]).alias("b"), *masks
+    )
+    return narrow.groupBy("a", "b", *[f"nulls{i}" for i in range(len(masks))]).agg(
+        F.count(F.lit(1)).alias("copies")
+    )
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row, and their share; digests are shuffled, not rows."""
-    copies = df.groupBy(_digest(df).alias("__row")).agg(F.count(F.lit(1)).alias("__copies"))
-    return copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_count"),
+    return _row_groups(df).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_count"),
     ).withColumn(
         "duplicate_percentage",
         _share(F.col("duplicate_count"), F.col("total_rows"), 2),
@@ -86,9 +101,10 @@ def type_distribution(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Nulls, distinct values, completeness and uniqueness per column.
 
-    NULL counts as one distinct value. The exact form groups (column, value)
+    NULL counts as one distinct value. The exact form groups (column, digest)
     cells before it counts them, so no column is expanded per distinct
-    aggregate; the approximate form is a single pass without that shuffle.
+    aggregate and no value is shuffled; the approximate form is a single pass
+    without that shuffle.
     """
     if approximate:
         cells = F.array(
@@ -107,17 +123,16 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         )
         counted = df.agg(cells.alias("cells")).select(F.inline("cells"))
     else:
-        values = (
-            values_long(df)
-            .groupBy("column", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        counted = values.groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias(
-                "null_count"
-            ),
-            F.count(F.lit(1)).alias("distinct_count"),
+        values = cell_digests(df, df.columns).groupBy("cell", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+        names = F.array(*[F.lit(c) for c in df.columns])
+        counted = (
+            values.groupBy("cell")
+            .agg(
+                F.sum("n").alias("rows"),
+                F.coalesce(F.sum(F.when(F.col("a").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+                F.count(F.lit(1)).alias("distinct_count"),
+            )
+            .withColumn("column", F.get(names, F.col("cell")))
         )
     return counted.select(
         "column",
@@ -192,14 +207,30 @@ def schema_samples(df: DataFrame) -> DataFrame:
 def assess(df: DataFrame) -> DataFrame:
     """The full assessment as one row: shape, duplicates, nulls, types.
 
-    Rows and nulls are counted where they are read; to find duplicates, only
-    digests of the rows are shuffled.
+    One scan and one grouping give all of it: equal rows have equal NULLs, so
+    these are counted beside the duplicates, from digests of the rows.
     """
-    copies = duplicate_rows(df).select("duplicate_count")
-    counted = (
-        _null_counts(df)
-        .withColumnRenamed("rows", "total_rows")
-        .withColumn("duplicate_count", copies.scalar())
+    nulls = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.coalesce(
+                    F.sum(
+                        F.when(
+                            F.col(f"nulls{i // MASK_COLUMNS}").bitwiseAND(F.lit(1 << i % MASK_COLUMNS).cast("bigint")) != 0,
+                            F.col("copies"),
+                        )
+                    ),
+                    F.lit(0),
+                ).alias("null_count"),
+            )
+            for i, c in enumerate(df.columns)
+        ]
+    )
+    counted = _row_groups(df).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_count"),
+        nulls.alias("nulls"),
     )
     ranked = F.array_sort(
         F.transform(
