@@ -94,6 +94,96 @@ def run_log_edges(spark, sf_dir):
     return edges.select(short("src"), short("dst"), "edge_type").join(F.broadcast(rows))
 
 
+@query(
+    "run_log_records",
+    """SELECT 'orders' AS name, 'source' AS node_type, NULL::BIGINT AS input_rows, NULL::BIGINT AS output_rows
+       UNION ALL SELECT 'orders_of_' || lower(o_orderstatus), 'sink',
+              (SELECT count(*) FROM orders), count(*) FROM orders GROUP BY o_orderstatus""",
+)
+def run_log_records(spark, sf_dir):
+    """Source, sinks and what every step recorded, of a run that splits a table by its values."""
+    workspace = _orders(spark, sf_dir)
+    values = [r[0] for r in table(spark, sf_dir, "orders").select("o_orderstatus").distinct().collect()]
+    steps = [
+        {
+            "inputs": ["orders"],
+            "operator": "filter",
+            "parameters": {"condition": f"o_orderstatus = '{v}'"},
+            "output": f"orders_of_{v.lower()}",
+        }
+        for v in values
+    ]
+    run_steps(workspace, steps, measure=True)
+    folder = new_folder(spark, "run-log")
+    for step in steps:
+        workspace.save(step["output"], f"{folder}/{step['output']}")
+    workspace.log.export(spark, f"{folder}/log")
+    logged = read_provenance(spark, [f"{folder}/log"])
+    recorded = logged["transformations"].select(
+        F.col("output_table").alias("name"),
+        *[F.col("metadata")[n].cast("bigint").alias(n) for n in ("input_rows", "output_rows")],
+    )
+    nodes = g.typed_names(logged).filter("node_type != 'transformation'")
+    return nodes.join(recorded, "name", "left").select("name", "node_type", "input_rows", "output_rows")
+
+
+@query(
+    "load_records",
+    """SELECT 'part' AS name, 'csv' AS type, true AS degraded, count(*) AS "rows",
+              (SELECT count(*) FROM information_schema.columns WHERE table_name = 'part') AS columns FROM part
+       UNION ALL SELECT 'customer', 'json', false, count(*),
+              (SELECT count(*) FROM information_schema.columns WHERE table_name = 'customer') FROM customer
+       UNION ALL SELECT 'orders', 'parquet', false, count(*),
+              (SELECT count(*) FROM information_schema.columns WHERE table_name = 'orders') FROM orders""",
+)
+def load_records(spark, sf_dir):
+    """What a load records of its sources: kind, schema, rows, and which were read as text.
+
+    The CSV files are read with a setting for typed columns that Spark refuses.
+    """
+    folder = new_folder(spark, "catalogue")
+    kinds = {"part": "csv", "customer": "json", "orders": "parquet"}
+    for name, kind in kinds.items():
+        w.write_table(table(spark, sf_dir, name), f"{folder}/{name}", kind)
+    workspace = Workspace(spark)
+    catalogue = {n: {"path": f"/{n}", "format": k} for n, k in kinds.items()}
+    catalogue["part"]["schema"] = "not a schema ("
+    workspace.load_all(catalogue, folder)
+    rows = [(n, n in workspace.degraded, workspace.rows(n)) for n in kinds]
+    found = spark.createDataFrame(rows, "name string, degraded boolean, rows bigint")
+    return workspace.log.tables(spark)["data_sources"].select(
+        "name", "type", F.size("schema").cast("bigint").alias("columns")
+    ).join(found, "name")
+
+
+@query(
+    "dataset_information",
+    """SELECT 'shape' AS part, 'total_rows' AS name, count(*)::VARCHAR AS value FROM orders
+       UNION ALL SELECT 'shape', 'total_columns', '3'
+       UNION ALL SELECT 'schema', column_name, CASE data_type WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END
+       FROM information_schema.columns
+       WHERE table_name = 'orders' AND column_name IN ('o_orderkey', 'o_custkey', 'o_orderstatus')
+       UNION ALL (SELECT 'preview', o_orderkey::VARCHAR, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 5)""",
+)
+def dataset_information(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    info = q.dataset_info(sort_rows(orders, ["o_orderkey"]))
+    shape = info["shape"].select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in info["shape"].columns]
+            )
+        )
+    )
+    parts = {
+        "shape": shape,
+        "schema": info["schema"].select(F.col("column").alias("name"), F.col("data_type").alias("value")),
+        "preview": info["preview"].select(F.col("o_orderkey").cast("string"), "o_orderstatus"),
+    }
+    named = [df.toDF("name", "value").select(F.lit(p).alias("part"), "name", "value") for p, df in parts.items()]
+    return named[0].union(named[1]).union(named[2])
+
+
 # --- files in other dialects --------------------------------------------------------
 
 _CUSTOMERS_SQL = """

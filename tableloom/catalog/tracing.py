@@ -495,6 +495,21 @@ def run_statistics(spark, sf_dir):
     )
 
 
+@query(
+    "step_timing_order",
+    _STEP_ROWS + "SELECT step, transformation, true AS timed, rows_in AS input_rows FROM run",
+)
+def step_timing_order(spark, sf_dir):
+    """Every measured step has a time, and a rate that agrees with it and its rows."""
+    steps = _run(spark, sf_dir).steps()
+    timed = st.step_timing(steps).join(steps.select("step", "input_rows"), "step")
+    rate = F.round(F.col("input_rows") * 1000.0 / F.col("elapsed_ms"), 1)
+    right = (F.col("elapsed_ms") >= 0) & F.when(
+        F.col("elapsed_ms") > 0, F.col("rows_per_second") == rate
+    ).otherwise(F.col("rows_per_second").isNull())
+    return timed.select("step", "transformation", right.alias("timed"), "input_rows")
+
+
 @query("step_timing")
 def step_timing(spark, sf_dir):
     return st.step_timing(_run(spark, sf_dir).steps())
