@@ -1,22 +1,25 @@
 """License scans: MinHash bands over overlapping windows, then exact containment.
 
-Texts and templates are words in lower case, taken five at a time. A window is
-``WINDOW`` successive shingles (all of a template with fewer), one starting at
-every shingle; a band is the least of a window's shingles under one hash.
-
-Why the bands miss nothing that counts: a template of T shingles is found if 0.8
-of them are in the text. One changed, added or missing word inside it costs at
-least four, so for T of at least five, few enough can be missing only if some
-four in a row are left; for T of four or less none may be missing. The window of
-these is in the text just as in the template, and equal windows have equal
-bands. For unequal windows a band agrees with the probability of their Jaccard
-similarity.
+Texts and templates are words in lower case, taken five at a time. A window is a
+number of successive shingles, one starting at every shingle; a band is the least
+of a window's shingles under one hash.
+
+Windows are as wide as the longest run that must be left of a template, and no
+wider than ``WINDOW``: of T shingles at most m = T - 0.8 T may be missing, which
+cut the others into m + 1 runs, and one of these has (T - m) / (m + 1) or more. Where
+the text holds that run as the template does, the window is the same in both, and
+equal windows have equal bands. For unequal windows a band agrees with the
+probability of their Jaccard similarity; on that alone depend texts that hold a
+template's shingles apart from one another and in no run.
 
 The templates are a parameter, small enough to be part of the plan.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +86,14 @@ def _bands(shingles: Column, width: int, band: int) -> Column:
     return let(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(band))), least)
 
 
-def _template_rows(spark, templates: dict[str, str], window: int, bands: int) -> list:
+def width_for(shingles: list[str], window: int, containment: float) -> int:
+    """Shingles in a row that a text with ``containment`` of them must have kept."""
+    often = sorted(Counter(shingles).values(), reverse=True)
+    missing = sum(often[: len(often) - ceil(containment * len(often) - 1e-9)])
+    return max(1, min(window, -(-(len(shingles) - missing) // (missing + 1))))
+
+
+def _template_rows(spark, templates: dict[str, str], window: int, bands: int, containment: float) -> list:
     """Per template: name, shingles, window width, and its windows' band values."""
     rows = spark.createDataFrame(sorted(templates.items()), "name string, text string")
     words = _words(F.col("text"))
@@ -92,15 +102,17 @@ def _template_rows(spark, templates: dict[str, str], window: int, bands: int) ->
         let(words, _shingles).alias("shingles"),
         let(words, _shingle_hashes).alias("hashes"),
     ).filter(F.size("shingles") > 0)
+    widths: dict[int, list[str]] = {}
+    for r in found.select("name", "shingles").collect():
+        widths.setdefault(width_for(r["shingles"], window, containment), []).append(r["name"])
     result = []
-    for width in range(1, window + 1):
-        fits = F.size("hashes") >= window if width == window else F.size("hashes") == width
+    for width, names in sorted(widths.items()):
         whole = F.size("hashes") - width + 1
         keys = [
             F.slice(_bands(F.col("hashes"), width, band), 1, whole).alias(f"b{band}")
             for band in range(bands)
         ]
-        for r in found.filter(fits).select("name", "shingles", *keys).collect():
+        for r in found.filter(F.col("name").isin(names)).select("name", "shingles", *keys).collect():
             result.append((r["name"], list(r["shingles"]), width, [list(r[f"b{b}"]) for b in range(bands)]))
     return sorted(result)
 
@@ -122,7 +134,7 @@ def licenses(
     error; repeated rows give repeated results; other columns are not read.
     """
     known = TEMPLATES if templates is None else templates
-    held = _template_rows(docs.sparkSession, known, window, bands)
+    held = _template_rows(docs.sparkSession, known, window, bands, containment)
     if len(held) < len(known):
         raise ValueError(f"templates need at least {SHINGLE_WORDS} words")
     schema = "id long, license string, containment double, first_word long"

@@ -106,6 +106,20 @@ def test_licenses(spark, docs):
     assert got == want and len(got) > 50
 
 
+def test_licenses_in_overlapping_runs(spark):
+    """Templates that are in a text as two runs which share words, so that shingles between are missing."""
+    templates, made = {}, []
+    for n in range(9, 25):
+        words = [f"w{n}x{i}" for i in range(n)]
+        templates[f"t{n}"] = " ".join(words)
+        for cut in range(5, n):
+            for back in range(1, 5):
+                made.append((len(made), " ".join(["pre", *words[:cut], "x", *words[cut - back :], "post"])))
+    got = Counter(tuple(r) for r in licenses.licenses(brute.table(spark, made), templates).collect())
+    want = Counter((i, name, *found) for i, t in made for name, found in brute.contained(t, templates).items())
+    assert got == want and len(got) > 300
+
+
 def test_license_templates_must_be_long_enough(docs):
     with pytest.raises(ValueError):
         licenses.licenses(docs, {"short": "MIT License"}).count()
