@@ -2,13 +2,14 @@
 
 The first pass counts in how many documents of its language each term occurs;
 this exact count decides which terms are kept. Kept terms are cut by a hash into
-shards of some ``SHARD_TERMS``, and each shard gets a minimal perfect hash: a
-cascade of bit maps, in which a term's slot is the number of bits before its own.
-A shard also holds its terms by slot, so a look-up is verified by the term itself.
+shards, and each shard gets a minimal perfect hash: a cascade of bit maps, in which
+a term's slot is the number of bits before its own. A shard also holds its terms by
+slot, so a look-up is verified by the term itself.
 
-The second pass counts again, now into dense arrays of slots, one for each
-(language, source) group. Shards are broadcast ``BLOCK_BYTES`` at a time, with a
-pass over the documents for each block, and released after it.
+The second pass looks up the terms of a task's documents and sends on their slots
+and counts; for each (language, source) group and shard, one dense array of slots
+is incremented. Shards are broadcast ``BLOCK_BYTES`` at a time, with a pass over the
+documents for each block, and released after it.
 
 Shares are whole numbers (billionths); all arithmetic on them is exact.
 """
@@ -32,13 +33,13 @@ SMOOTHING = 1
 TOP = 200
 SCALE = 1_000_000_000
 
-SHARD_TERMS = 16_384
+SHARDS = 64
+"""Shards of each language's terms; more if they would pass ``SHARD_TERMS``."""
+SHARD_TERMS = 131_072
 BLOCK_BYTES = 64 << 20
 """Shards broadcast at a time."""
 HELD_TERMS = 400_000
-"""Terms (and looked-up slots) a task holds before it emits or forgets them."""
-HELD_SLOTS = 8 << 20
-"""Dense slots a task holds before it emits them."""
+"""Terms a task holds before it emits their counts."""
 SOURCE_BLOCK = 64
 """Sources compared with one another by a task at a time."""
 LEVELS = 24
@@ -150,86 +151,103 @@ def _hashed_shards(keys, rows):
     )
 
 
-class _Slots:
-    """One language's loaded shards as one run of slots."""
-
-    def __init__(self, shards: list[tuple[int, list[bytes], list[bytes]]], buckets: int):
-        self.buckets, self.known = buckets, {}
-        self.numbers = [number for number, _, _ in shards]
-        self.hashes = {number: PerfectHash(levels, keys) for number, levels, keys in shards}
-        sizes = [len(keys) for _, _, keys in shards]
-        self.starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        self.start = dict(zip(self.numbers, self.starts.tolist()))
-
-    def of(self, keys: list[bytes]) -> np.ndarray:
-        new = [k for k in keys if k not in self.known]
-        if len(self.known) + len(new) > HELD_TERMS:
-            self.known, new = {}, keys
-        hashes = _hashes(new)
-        # Spark's remainder is of the signed number.
-        bucket = np.mod(hashes.view(np.int64), self.buckets)
-        found = np.full(len(new), -1, np.int64)
-        for number in np.unique(bucket).tolist():
-            if number in self.hashes:
-                at = np.flatnonzero(bucket == number)
-                slots = self.hashes[number].slots([new[i] for i in at], hashes[at])
-                found[at] = np.where(slots < 0, -1, slots + self.start[number])
-        self.known.update(zip(new, found.tolist()))
-        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-
-    def rows(self, lang: str, source: str, counts: np.ndarray):
-        """The counts that are not zero, as one row per shard."""
-        for number, start, end in zip(self.numbers, self.starts[:-1], self.starts[1:]):
-            slots = np.flatnonzero(counts[start:end])
-            if len(slots):
-                yield lang, source, number, slots.astype(np.int32), counts[start:end][slots]
+def _slots_by_bucket(hashes: dict[int, PerfectHash], keys: list[bytes], buckets: int):
+    """Bucket and slot of each key, slot -1 for keys that no loaded shard holds."""
+    hashed = _hashes(keys)
+    bucket = np.mod(hashed.view(np.int64), buckets)  # Spark's remainder, of the signed number
+    slots = np.full(len(keys), -1, np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+    for start, end in zip(edges[:-1], edges[1:]):
+        at = order[start:end]
+        shard = hashes.get(int(bucket[at[0]]))
+        if shard is not None:
+            slots[at] = shard.slots([keys[i] for i in at], hashed[at])
+    return bucket, slots
+
+
+COUNTS = "lang string, source string, bucket long, slots array<int>, counts array<long>"
 
 
 def _recount(held, buckets: int):
     """``lang``, ``source``, ``text`` become counts by shard and slot (of some of the rows)."""
 
     def run(batches):
-        by_lang: dict[str, list] = {}
+        hashes: dict[str, dict[int, PerfectHash]] = {}
         for lang, number, levels, keys in held.value:
-            by_lang.setdefault(lang, []).append((number, levels, keys))
-        slots = {lang: _Slots(shards, buckets) for lang, shards in by_lang.items()}
-        dense: dict[tuple[str, str], np.ndarray] = {}
+            hashes.setdefault(lang, {})[number] = PerfectHash(levels, keys)
+        counters: dict[tuple[str, str], Counter] = {}
 
         def emitted():
-            rows = [r for (lang, source), counts in dense.items() for r in slots[lang].rows(lang, source, counts)]
-            dense.clear()
-            yield pa.record_batch(
-                [
-                    pa.array([r[0] for r in rows], pa.string()),
-                    pa.array([r[1] for r in rows], pa.string()),
-                    pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[3] for r in rows], pa.list_(pa.int32())),
-                    pa.array([r[4] for r in rows], pa.list_(pa.int64())),
-                ],
-                names=["lang", "source", "bucket", "slots", "counts"],
-            )
+            for lang in {g for g, _ in counters}:
+                own = {source: c for (g, source), c in counters.items() if g == lang}
+                keys = list(set().union(*own.values()))
+                bucket, slots = _slots_by_bucket(hashes[lang], keys, buckets)
+                place = dict(zip(keys, (bucket << 32 | slots).tolist()))
+                for source, counter in own.items():
+                    at = np.fromiter(map(place.__getitem__, counter), np.int64, len(counter))
+                    counts = np.fromiter(counter.values(), np.int64, len(counter))
+                    order = np.argsort(at)[np.count_nonzero(at < 0) :]  # not stored: below zero
+                    at, counts = at[order], counts[order]
+                    if len(at) == 0:
+                        continue
+                    number = at >> 32
+                    edges = np.flatnonzero(np.diff(number, prepend=-1, append=-1))
+                    yield pa.record_batch(
+                        [
+                            pa.array([lang] * (len(edges) - 1), pa.string()),
+                            pa.array([source] * (len(edges) - 1), pa.string()),
+                            pa.array(number[edges[:-1]], pa.int64()),
+                            _lists(edges, (at & 0xFFFFFFFF).astype(np.int32)),
+                            _lists(edges, counts),
+                        ],
+                        names=["lang", "source", "bucket", "slots", "counts"],
+                    )
+            counters.clear()
 
         for batch in slices(batches):
-            counters: dict[tuple[str, str], Counter] = {}
             columns = [batch.column(n).to_pylist() for n in ("lang", "source", "text")]
             for lang, source, text in zip(*columns):
-                if lang in slots:
+                if lang in hashes:
                     counter = counters.setdefault((lang, source), Counter())
                     for piece in terms(text):
                         counter.update(piece)
-            for (lang, source), counter in counters.items():
-                at = slots[lang].of(list(counter))
-                counts = np.fromiter(counter.values(), np.int64, len(counter))
-                size = int(slots[lang].starts[-1])
-                group = dense.setdefault((lang, source), np.zeros(size, np.int64))
-                group[at[at >= 0]] += counts[at >= 0]  # a term has one slot
-                if sum(map(len, dense.values())) > HELD_SLOTS:
-                    yield from emitted()
+            if sum(map(len, counters.values())) > HELD_TERMS:
+                yield from emitted()
         yield from emitted()
 
     return run
 
 
+def _lists(edges: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values))
+
+
+def _incremented(keys: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All counts of a group and shard, added up in one dense array."""
+    dense, total = np.zeros(0, np.int64), 0
+    for batch in batches:
+        slots = batch.column("slots").flatten().to_numpy(zero_copy_only=False)
+        counts = batch.column("counts").flatten().to_numpy(zero_copy_only=False)
+        if len(slots):
+            if slots.max() >= len(dense):
+                dense = np.concatenate([dense, np.zeros(int(slots.max()) + 1 - len(dense), np.int64)])
+            np.add.at(dense, slots, counts)
+            total += int(counts.sum())
+    slots = np.flatnonzero(dense)
+    yield pa.record_batch(
+        [
+            pa.array([keys[0].as_py()], pa.string()),
+            pa.array([keys[1].as_py()], pa.string()),
+            pa.array([keys[2].as_py()], pa.int64()),
+            pa.array([slots.astype(np.int32)], pa.list_(pa.int32())),
+            pa.array([dense[slots]], pa.list_(pa.int64())),
+            pa.array([total], pa.int64()),
+        ],
+        names=["lang", "source", "bucket", "slots", "counts", "n"],
+    )
+
+
 def _blocks(shards: DataFrame) -> Iterator[list[tuple]]:
     """The shards in blocks of bounded size, one block on the driver at a time."""
     size = F.aggregate("terms", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t) + 16)
@@ -248,39 +266,30 @@ def _blocks(shards: DataFrame) -> Iterator[list[tuple]]:
         ]
 
 
-def _share(count: str, total: str) -> str:
-    """SQL for a smoothed share in billionths; decimals, as the product can pass a long."""
-    return (
-        f"(1 + ((CAST({count} AS DECIMAL(19,0)) + {SMOOTHING}) * CAST({SCALE} AS DECIMAL(10,0)))"
-        f" div (CAST({total} AS DECIMAL(19,0)) + {SMOOTHING} * CAST(size AS DECIMAL(19,0))))"
-    )
+def shares(counts: np.ndarray, total: int, size: int) -> np.ndarray:
+    """``1 + floor(10^9 (count + 1) / (total + size))``, exactly."""
+    whole = total + SMOOTHING * size
+    above = counts + SMOOTHING
+    if whole >= 1 << 47:  # products would pass 64 bits
+        return np.array([1 + SCALE * int(c) // whole for c in above], np.int64)
+    first = above % whole * 31_250
+    return 1 + above // whole * SCALE + first // whole * 32_000 + first % whole * 32_000 // whole
 
 
-def _compared(keys, left, right):
-    """Sums of the differences between the sources of two blocks, over one shard."""
+def _dense(rows: list[dict]) -> np.ndarray:
+    """A line of shares for each group of a shard."""
+    lines = np.zeros((len(rows), rows[0]["terms"]), np.int64)
+    for line, r in zip(lines, rows):
+        if r["slots"]:
+            line[r["slots"]] = r["counts"]
+        line[:] = shares(line, r["total"], r["size"])
+    return lines
 
-    def dense(rows: pa.Table) -> tuple[list[str], np.ndarray]:
-        rows = rows.to_pylist()
-        shares = np.empty((len(rows), rows[0]["terms"] if rows else 0), np.int64)
-        for line, r in zip(shares, rows):
-            line[:] = r["least"]
-            line[r["slots"] or []] = r["shares"] or []
-        return [r["source"] for r in rows], shares
 
-    names, own = dense(left)
-    others, base = dense(right)
-    source, item, value = [], [], []
-    for name, line in zip(names, own):
-        apart = line - base
-        sums = (apart * apart // base).sum(axis=1) if len(others) else []
-        for other, total in zip(others, sums):
-            if other != name:
-                source.append(name)
-                item.append(other)
-                value.append(int(total))
+def _result(lang: str, source: list, item: list, value: list) -> pa.Table:
     return pa.table(
         {
-            "lang": pa.array([keys[0].as_py()] * len(source), pa.string()),
+            "lang": pa.array([lang] * len(source), pa.string()),
             "source": pa.array(source, pa.string()),
             "item": pa.array(item, pa.string()),
             "value": pa.array(value, pa.int64()),
@@ -288,6 +297,67 @@ def _compared(keys, left, right):
     )
 
 
+def _compared(keys, left, right):
+    """Sums of the differences between the sources of two blocks, over one shard."""
+    left, right = left.to_pylist(), right.to_pylist()
+    source, item, value = [], [], []
+    if left and right:
+        base = _dense(right)
+        for row, line in zip(left, _dense(left)):
+            apart = line - base
+            for other, total in zip(right, (apart * apart // base).sum(axis=1).tolist()):
+                if other["source"] != row["source"]:
+                    source.append(row["source"])
+                    item.append(other["source"])
+                    value.append(total)
+    return _result(keys[0].as_py(), source, item, value)
+
+
+def _above(top: int):
+    """The strongest terms of a block of sources, over one shard; no other can be in the result."""
+
+    def run(keys, left, right):
+        rows, whole = left.to_pylist(), right.to_pylist()
+        source, item, value = [], [], []
+        if rows and whole:
+            names = [bytes(t).decode("utf-8", "replace") for t in whole[0]["names"]]
+            encoded = [bytes(t) for t in whole[0]["names"]]
+            base = shares(np.array(whole[0]["counts"], np.int64), whole[0]["total"], whole[0]["size"])
+            for row, line in zip(rows, _dense(rows)):
+                apart = line - base
+                differ = apart * apart // base
+                seen = np.array(row["slots"] or [], np.int64)
+                seen = seen[apart[seen] > 0]
+                if len(seen) > top:  # those that tie with the last one stay in
+                    least = np.partition(differ[seen], len(seen) - top)[len(seen) - top]
+                    seen = seen[differ[seen] >= least]
+                best = sorted(seen.tolist(), key=lambda s: (-int(differ[s]), encoded[s]))[:top]
+                source += [row["source"]] * len(best)
+                item += [names[s] for s in best]
+                value += [int(differ[s]) for s in best]
+        return _result(keys[0].as_py(), source, item, value)
+
+    return run
+
+
+def _summed(keys: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's counts over all sources of the language, by slot."""
+    dense = None
+    for batch in batches:
+        if dense is None:
+            dense = np.zeros(batch.column("terms")[0].as_py(), np.int64)
+        slots, counts = batch.column("slots").flatten(), batch.column("counts").flatten()
+        np.add.at(dense, slots.to_numpy(zero_copy_only=False), counts.to_numpy(zero_copy_only=False))
+    yield pa.record_batch(
+        [
+            pa.array([keys[0].as_py()], pa.string()),
+            pa.array([keys[1].as_py()], pa.int64()),
+            pa.array([dense], pa.list_(pa.int64())),
+        ],
+        names=["lang", "bucket", "counts"],
+    )
+
+
 def divergence(
     docs: DataFrame,
     text: str = "text",
@@ -295,7 +365,7 @@ def divergence(
     source: str = "source",
     min_docs: int = MIN_DOCS,
     top: int = TOP,
-    shard_terms: int = SHARD_TERMS,
+    shards_each: int = SHARDS,
 ) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank`` of every group.
 
@@ -324,102 +394,81 @@ def divergence(
         "divergence-kept",
     )
     sizes = store(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "divergence-sizes")
-    buckets = -(-(sizes.agg(F.max("size")).first()[0] or 1) // shard_terms)
+    most = sizes.agg(F.max("size")).first()[0] or 1
+    buckets = max(shards_each, -(-most // SHARD_TERMS))
     shards = store(
         kept.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets).cast("long")))
         .groupBy("lang", "bucket")
         .applyInArrow(_hashed_shards, "lang string, bucket long, levels array<binary>, terms array<binary>"),
         "divergence-shards",
     )
-    parts = []
+    recounted = spark.createDataFrame([], COUNTS)
     for block in _blocks(shards):
         held = spark.sparkContext.broadcast(block)
-        parts.append(
-            store(
-                rows.mapInArrow(
-                    _recount(held, buckets), "lang string, source string, bucket long, slots array<int>, counts array<long>"
-                ),
-                "divergence-slots",
-            )
-        )
+        recounted = recounted.union(store(rows.mapInArrow(_recount(held, buckets), COUNTS), "divergence-slots"))
         held.unpersist()
-    recounted = parts[0] if parts else spark.createDataFrame(
-        [], "lang string, source string, bucket long, slots array<int>, counts array<long>"
-    )
-    for part in parts[1:]:
-        recounted = recounted.union(part)
     counts = store(
-        recounted.select("lang", "source", "bucket", F.explode(F.arrays_zip("slots", "counts")).alias("at"))
-        .groupBy("lang", "source", "bucket", F.col("at.slots").alias("slot"))
-        .agg(F.sum("at.counts").alias("n")),
+        recounted.groupBy("lang", "source", "bucket").applyInArrow(_incremented, f"{COUNTS}, n long"),
         "divergence-counts",
     )
     totals = store(
         groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
         .join(sizes, "lang", "left")
-        .fillna(0, ["total", "size"])
-        .withColumn("least", F.expr(f"CASE WHEN size > 0 THEN {_share('0', 'total')} END")),
+        .fillna(0, ["total", "size"]),
         "divergence-totals",
     )
-    shares = store(
-        counts.join(totals, ["lang", "source"]).withColumn("p", F.expr(_share("n", "total"))).drop("least", "total"),
-        "divergence-shares",
+    blocks = -(-(totals.groupBy("lang").count().agg(F.max("count")).first()[0] or 1) // SOURCE_BLOCK)
+    # Every group has a line in every shard of its language, with terms or without.
+    lines = store(
+        totals.join(shards.select("lang", "bucket", F.size("terms").alias("terms")), "lang")
+        .join(counts.drop("n"), ["lang", "source", "bucket"], "left")
+        .withColumn("i", F.pmod(F.xxhash64("source"), F.lit(blocks).cast("long"))),
+        "divergence-lines",
     )
-    return _terms(shares, totals, shards, top).union(_pairs(shares, totals, shards))
+    return _terms(lines, totals, shards, blocks, top).union(_pairs(lines, totals, blocks))
+
+
+RESULT = "lang string, source string, item string, value long"
 
 
-def _ranked() -> Window:
-    return Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
+def _every(blocks: int):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
 
 
-def _terms(shares: DataFrame, totals: DataFrame, shards: DataFrame, top: int) -> DataFrame:
-    whole = totals.groupBy("lang").agg(F.sum("total").alias("whole"))
-    names = shards.select("lang", "bucket", F.posexplode("terms").alias("slot", "term"))
-    keys = ["lang", "bucket", "slot"]
+def _ranked():
+    return F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item")))
+
+
+def _terms(lines: DataFrame, totals: DataFrame, shards: DataFrame, blocks: int, top: int) -> DataFrame:
+    found = lines.filter("slots IS NOT NULL")
+    sums = found.groupBy("lang", "bucket").applyInArrow(_summed, "lang string, bucket long, counts array<long>")
+    whole = totals.groupBy("lang").agg(F.sum("total").alias("total"), F.first("size").alias("size"))
     base = (
-        shares.groupBy(*keys, "size")
-        .agg(F.sum("n").alias("n"))
+        sums.join(shards.select("lang", "bucket", F.col("terms").alias("names")), ["lang", "bucket"])
         .join(whole, "lang")
-        .select(*keys, F.expr(_share("n", "whole")).alias("q"))
-        .join(names, keys)
+        .withColumn("i", _every(blocks))
     )
-    above = shares.join(base, keys).filter("p > q").select(
-        "lang", "source", F.col("term").cast("string").alias("item"), F.expr("(p - q) * (p - q) div q").alias("value")
-    )
-    ranked = above.withColumn("rank", F.row_number().over(_ranked())).filter(F.col("rank") <= top)
+    keys = ["lang", "bucket", "i"]
+    above = found.groupBy(*keys).cogroup(base.groupBy(*keys)).applyInArrow(_above(top), RESULT)
+    ranked = above.withColumn("rank", _ranked()).filter(F.col("rank") <= top)
     return ranked.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
 
 
-def _pairs(shares: DataFrame, totals: DataFrame, shards: DataFrame) -> DataFrame:
-    most = totals.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
-    blocks = -(-most // SOURCE_BLOCK)
-    lists = (
-        shares.groupBy("lang", "source", "bucket")
-        .agg(F.collect_list(F.struct("slot", "p")).alias("at"))  # a shard's slots at most
-        .select("lang", "source", "bucket", F.col("at.slot").alias("slots"), F.col("at.p").alias("shares"))
-    )
-    lines = store(
-        totals.select("lang", "source", "least")
-        .join(shards.select("lang", "bucket", F.size("terms").alias("terms")), "lang")
-        .join(lists, ["lang", "source", "bucket"], "left")
-        .withColumn("own", F.pmod(F.xxhash64("source"), F.lit(blocks).cast("long"))),
-        "divergence-lines",
-    )
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    left = lines.withColumnRenamed("own", "i").withColumn("j", every)
-    right = lines.withColumnRenamed("own", "j").withColumn("i", every)
+def _pairs(lines: DataFrame, totals: DataFrame, blocks: int) -> DataFrame:
+    left = lines.withColumn("j", _every(blocks))
+    right = lines.withColumnRenamed("i", "j").withColumn("i", _every(blocks))
     keys = ["lang", "bucket", "i", "j"]
     sums = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
-        .applyInArrow(_compared, "lang string, source string, item string, value long")
+        .applyInArrow(_compared, RESULT)
         .groupBy("lang", "source", "item")
         .agg(F.sum("value").alias("value"))
     )
     names = totals.select("lang", "source")
     pairs = names.join(names.withColumnRenamed("source", "item"), "lang").filter("source != item")  # the result's rows
     valued = pairs.join(sums, ["lang", "source", "item"], "left").fillna(0, ["value"])
-    return valued.withColumn("rank", F.row_number().over(_ranked())).select(
+    return valued.withColumn("rank", _ranked()).select(
         "lang", "source", F.lit("pair").alias("part"), "item", "value", "rank"
     )
 
