@@ -1,23 +1,28 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries: one trained on ordinary text, the other on toxic
-text, which is the first and, after it, the words that tell toxic texts from
-ordinary ones. A window is a word between fixed bytes; how much shorter it gets
-with the toxic dictionary, in bytes, is its level. Labelled texts give each
-level a weight (the logarithm of its rate in toxic over that in ordinary texts),
-and a logistic curve over the sum of a text's weights, relative to its length,
-gives the score.
-
-Windows of one word measured best: in longer ones, what one toxic word saves
-(two to five bytes) is lost among the differences of ordinary words.
+Two zstandard dictionaries are trained, one on ordinary and one on toxic text. A
+text is cut into windows of ``WINDOW`` words; each is compressed with the ordinary
+dictionary alone and with the toxic one added to it. How many bytes the toxic one
+saves is the window's level. Ordinary words, which both explain, save nothing.
+
+The dictionaries are trained twice. The first ones, of pieces of all fitting texts,
+hold much that both kinds of text share. Windows with which they save ``TELLING``
+bytes or more train the second ones: those of toxic texts the toxic dictionary, those
+of ordinary texts an addition to the ordinary one.
+
+Labelled texts that a dictionary was not trained on give each level a weight (the
+logarithm of its rate in toxic over that in ordinary texts), and a logistic curve
+over the sum of a text's weights, relative to its length, gives the score. For this
+the fitting rows are halved: each half is measured with the dictionaries of the
+other, and the dictionaries in use come from both.
 
 Everything is fitted on a bounded sample of labelled rows: ``FIT_ROWS`` of each
-label, in the order of a hash of the id.
+label, in the order of a hash of the id, and ``FIT_BYTES`` of pieces of their texts,
+in the order of a hash of the piece.
 """
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +36,29 @@ from .registry import query
 
 FIT_ROWS = 10_000
 """Labelled rows of each label that are used (20,000 at most)."""
-SAMPLES = 4000
-"""Pieces of ordinary text, of ``SAMPLE_CHARS`` characters, that train its dictionary."""
-SAMPLE_CHARS = 512
-ORDINARY_BYTES = 16_384
-TOXIC_BYTES = 2048
-MIN_DOCS = 3
-MIN_EVIDENCE = 15.0
-"""Log-likelihood ratio a word needs to enter the toxic dictionary."""
-LEVELS = 10
+FIT_BYTES = 8 << 20
+"""Bytes of pieces of each label that train a dictionary."""
+PIECE_WORDS = 32
+ORDINARY_BYTES = 65_536
+TOXIC_BYTES = 16_384
+ADDED_BYTES, TELLING_BYTES = 32_768, 8192
+"""Of the second training: what is added to the ordinary one, and the toxic one."""
+TELLING = 4
+SEGMENT, MATCH = 16, 8
+"""Bytes of the segments a dictionary is made of, and of the runs they are chosen by."""
+WINDOW = 3
+LEVELS = 23
+LEAST = -6
+"""Level 0 stands for so many bytes saved, or fewer; each further level for one more."""
 THRESHOLD = 0.3
 HELD_OUT = 2
 """Rows whose id's CRC-32 leaves this remainder by 4 are never learned from."""
-CACHED_WORDS = 400_000
-"""Words whose levels a task remembers; when there are more, it starts anew."""
 
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-"""Lower-case ASCII letters, digits, and everything beyond ASCII."""
+# Digits, letters (A-Z in lower case) and all bytes beyond ASCII; the rest ends a word.
+_WORDS = bytes(
+    b | 0x20 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+    for b in range(256)
+)
 # A dictionary match needs the search to go on beyond it, and a start that matches anyway.
 _LEAD, _TAIL = b"0123456789abcdefghijklmnop", b"QRSTUVWXYZ@"
 
@@ -56,9 +67,9 @@ def _compressor(content: bytes):
     parameters = zstandard.ZstdCompressionParameters(
         min_match=4,
         strategy=zstandard.STRATEGY_GREEDY,
-        window_log=16,
-        hash_log=15,
-        chain_log=15,
+        window_log=18,
+        hash_log=17,
+        chain_log=17,
         search_log=5,
     )
     held = zstandard.ZstdCompressionDict(content + _LEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -66,43 +77,46 @@ def _compressor(content: bytes):
     return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters).compress
 
 
-class WordLevels:
-    """Counts of a text's words by level; from the two dictionaries' contents."""
+def windows(data: bytes | None, words: int = WINDOW):
+    """The text's windows, each of so many words (or what is left of a piece)."""
+    for piece in pieces(data or b""):
+        found = piece.translate(_WORDS).split()
+        for start in range(0, len(found), words):
+            yield b" ".join(found[start : start + words])
+
+
+class WindowLevels:
+    """Counts of a text's windows by level; from the contents of the two dictionaries."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.ordinary, self.toxic = _compressor(ordinary), _compressor(toxic)
-        self.word = re.compile(_WORD).findall
-        self.known: dict[str, int] = {}
-
-    def level(self, word: str) -> int:
-        window = b"%b %b %b" % (_LEAD, word.encode(), _TAIL)
-        saved = len(self.ordinary(window)) - len(self.toxic(window))
-        return max(0, min(LEVELS - 1, saved))
-
-    def counts(self, text: str | None) -> np.ndarray:
-        total = np.zeros(LEVELS, np.int64)
-        for piece in pieces((text or "").encode()):
-            words = self.word(piece.decode().lower())
-            new = set(words).difference(self.known)
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known = {}
-                new = set(words)
-            self.known.update((w, self.level(w)) for w in new)
-            levels = bytes(map(self.known.__getitem__, words))
-            total += np.bincount(np.frombuffer(levels, np.uint8), minlength=LEVELS)
-        return total
+        self.ordinary, self.both = _compressor(ordinary), _compressor(ordinary + toxic)
+
+    def counts(self, data: bytes | None) -> np.ndarray:
+        levels = [max(0, min(LEVELS - 1, self.saved(w) - LEAST)) for w in windows(data)]
+        return np.bincount(np.array(levels, np.int64), minlength=LEVELS)
+
+    def saved(self, window: bytes) -> int:
+        """Bytes that the toxic dictionary saves on a window."""
+        framed = b"%b %b %b" % (_LEAD, window, _TAIL)
+        return len(self.ordinary(framed)) - len(self.both(framed))
 
 
 def _counted(held):
-    """Batch function: ``text`` becomes ``levels``, its words' counts by level."""
+    """Batch function: ``text`` (bytes) becomes ``levels``, its windows' counts by level.
+
+    ``held``: the pairs of dictionaries, of which ``half`` names one; without that
+    column the first is used.
+    """
 
     def run(batches):
-        levels = WordLevels(*held.value)
+        levels = [WindowLevels(*d) for d in held.value]
         for batch in slices(batches):
-            found = [levels.counts(t) for t in batch.column("text").to_pylist()]
+            halves = batch.column("half").to_pylist() if "half" in batch.schema.names else [0] * batch.num_rows
+            texts = batch.column("text").to_pylist()
+            found = [levels[h].counts(t) for h, t in zip(halves, texts)]
             flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
             offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * LEVELS)
-            rest = [n for n in batch.schema.names if n != "text"]
+            rest = [n for n in batch.schema.names if n not in ("text", "half")]
             yield pa.record_batch(
                 [*[batch.column(n) for n in rest], pa.ListArray.from_arrays(offsets, flat)],
                 names=[*rest, "levels"],
@@ -119,11 +133,12 @@ def held_out(number):
 def fitting_rows(
     docs: DataFrame, labels: DataFrame, id_column: str, text: str, rows: int = FIT_ROWS
 ) -> DataFrame:
-    """``text``, ``toxic`` of the labelled rows to learn from, one of near copies each.
+    """``text``, ``toxic``, ``half`` of the labelled rows to learn from, one of near copies each.
 
-    A row goes only if its five-word shingles and those of a kept row with the same
-    label have a Jaccard of 0.8 or more. Many copies of one text would make its rare words look telling.
-    An id marked both ways counts as toxic; null ids and labels teach nothing.
+    A row goes only if a kept row with the same label and it share a MinHash band and
+    have, by all their hashes, a Jaccard of 0.8 or more of five-word shingles. Many
+    copies of one text would make its rare words look telling. An id marked both
+    ways counts as toxic; null ids and labels teach nothing.
     """
     marks = (
         labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
@@ -140,98 +155,138 @@ def fitting_rows(
         F.col(f"`{id_column}`").cast("long").alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     ).join(F.broadcast(chosen), F.col("id") == F.col("marked"))  # 2 * rows small rows at most
-    return store(_without_copies(found).select("text", "toxic"), "toxicity-fit")
+    found = found.select("id", "toxic", F.xxhash64("text").alias("mark"), "text").dropDuplicates(["id", "mark"])
+    # An id can have several texts; the bound holds for rows.
+    found = store(found.orderBy(F.xxhash64("id", "mark")).limit(2 * rows), "toxicity-labelled")
+    described = found.mapInArrow(_described, "id long, mark long, toxic int, keys array<long>, sketch binary")
+    kept = docs.sparkSession.createDataFrame(_distinct(described.toArrow()), "id long, mark long")
+    half = F.pmod(F.xxhash64("mark", "id"), F.lit(2).cast("long")).cast("int")
+    return store(
+        found.join(kept, ["id", "mark"]).select(F.col("text").cast("binary").alias("text"), "toxic", half.alias("half")),
+        "toxicity-fit",
+    )
 
 
-def _without_copies(found: DataFrame) -> DataFrame:
-    """``found`` without the rows that are near copies of a kept row with their label.
+def _described(batches):
+    shingles = near_copies.Shingles()
+    for batch in slices(batches, 64):
+        hashed = [near_copies.described(shingles.of(t)) for t in batch.column("text").to_pylist()]
+        yield pa.record_batch(
+            [
+                batch.column("id"),
+                batch.column("mark"),
+                batch.column("toxic"),
+                pa.array([k for k, _ in hashed], pa.list_(pa.int64())),
+                pa.array([b for _, b in hashed], pa.binary()),
+            ],
+            names=["id", "mark", "toxic", "keys", "sketch"],
+        )
+
 
-    Groups hold what is linked through others, so in each round the least id of
-    each stays and only what agrees with that very row goes; the rest goes on.
+def _distinct(rows: pa.Table) -> list[tuple[int, int]]:
+    """Ids and marks without near copies of a kept row; sketches of a bounded sample."""
+    ordered = sorted(rows.to_pylist(), key=lambda r: (r["id"], r["mark"]))
+    by_key: dict[tuple[int, int], list[int]] = {}
+    sketches, kept = [], []
+    for r in ordered:
+        keys = [(r["toxic"], k) for k in r["keys"]] or [(r["toxic"], -1)]
+        near = sorted({i for k in keys for i in by_key.get(k, ())})
+        own = np.frombuffer(r["sketch"], np.uint8)
+        if near and (len(own) == 0 or _alike(own, np.stack([sketches[i] for i in near]))):
+            continue
+        for k in keys:
+            by_key.setdefault(k, []).append(len(sketches))
+        sketches.append(own)
+        kept.append((r["id"], r["mark"]))
+    return kept
+
+
+def _alike(own: np.ndarray, others: np.ndarray) -> bool:
+    """Whether the share of equal hashes, less those equal by chance, says 0.8 or more."""
+    shares = (others == own).mean(axis=1)
+    return bool(((shares - 1 / 256) / (1 - 1 / 256)).max() >= near_copies.JACCARD)
+
+
+def _pieces(batches):
+    for batch in slices(batches, 64):
+        found, marks, halves = [], [], []
+        for text, toxic, half in zip(*(batch.column(n).to_pylist() for n in ("text", "toxic", "half"))):
+            own = list(windows(text, PIECE_WORDS))
+            found += own
+            marks += [toxic] * len(own)
+            halves += [half] * len(own)
+        yield pa.record_batch(
+            [pa.array(found, pa.binary()), pa.array(marks, pa.int32()), pa.array(halves, pa.int32())],
+            names=["piece", "toxic", "half"],
+        )
+
+
+def trained(size: int, samples: list[bytes]) -> bytes:
+    """What a zstandard dictionary of ``samples`` holds; too little text is held as it is."""
+    try:
+        return zstandard.train_dictionary(size + 1024, samples, k=SEGMENT, d=MATCH).as_bytes()[-size:]
+    except zstandard.ZstdError:
+        return b" ".join(samples)[-size:]
+
+
+def _samples(pieces: DataFrame, each: int) -> dict[tuple[int, int], list[bytes]]:
+    """Pieces by ``toxic`` and ``half``, ``FIT_BYTES`` of each label, in the order of their hashes.
+
+    ``each``: bytes that a piece has on the average, so that enough are fetched.
     """
-    kept = None
-    plain = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)), " ")
-    left = found.select("id", "toxic", plain.alias("plain"), "text")
-    left = store(left.withColumn("mark", F.xxhash64("plain")), "toxicity-labelled")
-    groups = []
+    sized = store(pieces, "toxicity-pieces").withColumn("order", F.xxhash64("piece"))
+    samples: dict[tuple[int, int], list[bytes]] = {}
     for toxic in (0, 1):
-        part = near_copies.copies(left.filter(F.col("toxic") == toxic), "id", "plain")
-        groups.append(part.select("id", "mark", "point", "root").distinct().withColumn("toxic", F.lit(toxic)))
-    marked = store(groups[0].union(groups[1]), "toxicity-groups")
-    sets = store(near_copies.sets_of(left, "plain"), "toxicity-sets")
-    while True:
-        first = marked.groupBy("toxic", "root").agg(F.min_by("point", F.struct("id", "point")).alias("first"))
-        led = store(marked.join(first, ["toxic", "root"]), "toxicity-led")
-        chosen = (
-            led.filter("point = first")
-            .groupBy("toxic", "point")
-            .agg(F.min(F.struct("id", "mark")).alias("row"))
-            .select("row.*")
-        )
-        kept = chosen if kept is None else kept.union(chosen)
-        pairs = led.filter("point != first").select(F.col("first").alias("a"), F.col("point").alias("b")).distinct()
-        near = near_copies.verified(pairs, sets, near_copies.JACCARD)
-        marked = store(
-            led.filter("point != first")
-            .join(
-                near.select(F.col("a").alias("first"), F.col("b").alias("point")), ["first", "point"], "left_anti"
-            )
-            .select("id", "mark", "point", "root", "toxic"),
-            "toxicity-groups",
-        )
-        if marked.isEmpty():
-            break
-    return left.join(kept, ["id", "mark"]).dropDuplicates(["id", "mark"])
+        total = 0
+        chosen = sized.filter(F.col("toxic") == toxic).orderBy("order", "piece").limit(FIT_BYTES // each)
+        for r in chosen.select("piece", "half").toArrow().to_pylist():
+            total += len(r["piece"])
+            if total > FIT_BYTES:
+                break
+            samples.setdefault((toxic, r["half"]), []).append(r["piece"])
+    return samples
 
 
-def telling_words(rows: DataFrame, most: int = TOXIC_BYTES // 4) -> list[str]:
-    """Words that more toxic than ordinary texts hold, the strongest evidence first."""
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, ordinary = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-    words = rows.select(
-        "toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))).alias("w")
-    )
-    seen = words.groupBy("w").agg(
-        F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")
-    ).filter(f"a >= {MIN_DOCS}")
-    p, q = (F.col("a") + 0.5) / (toxic + 1), (F.col("b") + 0.5) / (ordinary + 1)
-    both = (F.col("a") + F.col("b") + 1) / (toxic + ordinary + 2)
-    evidence = 2 * (
-        F.col("a") * F.log(p / both)
-        + (toxic - F.col("a")) * F.log((1 - p) / (1 - both))
-        + F.col("b") * F.log(q / both)
-        + (ordinary - F.col("b")) * F.log((1 - q) / (1 - both))
-    )
-    strong = seen.withColumn("evidence", evidence).filter((p > 3 * q) & (F.col("evidence") > MIN_EVIDENCE))
-    return [r["w"] for r in strong.orderBy(F.desc("evidence"), "w").limit(most).collect()]
+def _pairs(samples, ordinary: int, toxic: int, together: int) -> list[tuple[bytes, bytes]]:
+    """Dictionaries of all rows, then of either half's; so many pieces make a sample."""
+
+    def pair(halves: tuple[int, ...]) -> tuple[bytes, bytes]:
+        both = [[p for h in halves for p in samples.get((t, h), [])] for t in (0, 1)]
+        joined = [[b" ".join(p[i : i + together]) for i in range(0, len(p), together)] for p in both]
+        return trained(ordinary, joined[0]), trained(toxic, joined[1])
 
+    return [pair((0, 1)), pair((0,)), pair((1,))]
 
-def dictionaries(rows: DataFrame) -> tuple[bytes, bytes]:
-    """Contents of the ordinary and of the toxic dictionary."""
-    pieces = rows.filter("toxic = 0 AND text != ''").select(
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.char_length("text") - 1, F.lit(SAMPLE_CHARS)),
-                lambda p: F.substring(F.lower("text"), p + 1, F.lit(SAMPLE_CHARS)),
+
+def _telling(held):
+    """The windows of ``text`` with which the other half's dictionaries save enough."""
+
+    def run(batches):
+        levels = [WindowLevels(*d) for d in held.value]
+        for batch in slices(batches, 64):
+            found, marks, halves = [], [], []
+            for text, toxic, half in zip(*(batch.column(n).to_pylist() for n in ("text", "toxic", "half"))):
+                own = [w for w in windows(text) if levels[2 - half].saved(w) >= TELLING]
+                found += own
+                marks += [toxic] * len(own)
+                halves += [half] * len(own)
+            yield pa.record_batch(
+                [pa.array(found, pa.binary()), pa.array(marks, pa.int32()), pa.array(halves, pa.int32())],
+                names=["piece", "toxic", "half"],
             )
-        ).alias("piece")
-    )
-    samples = [
-        re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", r["piece"]).encode()
-        for r in pieces.orderBy(F.xxhash64("piece"), "piece").limit(SAMPLES).collect()
-    ]
-    try:
-        ordinary = zstandard.train_dictionary(ORDINARY_BYTES + 1024, samples).as_bytes()[-ORDINARY_BYTES:]
-    except zstandard.ZstdError:  # too little text to train on: the text itself
-        ordinary = b"".join(samples)[-ORDINARY_BYTES:]
-    parts, size = [], 0
-    for word in telling_words(rows):
-        part = f" {word} ".encode()
-        size += len(part)
-        if size > TOXIC_BYTES:
-            break
-        parts.append(part)
-    return ordinary, ordinary + b"".join(reversed(parts))  # what is near costs least
+
+    return run
+
+
+def dictionaries(rows: DataFrame) -> list[tuple[bytes, bytes]]:
+    """Ordinary and toxic dictionary of all rows, then of either half's rows."""
+    pieces = "piece binary, toxic int, half int"
+    first = _pairs(_samples(rows.mapInArrow(_pieces, pieces), PIECE_WORDS * 4), ORDINARY_BYTES, TOXIC_BYTES, 1)
+    held = rows.sparkSession.sparkContext.broadcast(first)
+    telling = _samples(rows.mapInArrow(_telling(held), pieces), WINDOW * 4)
+    held.unpersist()
+    second = _pairs(telling, ADDED_BYTES, TELLING_BYTES, PIECE_WORDS // WINDOW)
+    return [(a + c, d) for (a, _), (c, d) in zip(first, second)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -249,21 +304,26 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
-BASE_WORDS = 20
-"""A text's sum of weights is divided by the square root of its words and these."""
+BASE_WINDOWS = 20
+"""A text's sum of weights is divided by the square root of its windows and these."""
 
 
 def calibrate(rows: DataFrame, held) -> tuple[list[float], float, float]:
-    """Weight of each level, and the logistic curve's slope and intercept."""
-    counted = rows.mapInArrow(_counted(held), "toxic int, levels array<long>").collect()
-    y = np.array([r["toxic"] for r in counted], float)
-    counts = np.array([r["levels"] for r in counted], float).reshape(-1, LEVELS)
+    """Weight of each level, and the logistic curve's slope and intercept.
+
+    A half's rows are measured with the other half's dictionaries.
+    """
+    crossed = rows.withColumn("half", 2 - F.col("half"))
+    counted = crossed.mapInArrow(_counted(held), "toxic int, levels array<long>").toArrow()
+    y = np.array(counted.column("toxic").to_pylist(), float)
+    counts = np.array(counted.column("levels").to_pylist(), float).reshape(-1, LEVELS)
     if not 0 < y.sum() < len(y):
         return [0.0] * LEVELS, 0.0, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     toxic, ordinary = counts[y == 1].sum(axis=0) + 1, counts[y == 0].sum(axis=0) + 1
     weights = np.log((toxic / toxic.sum()) / (ordinary / ordinary.sum()))
-    evidence = counts @ weights / np.sqrt(counts.sum(axis=1) + BASE_WORDS)
-    slope, intercept = _logistic(evidence, y)
+    evidence = counts @ weights / np.sqrt(counts.sum(axis=1) + BASE_WINDOWS)
+    order = np.argsort(evidence, kind="stable")  # sums then do not depend on the rows' order
+    slope, intercept = _logistic(evidence[order], y[order])
     return weights.tolist(), slope, intercept
 
 
@@ -285,11 +345,11 @@ def toxicity(
     held = spark.sparkContext.broadcast(dictionaries(fit))
     weights, slope, intercept = calibrate(fit, held)
     texts = docs.select(
-        F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")
+        F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")
     )
     each = [F.get("levels", F.lit(k)) for k in range(LEVELS)]
     total = sum((n * w for n, w in zip(each, weights)), start=F.lit(0.0))
-    evidence = total / F.sqrt(sum(each, start=F.lit(BASE_WORDS)))
+    evidence = total / F.sqrt(sum(each, start=F.lit(BASE_WINDOWS)))
     score = 1 / (1 + F.exp(-(evidence * slope + intercept)))
     return (
         texts.mapInArrow(_counted(held), "id long, levels array<long>")
