@@ -40,6 +40,9 @@ SUM_ROWS = 256
 LONG_FRAME = 64
 """Rows of a frame up to which its least and greatest value are searched row by row."""
 
+SLICES = 500
+"""Slices a table is cut into, as long as a slice has no more than ``GROUP_ROWS`` rows."""
+
 _SLICE, _PLACE, _BLOCK, _HALO, _RUN = "__slice", "__place", "__block", "__halo", "__run"
 
 
@@ -268,6 +271,15 @@ def _with_extremes(df, columns: list[Column], order: list[Column], calls) -> Dat
     return placed.drop("__row")
 
 
+def _slices(rows: int, group_rows: int) -> int:
+    """How many slices to sort: what each tells the driver must not grow with the rows.
+
+    A low ``group_rows`` cuts blocks, which are groups and no tasks, not slices.
+    """
+    least = -(-rows // max(group_rows, GROUP_ROWS))
+    return max(1, least, min(SLICES, -(-rows // group_rows)))
+
+
 def _numbered(df, keys, orders, rows, group_rows) -> DataFrame:
     """``df`` plus each row's place (1, 2, ...) in its group, over many tasks."""
     hashable = [
@@ -279,7 +291,7 @@ def _numbered(df, keys, orders, rows, group_rows) -> DataFrame:
         {"__hash": F.xxhash64(*hashable), "__origin": F.spark_partition_id()}
     )
     sort = [*[quoted(k).asc() for k in keys], *sort_columns(orders), "__hash", "__origin"]
-    slices = max(1, -(-rows // group_rows))
+    slices = _slices(rows, group_rows)
     sliced = store(
         spread.repartitionByRange(slices, *sort)
         .sortWithinPartitions(*sort)
@@ -312,7 +324,7 @@ def _by_values(df, keys, orders, calls, group_rows) -> DataFrame:
     names = list(dict.fromkeys([*keys, *(o if isinstance(o, str) else o[0] for o in orders)]))
     sort = [*[quoted(k).asc() for k in keys], *sort_columns(orders)]
     counted = store(df.groupBy(*map(quoted, names)).agg(F.count(F.lit(1)).alias("__rows")), "window-values")
-    slices = max(1, -(-counted.count() // group_rows))
+    slices = _slices(counted.count(), group_rows)
     sliced = store(
         counted.repartitionByRange(slices, *sort).withColumn(_SLICE, F.spark_partition_id()), "window-slices"
     )

@@ -154,3 +154,27 @@ def test_long_frames_against_short_ones(spark, monkeypatch, group_rows):
             return sorted(map(repr, found.collect()))
 
         assert rolled(64) == rolled(10_000)
+
+
+def test_slices_do_not_grow_with_a_low_group_limit(spark, monkeypatch):
+    """A slice is a task, whose report goes to the driver; blocks are as small as asked for."""
+    from tableloom.operators import windows as w
+
+    parts = []
+    write = w.store
+
+    def counted(df, label):
+        found = write(df, label)
+        if label == "window-slices":
+            parts.append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(w, "store", counted)
+    monkeypatch.setattr(w, "SLICES", 10, raising=False)
+    df = spark.range(300).select((F.col("id") * 7 % 300).alias("v"))
+    got = w.window_functions(df, [], ["v"], {"rn": "row_number", "before": "lag(v)"}, group_rows=3)
+    assert {(r.v, r.rn, r.before) for r in got.collect()} == {(i, i + 1, i - 1 if i else None) for i in range(300)}
+    w.window_functions(df, [], ["v"], {"rk": "rank"}, group_rows=3).collect()
+    assert parts and max(parts) <= 10  # 100 before
+    assert w._slices(9_000_000, 1_000) == 10 and w._slices(5_000, 1_000) == 5
+    assert w._slices(30 * w.GROUP_ROWS, 1_000) == 30 and w._slices(40 * w.GROUP_ROWS, 2 * w.GROUP_ROWS) == 20
