@@ -237,7 +237,7 @@ def provenance_paths(spark, sf_dir):
 )
 def provenance_path_positions(spark, sf_dir):
     nodes, edges = _graph_with_sources(spark, sf_dir)
-    return g.path_positions(g.flow_paths(nodes, edges), nodes)
+    return g.path_positions(g.flow_paths(nodes, edges, with_types=True), nodes)
 
 
 @query(

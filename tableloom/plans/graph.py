@@ -7,7 +7,7 @@ that round only. Files of many rounds are merged, eight of a size at a time.
 
 Which sinks a node leads to is kept as bits, 64 sinks to a row, and only for
 nodes that a source leads to. Pairs of source and sink appear in the result
-alone; their paths follow the distances from node to node.
+alone: paths go from node to node for all sinks of a row that share them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.storage import new_folder, store
@@ -294,25 +294,60 @@ def _of_type(nodes: DataFrame, kind: str, name: str) -> DataFrame:
     return nodes.filter(F.col("node_type") == kind).select(F.col("name").alias(name))
 
 
+def _without_detours(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Different (src, dst), less those of nodes that no shortest path leads through.
+
+    A node with one way out is left out where all that leads to it also leads
+    straight to where it leads, as with steps whose dependencies are stated too.
+    Sources and sinks stay. An edge is looked at once, however many lead to a node.
+    """
+    links = store(edges.select("src", "dst").distinct(), "graph-links")
+    ends = nodes.filter(F.col("node_type").isin("source", "sink")).select(F.col("name").alias("src"))
+    single = links.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").join(ends, "src", "left_anti")
+    onward = links.join(single.select("src"), "src", "left_semi").select(
+        F.col("src").alias("dst"), F.col("dst").alias("after")
+    )
+    straight = links.select("src", F.col("dst").alias("after"), F.lit(1).alias("straight"))
+    detours = store(
+        links.join(onward, "dst")
+        .join(straight, ["src", "after"], "left")
+        .groupBy("dst")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("straight").alias("s"))
+        .filter("n = s")
+        .select("dst"),
+        "graph-detours",
+    )
+    return store(
+        links.join(detours, "dst", "left_anti")
+        .join(detours.select(F.col("dst").alias("src")), "src", "left_anti")
+        .select("src", "dst"),
+        "graph-links",
+    )
+
+
 class _Distances:
     """How far nodes that a source leads to are from the sinks they lead to.
 
-    ``sinks``: (sink, block, bit). ``rows``: (node, block, distance, bits), where
-    bit ``i`` says that the sink of that block and bit is at that distance.
+    ``sinks``: (block, sinks), the bits and names of 64 sinks. ``rows``: (node,
+    block, distance, bits), where bit ``i`` says that the sink of that block and bit
+    is at that distance. With ``hops`` they also have ``dst``, the first neighbour by
+    name that is one step nearer, and a node has a row for each of these.
     ``steps``: (src, dst) among nodes that a source leads to.
     """
 
-    def __init__(self, nodes: DataFrame, edges: DataFrame):
-        ahead = reached(edges, _of_type(nodes, "source", "node")).select(F.col("node").alias("src"))
-        self.steps = store(edges.select("src", "dst").distinct().join(ahead, "src", "left_semi"), "graph-steps")
+    def __init__(self, nodes: DataFrame, edges: DataFrame, hops: bool = False):
+        links = _without_detours(nodes, edges)
+        ahead = reached(links, _of_type(nodes, "source", "node")).select(F.col("node").alias("src"))
+        self.steps = store(links.join(ahead, "src", "left_semi"), "graph-steps")
         # Neighbours by name often follow the same nodes, so their bits share rows.
         ordered = _of_type(nodes, "sink", "sink").repartitionByRange("sink").sortWithinPartitions("sink")
         number = F.monotonically_increasing_id()
-        self.sinks = store(
+        numbered = store(
             ordered.select("sink", F.shiftright(number, 6).alias("block"), (number % 64).cast("int").alias("bit")),
             "graph-sinks",
         )
-        first = self.sinks.groupBy(F.col("sink").alias("node"), "block").agg(
+        self.sinks = numbered.groupBy("block").agg(F.collect_list(F.struct("bit", "sink")).alias("sinks"))
+        first = numbered.groupBy(F.col("sink").alias("node"), "block").agg(
             F.lit(0).alias("distance"), F.expr("bit_or(shiftleft(1L, bit))").alias("bits")
         )
 
@@ -328,61 +363,101 @@ class _Distances:
                 .filter("bits != 0")
             )
 
-        self.rows = _rounds(first, step, "graph-distances")
+        def hop(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
+            known = seen.groupBy("node", "block").agg(F.bit_or("bits").alias("known"))
+            nearer = newest.groupBy(F.col("node").alias("dst"), "block").agg(F.bit_or("bits").alias("bits"))
+            before = Window.partitionBy("node", "block").orderBy("dst").rowsBetween(Window.unboundedPreceding, -1)
+            return (
+                nearer.join(self.steps, "dst")
+                .select(F.col("src").alias("node"), "block", "dst", "bits")
+                .join(known, ["node", "block"], "left")
+                .withColumn("bits", F.expr("bits & ~coalesce(known, 0L)"))
+                .filter("bits != 0")
+                .withColumn("taken", F.bit_or("bits").over(before))
+                .withColumn("bits", F.expr("bits & ~coalesce(taken, 0L)"))
+                .filter("bits != 0")
+                .select("node", "block", F.lit(depth).alias("distance"), "bits", "dst")
+            )
 
-    def of_sources(self, nodes: DataFrame) -> DataFrame:
-        return self.rows.join(_of_type(nodes, "source", "node"), "node", "left_semi")
+        if hops:
+            first = first.withColumn("dst", F.lit(None).cast("string"))
+        self.rows = _rounds(first, hop if hops else step, "graph-distances")
 
-    def pairs(self, nodes: DataFrame) -> DataFrame:
-        """(source, sink, block, bit, length)."""
-        bits = F.expr("filter(sequence(0, 63), i -> bits & shiftleft(1L, i) != 0)")
-        single = self.of_sources(nodes).select(
-            F.col("node").alias("source"), "block", F.explode(bits).alias("bit"), F.col("distance").alias("length")
+    def of_sources(self, nodes: DataFrame) -> DataFrame:
+        return (
+            self.rows.join(_of_type(nodes, "source", "node"), "node", "left_semi")
+            .groupBy("node", "block", "distance")
+            .agg(F.bit_or("bits").alias("bits"))
         )
-        return single.join(self.sinks, ["block", "bit"]).select("source", "sink", "block", "bit", "length")
+
+    def named(self, groups: DataFrame) -> DataFrame:
+        """``groups`` (``block``, ``bits``, ...), a row for each sink in the bits, as ``sink``."""
+        chosen = F.expr("filter(sinks, s -> bits & shiftleft(1L, s.bit) != 0)")
+        named = groups.join(self.sinks, "block").withColumn("one", F.explode(chosen))
+        return named.withColumn("sink", F.col("one.sink")).drop("one", "sinks")
 
 
 def reachable_pairs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(source, sink, length) for every sink a source leads to."""
-    return _Distances(nodes, edges).pairs(nodes).select("source", "sink", "length")
+    distances = _Distances(nodes, edges)
+    return distances.named(distances.of_sources(nodes)).select(
+        F.col("node").alias("source"), "sink", F.col("distance").alias("length")
+    )
 
 
-def flow_paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def flow_paths(nodes: DataFrame, edges: DataFrame, with_types: bool = False) -> DataFrame:
     """(source, sink, path, length): one shortest path per connected pair.
 
     Among shortest paths it is the first in dictionary order: from each node the
-    path goes on to the first neighbour by name that is one step nearer.
+    path goes on to the first neighbour by name that is one step nearer. Sinks of
+    a block go together as long as their paths do, and those come last that are
+    nearest, so that each distance's rows are read once. ``with_types`` adds
+    ``node_types``, the types of the path's nodes.
     """
-    distances = _Distances(nodes, edges)
-    pairs = store(distances.pairs(nodes), "graph-pairs")
-    nearer = distances.rows.select(
-        F.col("node").alias("dst"), F.col("block").alias("b"), F.col("distance").alias("d"), "bits"
+    distances = _Distances(nodes, edges, hops=True)
+    started = distances.of_sources(nodes)
+    onward = distances.rows.filter("distance > 1")
+    source, sink, kind = F.lit("source"), F.lit("sink"), F.lit(None).cast("string")
+    if with_types:
+        kinds = nodes.select(F.col("name").alias("dst"), F.col("node_type").alias("kind"))
+        onward = store(onward.join(kinds, "dst", "left"), "graph-hops")
+        kind = F.col("kind")
+    started = store(started, "graph-starts").select(
+        F.col("node").alias("source"), "node", "block", "bits", F.col("distance").alias("length"),
+        F.array("node").alias("path"), F.array(source).alias("node_types"),
     )
-    first = pairs.select("*", F.col("source").alias("node"), F.lit(0).alias("position"))
+    longest = started.agg(F.max("length")).first()[0] or 0
 
-    def step(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
-        return (
-            newest.filter(F.col("position") < F.col("length"))
-            .join(distances.steps, F.col("node") == F.col("src"))
-            .join(nearer.withColumnRenamed("dst", "next"), (F.col("dst") == F.col("next")) & (F.col("block") == F.col("b"))
-                  & (F.col("d") == F.col("length") - depth))
-            .filter(F.expr("bits & shiftleft(1L, bit) != 0"))
-            .groupBy("source", "sink", "block", "bit", "length")
-            .agg(F.min("dst").alias("node"))
-            .select("source", "sink", "block", "bit", "length", "node", F.lit(depth).alias("position"))
-        )
+    def begun(length: int) -> DataFrame:
+        return started.filter(F.col("length") == length)
 
-    places = _rounds(first, step, "graph-paths")
-    ordered = F.array_sort(F.collect_list(F.struct("position", "node")))  # a path's nodes
-    return (
-        places.groupBy("source", "sink", "length")
-        .agg(ordered.alias("places"))
-        .select("source", "sink", F.col("places.node").alias("path"), "length")
-    )
+    def grown(groups: DataFrame, node: Column, kind: Column) -> DataFrame:
+        path, kinds = F.concat("path", F.array(node)), F.concat("node_types", F.array(kind))
+        return groups.withColumns({"path": path, "node_types": kinds if with_types else F.col("node_types")})
+
+    walking = begun(longest)
+    for left in range(longest, 1, -1):
+        ahead = onward.filter(F.col("distance") == left).withColumnRenamed("bits", "others").drop("distance")
+        split = walking.join(ahead, ["node", "block"]).withColumn("bits", F.expr("bits & others")).filter("bits != 0")
+        moved = grown(split, F.col("dst"), kind).withColumn("node", F.col("dst")).select(started.columns)
+        walking = store(moved, "graph-paths").union(begun(left - 1))
+    ended = distances.named(walking)
+    if longest:
+        ended = grown(ended, F.col("sink"), sink).unionByName(distances.named(begun(0)))
+    return ended.select("source", "sink", "path", "length", *(["node_types"] if with_types else []))
 
 
 def path_positions(paths: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(source, sink, position, node, node_type) along every flow path."""
+    """(source, sink, position, node, node_type) along every flow path.
+
+    Types that came with the paths are taken from there; else each node of a path
+    looks for its own.
+    """
+    if "node_types" in paths.columns:
+        along = F.posexplode(F.arrays_zip("path", "node_types")).alias("position", "at")
+        return paths.select("source", "sink", along).select(
+            "source", "sink", "position", F.col("at.path").alias("node"), F.col("at.node_types").alias("node_type")
+        )
     return (
         paths.select("source", "sink", F.posexplode("path").alias("position", "name"))
         .join(nodes.select("name", "node_type"), "name")

@@ -208,3 +208,49 @@ def test_export_and_consolidate(spark, tmp_path, provenance):
     listing = transformation_listing(unique).filter("name = 'KeepPaid'").first()
     assert (listing.inputs, listing.input_rows, listing.output_rows) == ("visits_file", 9, 7)
     assert g.build_graph(unique)[0].count() == 12
+
+
+def test_paths_of_many_sinks_go_together(spark, monkeypatch):
+    """What is written on the way grows with the groups, not with pairs times positions."""
+    written = []
+
+    def counted(write, folder):
+        def run(df, *rest):
+            found = write(df, *rest)
+            if folder in rest:
+                written.append(found.count())
+            return found
+
+        return run
+
+    monkeypatch.setattr(g, "store", counted(g.store, "graph-paths"))
+    monkeypatch.setattr(g, "_rounds", counted(g._rounds, "graph-paths"))
+    edges = [(f"s{i}", "n0") for i in range(5)] + [(f"n{i}", f"n{i + 1}") for i in range(6)]
+    edges += [("n6", f"k{i:02}") for i in range(60)]
+    names = {x for e in edges for x in e}
+    role = {"s": "source", "n": "intermediate", "k": "sink"}
+    nodes = spark.createDataFrame([(n, role[n[0]]) for n in names], "name string, node_type string")
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    paths = g.flow_paths(nodes, frame, with_types=True).localCheckpoint()
+    between = [f"n{i}" for i in range(7)]
+    assert pairs(paths.select("source", "sink", "path")) == sorted(
+        (f"s{i}", f"k{j:02}", [f"s{i}", *between, f"k{j:02}"]) for i in range(5) for j in range(60)
+    )
+    assert sum(written) <= 5 * 60  # 5 * 60 * 9 when every pair walks by itself
+    plain = g.path_positions(paths.drop("node_types"), nodes)
+    assert pairs(g.path_positions(paths, nodes)) == pairs(plain)
+
+
+def test_steps_beside_stated_dependencies_are_no_way(spark):
+    """A node leaves the walk only if all that leads to it also leads on without it."""
+    edges = [("s", "x"), ("x", "k"), ("s", "k"), ("s", "y"), ("t", "y"), ("y", "j"), ("s", "j"), ("y", "y")]
+    nodes = spark.createDataFrame(
+        [("s", "source"), ("t", "source"), ("x", "transformation"), ("y", "intermediate"), ("k", "sink"), ("j", "sink")],
+        "name string, node_type string",
+    )
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    left = pairs(g._without_detours(nodes, frame))
+    assert left == sorted(e for e in edges if "x" not in e)
+    assert pairs(g.flow_paths(nodes, frame)) == [
+        ("s", "j", ["s", "j"], 1), ("s", "k", ["s", "k"], 1), ("t", "j", ["t", "y", "j"], 2),
+    ]
