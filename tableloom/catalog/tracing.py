@@ -112,8 +112,8 @@ def provenance_of_parts(
         F.col("id").alias("transformation_id"),
     )
     read, made = links.select("source"), links.select("target")
-    sources = read.join(made, read["source"] == made["target"], "left_anti").distinct()
-    sinks = made.join(read, read["source"] == made["target"], "left_anti").distinct()
+    sources = read.join(made.hint("merge"), read["source"] == made["target"], "left_anti").distinct()
+    sinks = made.join(read.hint("merge"), read["source"] == made["target"], "left_anti").distinct()
 
     def named(df, column):
         return df.select(

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizing import partitions_for
 from ..functions.storage import new_folder, store
 
 NODE_PREFIX = "transform_"
@@ -36,33 +37,28 @@ def build_edges(
     Stated dependencies count between known nodes only; ``names`` is the node
     table if there is one already.
     """
-    steps = provenance["transformations"].withColumn(
-        "node", F.concat(F.lit(NODE_PREFIX), "id")
-    )
-    consumes = steps.select(
-        F.explode("input_tables").alias("src"),
-        F.col("node").alias("dst"),
-        F.lit("consumes").alias("edge_type"),
-        F.col("id").alias("transformation_id"),
-    )
-    produces = steps.select(
-        F.col("node").alias("src"),
-        F.col("output_table").alias("dst"),
-        F.lit("produces").alias("edge_type"),
-        F.col("id").alias("transformation_id"),
+    steps = _dealt(provenance["transformations"].select("id", "input_tables", "output_table"))
+    node, made = F.concat(F.lit(NODE_PREFIX), "id"), F.col("output_table")
+    edges = steps.select(
+        F.inline(
+            F.concat(
+                F.transform(_inputs(), lambda read: _edge(read, node, "consumes")),
+                F.array(_edge(node, made, "produces")),
+            )
+        )
     )
-    edges = consumes.unionByName(produces)
     if include_dependency_edges:
         known = typed_names(provenance) if names is None else names
-        stated = provenance["dependencies"].select(
+        stated = _dealt(provenance["dependencies"].select("source", "target", "transformation_id")).select(
             F.col("source").alias("src"),
             F.col("target").alias("dst"),
             F.lit("dependency").alias("edge_type"),
             "transformation_id",
         )
         for end in ("src", "dst"):
+            # A table of all names is no small side, though its files may look like one.
             stated = stated.join(
-                known.select(F.col("name").alias(end)), end, "left_semi"
+                known.select(F.col("name").alias(end)).hint("merge"), end, "left_semi"
             )
         edges = edges.unionByName(stated)
     # A stated dependency never replaces the edge of a step.
@@ -86,37 +82,48 @@ def typed_names(provenance: Mapping[str, DataFrame]) -> DataFrame:
 
 def _named(provenance: Mapping[str, DataFrame]) -> DataFrame:
     """Every name with every role it plays."""
-    steps = provenance["transformations"]
+    steps = _dealt(provenance["transformations"].select("id", "name", "input_tables", "output_table"))
 
-    def role(df: DataFrame, name, kind: str, label=None) -> DataFrame:
-        return df.select(
+    def role(name, kind: str, label=None) -> Column:
+        return F.struct(
             name.alias("name"),
             F.lit(ROLE_ORDER[kind]).alias("role"),
             F.lit(kind).alias("node_type"),
             (name if label is None else label).alias("label"),
         )
 
+    step = role(F.concat(F.lit(NODE_PREFIX), "id"), "transformation", F.col("name"))
+    made = role(F.col("output_table"), "intermediate")
+    read = F.transform(_inputs(), lambda table: role(table, "intermediate"))
     return reduce(
         DataFrame.unionByName,
         [
-            role(provenance["data_sources"], F.col("name"), "source"),
-            role(provenance["data_sinks"], F.col("name"), "sink"),
-            role(
-                steps,
-                F.concat(F.lit(NODE_PREFIX), "id"),
-                "transformation",
-                F.col("name"),
-            ),
-            role(steps, F.col("output_table"), "intermediate"),
-            role(
-                steps.select(F.explode("input_tables").alias("input")),
-                F.col("input"),
-                "intermediate",
-            ),
+            _dealt(provenance["data_sources"].select("name")).select(role(F.col("name"), "source").alias("r")).select("r.*"),
+            _dealt(provenance["data_sinks"].select("name")).select(role(F.col("name"), "sink").alias("r")).select("r.*"),
+            steps.select(F.inline(F.concat(F.array(step, made), read))),
         ],
     )
 
 
+def _dealt(records: DataFrame) -> DataFrame:
+    """``records`` over as many tasks as a shuffle has, however few files they come in.
+
+    What is made of them is sorted by name, and a task that reads a whole file
+    would sort all of it.
+    """
+    return records.repartition(partitions_for(records), *records.columns)
+
+
+def _inputs() -> Column:
+    return F.coalesce("input_tables", F.array().cast("array<string>"))
+
+
+def _edge(src: Column, dst: Column, kind: str) -> Column:
+    return F.struct(
+        src.alias("src"), dst.alias("dst"), F.lit(kind).alias("edge_type"), F.col("id").alias("transformation_id")
+    )
+
+
 def build_graph(
     provenance: Mapping[str, DataFrame], include_dependency_edges: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -130,7 +137,7 @@ def build_graph(
         build_edges(provenance, include_dependency_edges, typed), "provenance-edges"
     )
     counted = degrees(edges).select("name", "in_degree", "out_degree")
-    nodes = typed.join(counted, "name", "left").na.fill(
+    nodes = typed.join(counted.hint("merge"), "name", "left").na.fill(
         0, ["in_degree", "out_degree"]
     )
     return store(nodes, "provenance-nodes"), edges
@@ -318,8 +325,8 @@ def _without_detours(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "graph-detours",
     )
     return store(
-        links.join(detours, "dst", "left_anti")
-        .join(detours.select(F.col("dst").alias("src")), "src", "left_anti")
+        links.join(detours.hint("merge"), "dst", "left_anti")
+        .join(detours.select(F.col("dst").alias("src")).hint("merge"), "src", "left_anti")
         .select("src", "dst"),
         "graph-links",
     )
@@ -338,7 +345,7 @@ class _Distances:
     def __init__(self, nodes: DataFrame, edges: DataFrame, hops: bool = False):
         links = _without_detours(nodes, edges)
         ahead = reached(links, _of_type(nodes, "source", "node")).select(F.col("node").alias("src"))
-        self.steps = store(links.join(ahead, "src", "left_semi"), "graph-steps")
+        self.steps = store(links.join(ahead.hint("merge"), "src", "left_semi"), "graph-steps")
         # Neighbours by name often follow the same nodes, so their bits share rows.
         ordered = _of_type(nodes, "sink", "sink").repartitionByRange("sink").sortWithinPartitions("sink")
         number = F.monotonically_increasing_id()

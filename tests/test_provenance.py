@@ -254,3 +254,15 @@ def test_steps_beside_stated_dependencies_are_no_way(spark):
     assert pairs(g.flow_paths(nodes, frame)) == [
         ("s", "j", ["s", "j"], 1), ("s", "k", ["s", "k"], 1), ("t", "j", ["t", "y", "j"], 2),
     ]
+
+
+def test_records_of_one_file_are_dealt_before_they_are_sorted(spark, provenance):
+    """Names and edges are sorted in many tasks, also where one task reads all records."""
+    one = {name: table.coalesce(1) for name, table in provenance.items()}
+    for made in (g.typed_names(one), g.build_edges(one, include_dependency_edges=False)):
+        lines = made._jdf.queryExecution().executedPlan().toString().splitlines()
+        deepest = max(i for i, line in enumerate(lines) if "Aggregate(" in line)
+        assert any("REPARTITION_BY_NUM" in line for line in lines[deepest:])
+    every = g.build_edges(one)
+    assert "Broadcast" not in every._jdf.queryExecution().executedPlan().toString()
+    assert pairs(every) == pairs(g.build_graph(provenance)[1])
