@@ -9,9 +9,10 @@ A key that many texts share would make a quadratic number of pairs. Its texts ar
 first compared along a chain, each with the next in an order of the key's own; what
 the verified links of all chains connect needs no more comparing. What is left are
 the texts of a key outside its largest group. In a key of up to ``BUCKET`` texts
-their pairs are listed; in a larger one they are queries against blocks of the key's
-texts, and only the links they find come back. So the groups are those of comparing
-all pairs that share a key.
+their sketches are compared, and only pairs that agree come back, each from one key;
+in a larger one they are queries against blocks of the key's texts, and only the
+links they find come back. So the groups are those of comparing all pairs that share
+a key.
 
 Only different shingle sets are compared; equal ones are one point. Before two sets
 are brought together, sketches of ``BANDS * ROWS`` bytes are: a pair at 0.8 agrees in
@@ -38,7 +39,7 @@ CHUNK = 512
 CACHED_WORDS = 400_000
 """Words whose hashes a task remembers; when there are more, it starts anew."""
 BUCKET = 64
-"""Texts in a key up to which all pairs of different groups are listed."""
+"""Texts in a key up to which all sketches of different groups are compared at once."""
 BLOCK = 1024
 """Texts of a larger key held against one another at a time."""
 SKETCH = 0.62
@@ -207,6 +208,43 @@ def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.mapInArrow(_agreeing, "a long, b long")
 
 
+def _agreeing_in_keys(batches):
+    """``key`` and its ``members`` become their pairs ``a``, ``b`` of different roots whose sketches agree.
+
+    A pair that shares several keys is looked for in the least of them.
+    """
+    for batch in slices(batches):
+        members = batch.column("members")
+        edges = members.offsets.to_numpy() - members.offsets[0].as_py()
+        points, roots, keys, sketches = members.flatten().flatten()
+        points, roots = points.to_numpy(), roots.to_numpy()
+        keys = keys.flatten().to_numpy().reshape(-1, BANDS)
+        sketches = np.frombuffer(b"".join(sketches.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        a, b = [], []
+        for key, start, end in zip(batch.column("key").to_pylist(), edges[:-1], edges[1:]):
+            x, y = np.triu_indices(end - start, 1)
+            x, y = x + start, y + start
+            apart = roots[x] != roots[y]
+            x, y = x[apart], y[apart]
+            near = (sketches[x] == sketches[y]).sum(axis=1) >= SKETCH * BANDS * ROWS
+            x, y = x[near], y[near]
+            least = np.where(keys[x] == keys[y], keys[x], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+            x, y = x[least == key], y[least == key]
+            a.append(np.minimum(points[x], points[y]))
+            b.append(np.maximum(points[x], points[y]))
+        yield pa.record_batch(
+            [pa.array(np.concatenate(side) if side else [], pa.int64()) for side in (a, b)], names=["a", "b"]
+        )
+
+
+def _crossing(small: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs of different groups, by sketches, in keys of up to ``BUCKET`` texts (``key``, ``point``, ``root``)."""
+    members = small.join(points, "point").groupBy("key").agg(
+        F.collect_list(F.struct("point", "root", "keys", "sketch")).alias("members")  # BUCKET at most
+    )
+    return members.mapInArrow(_agreeing_in_keys, "a long, b long")
+
+
 def _links_to(jaccard: float):
     """Batch function of one block of queries and one of texts: a link from each query to each group."""
 
@@ -312,10 +350,8 @@ def copies(
     )
     apart = rooted.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("x")).filter("m != x")
     rooted = store(rooted.join(apart.select("key"), "key"), "copies-apart")
-    small = rooted.filter(F.col("n") <= BUCKET)
-    other = small.select("key", F.col("point").alias("next"), F.col("root").alias("r"))
-    crossed = small.join(other, "key").filter("root < r").select(*_pair("point", "next")).distinct()
-    more = verified(store(likely(crossed, points), "copies-pairs"), sets, jaccard)
+    crossed = _crossing(rooted.filter(F.col("n") <= BUCKET), points)
+    more = verified(store(crossed, "copies-pairs"), sets, jaccard)
     most = _links_of_large_keys(rooted.filter(F.col("n") > BUCKET), sets, jaccard)
     roots = components(near.union(more).union(most))
     return found.select("id", "mark", "point").join(roots, F.col("point") == F.col("node"), "left").select(

@@ -582,3 +582,29 @@ def test_empty_benchmark_flags_nothing(spark, docs):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(docs, benchmark).count() == 0
     assert decontaminate.keep_clean(docs, benchmark).count() == len(ROWS)
+
+
+def test_crossing_pairs_come_once_and_from_their_least_key(spark):
+    """Against all pairs: points that share keys, with sketches near and far, in several groups."""
+    import numpy as np
+
+    from tableloom.llm import near_copies as nc
+
+    chance, size = np.random.default_rng(7), nc.BANDS * nc.ROWS
+    base = chance.integers(0, 256, size, np.uint8)
+    points = []
+    for p in range(40):
+        keys = [int(k) * nc.BANDS + i if k < 4 else 10_000 + p * nc.BANDS + i for i, k in enumerate(chance.integers(0, 9, nc.BANDS))]
+        sketch = np.where(chance.random(size) < (0.1 if p % 3 else 0.5), chance.integers(0, 256, size, np.uint8), base)
+        points.append((p, keys, sketch.astype(np.uint8).tobytes()))
+    frame = spark.createDataFrame(points, "point long, keys array<long>, sketch binary")
+    small = [(k, p, p % 5) for p, keys, _ in points for k in keys if k % 7]  # other keys count as large
+    got = nc._crossing(spark.createDataFrame(small, "key long, point long, root long"), frame).collect()
+    want = set()
+    for p, keys, sketch in points:
+        for q, others, other in points[p + 1 :]:
+            shared = set(keys) & set(others)
+            agree = sum(x == y for x, y in zip(sketch, other))
+            if shared and min(shared) % 7 and p % 5 != q % 5 and agree >= nc.SKETCH * size:
+                want.add((p, q))
+    assert sorted((r.a, r.b) for r in got) == sorted(want) and len(want) > 20
