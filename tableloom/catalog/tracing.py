@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.sizing import partitions_for
 from ..functions.storage import new_folder
 from ..operators.aggregates import row_count
 from ..operators.joins import union_tables
@@ -111,9 +112,16 @@ def provenance_of_parts(
         F.col("output_table").alias("target"),
         F.col("id").alias("transformation_id"),
     )
-    read, made = links.select("source"), links.select("target")
-    sources = read.join(made.hint("merge"), read["source"] == made["target"], "left_anti").distinct()
-    sinks = made.join(read.hint("merge"), read["source"] == made["target"], "left_anti").distinct()
+    # Counted, not joined: no side is sorted. A name that is null equals none. One file
+    # may hold all parts, so the pairs go over many tasks before these collect names.
+    dealt = links.select("source", "target").repartition(partitions_for(links, g.DEALT_BYTES), "source", "target")
+    ends = F.array(
+        F.struct(F.col("source").alias("name"), F.lit(1).alias("read"), F.lit(0).alias("made")),
+        F.struct(F.col("target").alias("name"), F.lit(0).alias("read"), F.lit(1).alias("made")),
+    )
+    used = dealt.select(F.inline(ends)).groupBy("name").agg(F.max("read").alias("read"), F.max("made").alias("made"))
+    sources = used.filter("read = 1 AND (made = 0 OR name IS NULL)").select(F.col("name").alias("source"))
+    sinks = used.filter("made = 1 AND (read = 0 OR name IS NULL)").select(F.col("name").alias("target"))
 
     def named(df, column):
         return df.select(

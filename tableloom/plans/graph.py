@@ -105,13 +105,17 @@ def _named(provenance: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+DEALT_BYTES = 4 << 20
+"""Bytes of record files a task should stand for: they are compressed, and a record makes several rows."""
+
+
 def _dealt(records: DataFrame) -> DataFrame:
-    """``records`` over as many tasks as a shuffle has, however few files they come in.
+    """``records`` over as many tasks as a shuffle has, more for large input, however few files they come in.
 
     What is made of them is sorted by name, and a task that reads a whole file
     would sort all of it.
     """
-    return records.repartition(partitions_for(records), *records.columns)
+    return records.repartition(partitions_for(records, DEALT_BYTES), *records.columns)
 
 
 def _inputs() -> Column:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tableloom.catalog.tracing import provenance_of_parts
 from tableloom.plans import graph as g
 from tableloom.plans.provenance import (
     ProvenanceLog,
@@ -266,3 +267,21 @@ def test_records_of_one_file_are_dealt_before_they_are_sorted(spark, provenance)
     every = g.build_edges(one)
     assert "Broadcast" not in every._jdf.queryExecution().executedPlan().toString()
     assert pairs(every) == pairs(g.build_graph(provenance)[1])
+
+
+def test_ends_of_parts_are_counted_not_joined(spark, tmp_path):
+    """Sources and sinks once each, a null name equal to none; no task collects the names of a whole file."""
+    keys = [*range(12), 3, 5, None]
+    parts = spark.createDataFrame([(k, "kind") for k in keys], "p_partkey bigint, p_type string")
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    found = provenance_of_parts(spark, str(tmp_path))
+    read = {f"t_{(k + 8) // n}" for k in range(12) for n in (2, 3)}
+    made = {f"t_{k + 8}" for k in range(12)}
+    for name, want in (("data_sources", read - made), ("data_sinks", made - read)):
+        names = found[name].select("name")
+        assert sorted(r.name or "" for r in names.collect()) == sorted({*want, ""})
+        plan = names._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        assert "Join" not in plan
+        deepest = max(i for i, line in enumerate(lines) if "Aggregate(" in line)
+        assert any("REPARTITION_BY_NUM" in line for line in lines[deepest:])
