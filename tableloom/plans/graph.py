@@ -363,14 +363,17 @@ class _Distances:
         )
 
         def step(newest: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
-            known = seen.groupBy("node", "block").agg(F.bit_or("bits").alias("known"))
-            fresh = F.expr("bits & ~coalesce(known, 0L)")
+            # New and known bits meet in one aggregate: neither is sorted for a join.
+            none = F.lit(0).cast("bigint")
+            found = newest.join(self.steps, newest["node"] == self.steps["dst"]).select(
+                F.col("src").alias("node"), "block", "bits", none.alias("known")
+            )
+            known = seen.select("node", "block", none.alias("bits"), F.col("bits").alias("known"))
             return (
-                newest.join(self.steps, newest["node"] == self.steps["dst"])
-                .groupBy(F.col("src").alias("node"), "block")
-                .agg(F.bit_or("bits").alias("bits"))
-                .join(known, ["node", "block"], "left")
-                .select("node", "block", F.lit(depth).alias("distance"), fresh.alias("bits"))
+                found.unionByName(known)
+                .groupBy("node", "block")
+                .agg(F.bit_or("bits").alias("bits"), F.bit_or("known").alias("known"))
+                .select("node", "block", F.lit(depth).alias("distance"), F.expr("bits & ~known").alias("bits"))
                 .filter("bits != 0")
             )
 

@@ -285,3 +285,24 @@ def test_ends_of_parts_are_counted_not_joined(spark, tmp_path):
         assert "Join" not in plan
         deepest = max(i for i, line in enumerate(lines) if "Aggregate(" in line)
         assert any("REPARTITION_BY_NUM" in line for line in lines[deepest:])
+
+
+def test_rounds_join_only_the_edges(spark, graph, monkeypatch):
+    """Bits that are known meet the new ones in an aggregate; a round has one join."""
+    plans, rounds = [], g._rounds
+
+    def watched(first, step, label):
+        def seen_step(*args):
+            found = step(*args)
+            if label == "graph-distances":
+                plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+            return found
+
+        return rounds(first, seen_step, label)
+
+    monkeypatch.setattr(g, "_rounds", watched)
+    nodes, edges = graph
+    assert pairs(g.reachable_pairs(nodes, edges)) == [
+        ("people_file", "visit_counts", 3), ("visits_file", "visit_counts", 3),
+    ]
+    assert plans and all(plan.count("Join ") == 1 for plan in plans)
