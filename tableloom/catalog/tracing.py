@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.sizing import partitions_for
+from ..functions.sizing import dealt_partitions_for
 from ..functions.storage import new_folder
 from ..operators.aggregates import row_count
 from ..operators.joins import union_tables
@@ -114,7 +114,9 @@ def provenance_of_parts(
     )
     # Counted, not joined: no side is sorted. A name that is null equals none. One file
     # may hold all parts, so the pairs go over many tasks before these collect names.
-    dealt = links.select("source", "target").repartition(partitions_for(links, g.DEALT_BYTES), "source", "target")
+    dealt = links.select("source", "target").repartition(
+        dealt_partitions_for(links, g.DEALT_BYTES), "source", "target"
+    )
     ends = F.array(
         F.struct(F.col("source").alias("name"), F.lit(1).alias("read"), F.lit(0).alias("made")),
         F.struct(F.col("target").alias("name"), F.lit(0).alias("read"), F.lit(1).alias("made")),

@@ -47,6 +47,19 @@ def partitions_for(df: DataFrame, bytes_each: int = PARTITION_BYTES) -> int:
     return max(least, min(MOST_PARTITIONS, -(-input_bytes(df) // bytes_each)))
 
 
+def dealt_partitions_for(df: DataFrame, bytes_each: int) -> int:
+    """As ``partitions_for``, of the session's number only what Spark's writers need not sort rows for.
+
+    With more partitions than that, the task that reads a file holds its rows to
+    sort them by partition: for one large file, all of it. Large input still gets
+    more, and has more tasks that read it.
+    """
+    conf = df.sparkSession.conf
+    unsorted = int(conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    least = max(1, min(int(conf.get("spark.sql.shuffle.partitions")), unsorted))
+    return max(least, min(MOST_PARTITIONS, -(-input_bytes(df) // bytes_each)))
+
+
 def would_broadcast(df: DataFrame) -> bool:
     """Whether Spark would send ``df`` whole to every task of a join, by its own estimate."""
     size = plan_bytes(df)

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sizing import partitions_for
+from ..functions.sizing import dealt_partitions_for
 from ..functions.storage import new_folder, store
 
 NODE_PREFIX = "transform_"
@@ -56,10 +56,10 @@ def build_edges(
             "transformation_id",
         )
         for end in ("src", "dst"):
-            # A table of all names is no small side, though its files may look like one.
-            stated = stated.join(
-                known.select(F.col("name").alias(end)).hint("merge"), end, "left_semi"
-            )
+            # A table of all names is no small side, though its files may look like one. A semi join
+            # would be moved below the dealing, back into the tasks that read whole files; names
+            # that come twice are merged with the edges.
+            stated = stated.join(known.select(F.col("name").alias(end)).hint("merge"), end)
         edges = edges.unionByName(stated)
     # A stated dependency never replaces the edge of a step.
     rank = F.when(F.col("edge_type") == "dependency", 1).otherwise(0)
@@ -110,12 +110,12 @@ DEALT_BYTES = 4 << 20
 
 
 def _dealt(records: DataFrame) -> DataFrame:
-    """``records`` over as many tasks as a shuffle has, more for large input, however few files they come in.
+    """``records`` over many tasks, more for large input, however few files they come in.
 
     What is made of them is sorted by name, and a task that reads a whole file
     would sort all of it.
     """
-    return records.repartition(partitions_for(records, DEALT_BYTES), *records.columns)
+    return records.repartition(dealt_partitions_for(records, DEALT_BYTES), *records.columns)
 
 
 def _inputs() -> Column:

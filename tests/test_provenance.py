@@ -287,6 +287,44 @@ def test_ends_of_parts_are_counted_not_joined(spark, tmp_path):
         assert any("REPARTITION_BY_NUM" in line for line in lines[deepest:])
 
 
+def test_a_task_that_reads_one_file_deals_its_records_unsorted(spark, tmp_path):
+    """Above 200 partitions a shuffle's writer holds and sorts all rows of its task."""
+    parts = spark.createDataFrame([(k, f"kind {k % 3}") for k in range(40)], "p_partkey bigint, p_type string")
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+
+    def made():
+        found = provenance_of_parts(spark, str(tmp_path))
+        return [found["data_sources"], found["data_sinks"], g.typed_names(found), g.build_edges(found)]
+
+    few = [pairs(df) for df in made()]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "201")
+    try:
+        many = made()
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in many]
+        got = [pairs(df) for df in many]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for plan in plans:
+        dealt = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+        assert dealt and all(", 200), REPARTITION_BY_NUM" in line for line in dealt)
+    assert got == few
+
+
+def test_stated_dependencies_are_dealt_before_they_meet_the_names(spark, provenance):
+    """The joins read dealt rows, not those of the task that reads all; names may come twice."""
+    names = g.typed_names(provenance).select("name").localCheckpoint()
+    one = provenance | {"dependencies": provenance["dependencies"].coalesce(1)}
+    edges = g.build_edges(one, names=names.union(names).filter("name != 'visits'"))
+    lines = edges._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    deepest = max(i for i, line in enumerate(lines) if "Join " in line)
+    assert any("RepartitionByExpression" in line for line in lines[deepest:])
+    stated = edges.filter("edge_type = 'dependency'").select("src", "dst")
+    assert pairs(stated) == [
+        ("people", "visits_of_people"), ("people_file", "people"), ("visits_of_people", "visit_counts"),
+    ]
+
+
 def test_rounds_join_only_the_edges(spark, graph, monkeypatch):
     """Bits that are known meet the new ones in an aggregate; a round has one join."""
     plans, rounds = [], g._rounds
