@@ -126,6 +126,15 @@ def _pieces(batches):
         )
 
 
+def _encoded_pieces(encoded):
+    """Cuts and encodes in one Python worker; two steps of a plan would take two for every task."""
+
+    def run(batches):
+        yield from encoded(_pieces(batches))
+
+    return run
+
+
 def encode(
     docs: DataFrame,
     ranks_path: str | None = None,
@@ -139,6 +148,8 @@ def encode(
 
     The same ids as encoding the text in one go. Null and empty texts have no
     ids; repeated rows stay; a null id stays null; other columns are not read.
+    The result is a written table, so that a Python step that reads it, as
+    ``decode`` does, has no second worker beside its own in every task.
     """
     if not 8 <= overlap <= chunk:
         raise ValueError("overlap must be from 8 to the chunk's length")
@@ -177,7 +188,7 @@ def encode(
         .join(begin, ["row", "no"], "left")
         .join(finish, ["row", "no"], "left")
         .select("id", "row", "no", "text", F.coalesce("begin", F.lit(0)).alias("begin"), "finish")
-        .mapInArrow(_pieces, "id long, row long, no int, text string")
+        .mapInArrow(_encoded_pieces(encoded), "id long, row long, no int, ids array<int>")
     )
 
     def own(part, i):
@@ -195,11 +206,11 @@ def encode(
             F.array_join(F.transform("parts", own), "").alias("text"),
         )
     )
-    encoded_pieces = pieces.union(whole).mapInArrow(encoded, "id long, row long, no int, ids array<int>")
-    joined = encoded_pieces.groupBy("id", "row").agg(
+    wholes = whole.mapInArrow(encoded, "id long, row long, no int, ids array<int>")
+    joined = pieces.union(wholes).groupBy("id", "row").agg(
         F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("parts")  # one text
     )
-    return short.union(joined.select("id", F.flatten(F.col("parts.ids")).alias("ids")))
+    return store(short.union(joined.select("id", F.flatten(F.col("parts.ids")).alias("ids"))), "bpe-ids")
 
 
 def decode(encoded: DataFrame, ranks_path: str | None = None) -> DataFrame:

@@ -36,8 +36,10 @@ BANDS = 32
 ROWS = 6
 CHUNK = 512
 """Shingles hashed at a time."""
-CACHED_WORDS = 400_000
-"""Words whose hashes a task remembers; when there are more, it starts anew."""
+CACHED_WORDS = 50_000
+"""Words whose hashes a task remembers (about 150 bytes each); when there are more, it starts anew."""
+SEEN_POINTS = 100_000
+"""Points a task remembers to have given; later ones may come twice and are merged by key."""
 BUCKET = 64
 """Texts in a key up to which all sketches of different groups are compared at once."""
 BLOCK = 1024
@@ -141,7 +143,7 @@ def _needed_sets(needed):
                 point = _point(found)
                 at = point & ((1 << FILTER_BITS) - 1)
                 if bits[at >> 3] >> (at & 7) & 1 and point not in seen:
-                    if len(seen) < CACHED_WORDS:
+                    if len(seen) < SEEN_POINTS:
                         seen.add(point)
                     points.append(point)
                     sets.append(found)

@@ -1,6 +1,7 @@
 """The text operators against brute force, on awkward rows and on empty tables."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tableloom.functions.storage import new_folder
+from tableloom.functions.storage import new_folder, store
 from tableloom.llm import (
     byte_bpe, decontaminate, licenses, near_copies, pseudonyms, quality, secret_scan, sharding, simhash, token_files,
     toxicity,
@@ -341,6 +342,29 @@ def test_chunks_are_encoded_as_whole_texts(spark, bpe):
             assert bytes(r["data"]) == text.encode()
 
 
+def python_steps(plan):
+    """Python steps of a task, the most of any: those above one another without a shuffle between."""
+    children = plan.children()
+    below = [python_steps(children.apply(i)) for i in range(children.length())]
+    here = (plan.nodeName() == "MapInArrow") + max((h for h, _ in below), default=0)
+    most = max([here, *(m for _, m in below)])
+    return 0 if plan.nodeName() in ("Aggregate", "Join", "RepartitionByExpression") else here, most
+
+
+def test_a_task_has_one_python_worker(spark, monkeypatch):
+    plans = []
+
+    def kept(df, label):
+        plans.append(df)
+        return store(df, label)
+
+    monkeypatch.setattr(byte_bpe, "store", kept)
+    frame = brute.table(spark, [(1, "a few words"), (2, "word " * 60)])
+    plans.append(byte_bpe.decode(byte_bpe.encode(frame, chunk=40, overlap=16)))
+    found = [python_steps(df._jdf.queryExecution().optimizedPlan())[1] for df in plans]
+    assert len(found) > 3 and max(found) == 1
+
+
 # 8 SimHash
 
 
@@ -403,6 +427,19 @@ def shingle_set(text):
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
 
 
+def test_shingles_remember_few_words():
+    """Many different words do not stay in an executor's Python workers."""
+    shingles, made = near_copies.Shingles(), [" ".join(f"w{i}" for i in range(n, n + 1000)) for n in range(0, 200_000, 1000)]
+    first = shingles.of(made[0])
+    tracemalloc.start()
+    for text in made:
+        shingles.of(text)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 12 << 20
+    assert (shingles.of(made[0]) == first).all()
+
+
 def near(a, b):
     shared = len(a & b)
     return a == b or shared >= 0.8 * (len(a) + len(b) - shared)
